@@ -96,7 +96,7 @@ FROM events
 _ORDER_LOG = """
 SELECT coalesce(c.k, p.k) AS order_id, c.d AS created, p.d AS paid
 FROM (SELECT o_orderkey AS k, CAST(date_diff('day', DATE '1970-01-01', o_orderdate) AS BIGINT) AS d
-      FROM orders WHERE o_orderkey % 7 <> 0) c
+      FROM orders WHERE o_orderstatus <> 'P') c
 FULL JOIN (SELECT l_orderkey AS k,
                   CAST(date_diff('day', DATE '1970-01-01', min(l_shipdate)) AS BIGINT) AS d
            FROM lineitem GROUP BY 1) p ON c.k = p.k
@@ -245,3 +245,32 @@ ORACLES: dict[str, str] = {
         SELECT concat('{"data":"', event_type, '"}') AS value FROM events""",
     "kafka_values": "SELECT CAST(event_id AS VARCHAR) AS value FROM events",
 }
+
+ORACLES.update(
+    {
+        "stream_word_count": ORACLES["word_count"],
+        "stream_tumbling": """
+            SELECT event_type, date_trunc('hour', ts) AS window_start,
+                   date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, count(*) AS cnt
+            FROM events GROUP BY ALL""",
+        "stream_sessions": ORACLES["session_counts"],
+        "stream_hot_by_user": _top3(21600, 3600, "user_id, event_type"),
+        "stream_rolling_sum": f"""
+            SELECT user_id, CAST(sum({_CENTS}) OVER (
+                     PARTITION BY user_id ORDER BY event_id) AS BIGINT) AS cents FROM events""",
+        "stream_rolling_max": ORACLES["rolling_max"],
+        "stream_count_window": ORACLES["count_window_sliding"],
+        "stream_blacklist": f"""
+            SELECT event_id, ts, user_id, event_type,
+                   CASE WHEN nth <= 2 THEN 'main' ELSE 'alert' END AS tag,
+                   CAST(least(nth, 2) AS BIGINT) AS clicks
+            FROM ({_DAILY}) WHERE nth <= 3""",
+        "stream_login_fail": ORACLES["login_fail"],
+        "stream_rising_alert": ORACLES["rising_alert"],
+        "stream_order_outcome": f"""
+            SELECT order_id, CASE WHEN paid - created > 30 THEN 'paid_late'
+                                  ELSE 'paid' END AS outcome, created, paid
+            FROM ({_ORDER_LOG}) WHERE created IS NOT NULL AND paid IS NOT NULL""",
+        "stream_first_timer": ORACLES["first_timer"],
+    }
+)

@@ -48,8 +48,11 @@ def rising_alerts(
     limits: Limits = DEFAULT,
     segment_rows: int = SEGMENT_ROWS,
 ) -> DataFrame:
-    """Alerts ``key, deadline, level``; the level is that of the last row in time."""
-    rows = df.select(
+    """Alerts ``key, deadline, level``; the level is that of the last row in time.
+
+    Rows without a value are left out.
+    """
+    rows = df.where(F.col(value).isNotNull()).select(
         F.col(key).alias("_key"),
         F.col(ts).alias("_ts"),
         F.col(value).alias("_value"),

@@ -34,3 +34,16 @@ def spark():
     session = make_session()
     yield session
     session.stop()
+
+
+@pytest.fixture
+def lines(spark, tmp_path):
+    """Text lines as a DataFrame read from a file."""
+    from rillflow.sources import text_lines
+
+    def read(rows):
+        path = tmp_path / "lines.txt"
+        path.write_text("\n".join(rows))
+        return text_lines(spark, str(path))
+
+    return read
