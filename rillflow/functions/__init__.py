@@ -4,7 +4,9 @@ from rillflow.functions.time import (
     day_of,
     duration_us,
     event_time,
+    from_micros,
     interval,
+    micros,
     window_start,
 )
 
@@ -14,7 +16,9 @@ __all__ = [
     "duration_us",
     "event_time",
     "fields",
+    "from_micros",
     "interval",
+    "micros",
     "to_text",
     "tokens",
     "window_start",

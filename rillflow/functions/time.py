@@ -7,6 +7,7 @@ from datetime import timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, TimestampNTZType, TimestampType
 
 from rillflow.functions.text import ColumnOrName, as_column
 
@@ -43,6 +44,37 @@ def event_time(epoch: ColumnOrName, unit: str = "s") -> Column:
     raise ValueError(f"unknown epoch unit: {unit!r}")
 
 
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def _microsecond() -> Column:
+    return F.lit(timedelta(microseconds=1))
+
+
+def micros(ts: ColumnOrName, kind: DataType) -> Column:
+    """Microseconds since 1970 of a column of type ``kind``; numbers are kept.
+
+    Zone-less timestamps are counted as they read, whatever the session's zone.
+    """
+    ts = as_column(ts)
+    if isinstance(kind, TimestampType):
+        return F.unix_micros(ts)
+    if isinstance(kind, TimestampNTZType):
+        return F.call_function("div", ts - _epoch(), _microsecond())
+    return ts.cast("bigint")
+
+
+def from_micros(us: ColumnOrName, kind: DataType) -> Column:
+    """The inverse of :func:`micros`."""
+    us = as_column(us)
+    if isinstance(kind, TimestampType):
+        return F.timestamp_micros(us)
+    if isinstance(kind, TimestampNTZType):
+        return _epoch() + _microsecond() * us
+    return us.cast(kind)
+
+
 def window_start(epoch: ColumnOrName, size: int, offset: int = 0) -> Column:
     """Start of the aligned window ``[start, start + size)`` holding an epoch number."""
     epoch = as_column(epoch)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rillflow.functions.time import duration_us
+from rillflow.functions.time import duration_us, from_micros, micros
 from rillflow.operators.checkpoints import materialize
 from rillflow.operators.detect import Span, span
 from rillflow.operators.skew import (
@@ -102,7 +102,7 @@ def rising_alerts(
     if cut_climbs.isEmpty():
         return alerts
     carried = _handed_over(cut_climbs, hold, types["_key"], types["_value"])
-    at = _from_micros(F.col("_deadline"), types["_ts"])
+    at = from_micros(F.col("_deadline"), types["_ts"])
     rejoined = cut_climbs.join(
         carried.withColumnRenamed("_key", "_c_key"),
         F.col("_key").eqNullSafe(F.col("_c_key")) & (F.col("_from") == F.col("_c_from")),
@@ -155,18 +155,6 @@ def _alerts(
     ).select(key, "_alert.deadline", "_alert.level")
 
 
-def _micros(c: Column, kind: T.DataType) -> Column:
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp"))
-    return c.cast("bigint")
-
-
-def _from_micros(c: Column, kind: T.DataType) -> Column:
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.timestamp_micros(c).cast(kind)
-    return c.cast(kind)
-
-
 def _handed_over(
     segments: DataFrame, hold: Span, key_type: T.DataType, value_type: T.DataType
 ) -> DataFrame:
@@ -183,7 +171,7 @@ def _handed_over(
         "_key",
         "_climb",
         "_from",
-        F.transform(rises, lambda r: _micros(r["_ts"], ts_type)).alias("_rises"),
+        F.transform(rises, lambda r: micros(r["_ts"], ts_type)).alias("_rises"),
         F.element_at("_rows", -1)["_value"].alias("_level"),
     )
 

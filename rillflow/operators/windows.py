@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.functions.time import duration_us, interval
+from rillflow.functions.time import duration_us, from_micros, interval, micros
 from rillflow.operators.skew import (
     DEFAULT,
     Limits,
@@ -69,9 +69,10 @@ def sliding(
     """Aggregates per key and sliding window.
 
     When the slide divides the size, rows are first folded into slide-long panes,
-    and each pane (not each row) is copied into the windows that hold it. Panes
-    of a key are brought together per stretch of one window size before that, so
-    the copies fold again inside the task instead of being shuffled.
+    and panes instead of rows are copied into the windows that hold them. The
+    windows that end within one stretch of ``size`` need the panes of at most two
+    stretches, so a pane is sent to its two stretches once, and the copies are made
+    and folded inside the task.
     """
     size_us, slide_us = duration_us(size), duration_us(slide)
     if size_us % slide_us:
@@ -79,27 +80,37 @@ def sliding(
         return _bounded(
             df.groupBy(*keys, window).agg(*partial(aggregates)), keys, aggregates
         )
-    panes = (
-        df.groupBy(*keys, F.window(ts, slide).alias("_p"))
-        .agg(*partial(aggregates))
-        .withColumn("_pane", F.col("_p.start"))
-        .drop("_p")
+    kind = df.schema[ts].dataType
+
+    def start_of(us: Column, length: int) -> Column:
+        return us - F.pmod(us, F.lit(length))
+
+    rows = df.where(F.col(ts).isNotNull())
+    at = micros(ts, kind)
+    panes = rows.groupBy(*keys, start_of(at, slide_us).alias("_pane")).agg(
+        *partial(aggregates)
+    )
+    first_end, last_end = F.col("_pane") + slide_us, F.col("_pane") + size_us
+    stretches = F.array_distinct(
+        F.array(start_of(first_end - 1, size_us), start_of(last_end - 1, size_us))
     )
-    if size_us > slide_us:
-        panes = panes.repartition(*keys, F.window("_pane", size)["start"])
     ends = F.sequence(
-        F.col("_pane") + interval(slide), F.col("_pane") + interval(size), interval(slide)
+        F.greatest(first_end, F.col("_stretch") + slide_us),
+        F.least(last_end, F.col("_stretch") + size_us),
+        F.lit(slide_us),
     )
-    return (
-        panes.withColumn("window_end", F.explode(ends))
-        .groupBy(*keys, "window_end")
+    windows = (
+        panes.withColumn("_stretch", F.explode(stretches))
+        .repartition(*keys, "_stretch")
+        .withColumn("_end", F.explode(ends))
+        .groupBy(*keys, "_stretch", "_end")
         .agg(*merge(aggregates))
-        .select(
-            *keys,
-            (F.col("window_end") - interval(size)).alias("window_start"),
-            "window_end",
-            *aggregates,
-        )
+    )
+    return windows.select(
+        *keys,
+        from_micros(F.col("_end") - size_us, kind).alias("window_start"),
+        from_micros("_end", kind).alias("window_end"),
+        *aggregates,
     )
 
 
