@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rillflow.operators.transforms import spread
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -49,8 +51,8 @@ def order_log(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def document_lines(spark: SparkSession, folder: str) -> DataFrame:
-    lines = F.split("text", "\n")
-    return table(spark, folder, "documents").select(F.explode(lines).alias("value"))
+    texts = spread(table(spark, folder, "documents").select("text"))
+    return texts.select(F.explode(F.split("text", "\n")).alias("value"))
 
 
 def _line(separator: str, *parts: Column | str) -> Column:

@@ -27,6 +27,7 @@ from rillflow.operators.transforms import (
     redistribute,
     select_label,
     side_output,
+    spread,
     union,
     unnest,
     words,
@@ -61,6 +62,7 @@ __all__ = [
     "session",
     "side_output",
     "sliding",
+    "spread",
     "top_n",
     "tumbling",
     "union",

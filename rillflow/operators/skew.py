@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
 PART = "_part"
+_HOT = "_hot"
 _BOUNDS = "_bounds"
 _SAMPLES_PER_PART = 32
 
@@ -55,10 +56,12 @@ class Parts:
         return Parts(df, self.keys, self.order_by, self.split)
 
     def result(self) -> DataFrame:
-        return self.df.drop(PART) if self.split else self.df
+        return self.df.drop(PART, _HOT) if self.split else self.df
 
 
 def _order(order_by: Sequence[str]) -> Column:
+    if len(order_by) == 1:
+        return F.col(order_by[0])
     return F.struct(*[F.col(c) for c in order_by])
 
 
@@ -113,7 +116,7 @@ def cut(
 ) -> Parts:
     """Add ``_part`` so that no (key, part) group holds many more than the limit.
 
-    Rows of keys that are not cut have a null part. ``order_by`` must order the rows of a key totally. The input is read once to
+    Keys that are not cut are whole in part 0. ``order_by`` must order the rows of a key totally. The input is read once to
     count its keys, and once more when there are hot ones. When ``df`` is itself
     costly, ``measured_on`` can name a cheaper frame with the same key and order
     columns and at least as many rows in any stretch of a key.
@@ -124,18 +127,19 @@ def cut(
     if bounds is None:
         return Parts(df, keys, order_by, False)
     widest = bounds.agg(F.max(F.size(_BOUNDS))).first()[0]
-    steps = [1 << b for b in reversed(range(max(1, widest.bit_length())))]
-    at = _order(order_by)
-    part = F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda found, step: F.when(
-            at >= F.get(F.col(_BOUNDS), found + step - F.lit(1)), found + step
-        ).otherwise(found),
+    marked = df.join(F.broadcast(bounds), _same_keys(df, bounds, keys), "left").withColumns(
+        {_HOT: F.col(_BOUNDS).isNotNull(), PART: F.lit(0)}
     )
-    part = F.when(F.col(_BOUNDS).isNotNull(), part)
-    marked = df.join(F.broadcast(bounds), _same_keys(df, bounds, keys), "left")
-    return Parts(marked.select(*df.columns, part.alias(PART)), keys, order_by, True)
+    # Binary search for the last bound that is not above the row, one projection
+    # per step: these stay in generated code, unlike a lambda.
+    at = _order(order_by)
+    for bit in reversed(range(max(1, widest.bit_length()))):
+        step = 1 << bit
+        bound = F.get(_BOUNDS, F.col(PART) + F.lit(step - 1))
+        marked = marked.withColumn(
+            PART, F.col(PART) + F.when(at >= bound, step).otherwise(0)
+        )
+    return Parts(marked.select(*df.columns, _HOT, PART), keys, order_by, True)
 
 
 @dataclass(frozen=True)
@@ -243,7 +247,7 @@ def add_running(parts: Parts, columns: dict[str, Running]) -> Parts:
         return parts.with_df(df.withColumns(added))
 
     totals = (
-        df.where(F.col(PART).isNotNull())
+        df.where(_HOT)
         .groupBy(*parts.group)
         .agg(
             *[

@@ -45,6 +45,12 @@ def redistribute(df: DataFrame, partitions: int) -> DataFrame:
     return df.repartition(partitions)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for a scan with fewer splits than cores; others are left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return redistribute(df, cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def map_partitions(
     df: DataFrame,
     set_up: Callable[[], object],

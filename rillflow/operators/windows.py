@@ -72,7 +72,9 @@ def sliding(
     and panes instead of rows are copied into the windows that hold them. The
     windows that end within one stretch of ``size`` need the panes of at most two
     stretches, so a pane is sent to its two stretches once, and the copies are made
-    and folded inside the task.
+    and folded inside the task. The number of those tasks is fixed: chosen by the
+    size of their input, as adaptive execution does, they would be too few for the
+    copies.
     """
     size_us, slide_us = duration_us(size), duration_us(slide)
     if size_us % slide_us:
@@ -99,9 +101,10 @@ def sliding(
         F.least(last_end, F.col("_stretch") + size_us),
         F.lit(slide_us),
     )
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     windows = (
         panes.withColumn("_stretch", F.explode(stretches))
-        .repartition(*keys, "_stretch")
+        .repartition(tasks, *keys, "_stretch")
         .withColumn("_end", F.explode(ends))
         .groupBy(*keys, "_stretch", "_end")
         .agg(*merge(aggregates))
