@@ -94,7 +94,9 @@ def rising_alerts(
     nothing = F.lit(None).cast(types["_ts"])
     unknown = F.lit(None).cast(types["_value"])
 
-    fits = not parts.split and _most_rows_per_key(rows) < segment_rows
+    fits = not parts.split and (
+        parts.total < segment_rows or _most_rows_per_key(rows) < segment_rows
+    )
     if fits:
         return _alerts(segments, hold, nothing, unknown, key)
     alerts = _alerts(segments.where(whole), hold, nothing, unknown, key)

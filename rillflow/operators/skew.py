@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,19 +41,23 @@ DEFAULT = Limits()
 
 @dataclass(frozen=True)
 class Parts:
-    """Rows with a ``_part`` column, grouped by ``keys`` and part without hot groups."""
+    """Rows with a ``_part`` column, grouped by ``keys`` and part without hot groups.
+
+    ``total`` is the number of rows that were measured.
+    """
 
     df: DataFrame
     keys: tuple[str, ...]
     order_by: tuple[str, ...]
     split: bool
+    total: int
 
     @property
     def group(self) -> list[str]:
         return [*self.keys, PART] if self.split else list(self.keys)
 
     def with_df(self, df: DataFrame) -> Parts:
-        return Parts(df, self.keys, self.order_by, self.split)
+        return replace(self, df=df)
 
     def result(self) -> DataFrame:
         return self.df.drop(PART, _HOT) if self.split else self.df
@@ -73,10 +77,13 @@ def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column
 
 
 def _hot_bounds(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], limits: Limits
+    df: DataFrame,
+    total: int,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    limits: Limits,
 ) -> DataFrame | None:
     """One row per hot key with the sorted positions at which to cut it."""
-    total = df.count()
     if total <= limits.rows_per_task:
         return None
     limit = max(limits.rows_per_task, math.ceil(total / limits.max_parts))
@@ -122,10 +129,11 @@ def cut(
     columns and at least as many rows in any stretch of a key.
     """
     keys, order_by = tuple(keys), tuple(order_by)
-    measured_on = df if measured_on is None else measured_on
-    bounds = _hot_bounds(measured_on.select(*keys, *order_by), keys, order_by, limits)
+    measured = (df if measured_on is None else measured_on).select(*keys, *order_by)
+    total = measured.count()
+    bounds = _hot_bounds(measured, total, keys, order_by, limits)
     if bounds is None:
-        return Parts(df, keys, order_by, False)
+        return Parts(df, keys, order_by, False, total)
     widest = bounds.agg(F.max(F.size(_BOUNDS))).first()[0]
     marked = df.join(F.broadcast(bounds), _same_keys(df, bounds, keys), "left").withColumns(
         {_HOT: F.col(_BOUNDS).isNotNull(), PART: F.lit(0)}
@@ -139,7 +147,7 @@ def cut(
         marked = marked.withColumn(
             PART, F.col(PART) + F.when(at >= bound, step).otherwise(0)
         )
-    return Parts(marked.select(*df.columns, _HOT, PART), keys, order_by, True)
+    return Parts(marked.select(*df.columns, _HOT, PART), keys, order_by, True, total)
 
 
 @dataclass(frozen=True)

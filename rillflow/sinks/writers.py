@@ -48,12 +48,17 @@ def write_kafka(df: DataFrame, value: Column | str, servers: str, topic: str):
     return records.write.format("kafka").options(**options).save()
 
 
+def _order(order_by: list[str]) -> Column:
+    if len(order_by) == 1:
+        return F.col(order_by[0])
+    return F.struct(*[F.col(c) for c in order_by])
+
+
 def latest_per_key(
     df: DataFrame, key: str, value: str, order_by: Iterable[str]
 ) -> DataFrame:
     """The value written last for each key."""
-    order = F.struct(*[F.col(c) for c in order_by])
-    newest = F.max_by(F.struct(F.col(value)), order).getField(value)
+    newest = F.max_by(F.col(value), _order(list(order_by)))
     return df.groupBy(key).agg(newest.alias(value))
 
 
@@ -67,15 +72,13 @@ class KeyedUpsert:
     order_by: list[str]
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
-        order = F.struct(*[F.col(c) for c in self.order_by]).alias("_order")
-        rows = batch.select(self.key, self.value, order)
-        latest_per_key_order = F.max_by(
-            F.struct(self.value, "_order"), F.col("_order")
-        ).alias("_last")
+        rows = batch.select(self.key, self.value, _order(self.order_by).alias("_order"))
         (
             rows.groupBy(self.key)
-            .agg(latest_per_key_order)
-            .select(self.key, f"_last.{self.value}", "_last._order")
+            .agg(
+                F.max_by(self.value, "_order").alias(self.value),
+                F.max("_order").alias("_order"),
+            )
             .write.mode("overwrite")
             .parquet(f"{self.path}/batch_id={batch_id}")
         )

@@ -8,6 +8,7 @@ from rillflow.streaming.stateful import (
     repeated_failures,
     rising_alerts,
     rolling_reduce,
+    with_watermark_time,
 )
 from rillflow.streaming.windows import (
     late_updates,
@@ -39,4 +40,5 @@ __all__ = [
     "upsert_sink",
     "with_event_time",
     "with_processing_time",
+    "with_watermark_time",
 ]

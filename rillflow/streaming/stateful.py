@@ -44,9 +44,13 @@ def _run(
     processor: StatefulProcessor,
     schema: T.StructType,
     time_mode: str,
+    event_time: str = "",
 ) -> DataFrame:
+    """``event_time`` names the output column that later windows go by."""
     use_rocksdb(df.sparkSession)
-    return df.groupBy(*keys).transformWithState(processor, schema, "append", time_mode)
+    return df.groupBy(*keys).transformWithState(
+        processor, schema, "append", time_mode, eventTimeColumnName=event_time
+    )
 
 
 class _Processor(StatefulProcessor):
@@ -110,6 +114,29 @@ def keep_max(column: str) -> Callable[[Row, Row], Row]:
     return reduce
 
 
+class _Watermark(_Processor):
+    def __init__(self, names, order_by):
+        self.names, self.order_by = names, order_by
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        pass
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        now = timerValues.getCurrentWatermarkInMs()
+        for row in _by(rows, self.order_by):
+            yield Row(*self.names, "watermark_ms")(*[row[c] for c in self.names], now)
+
+
+def with_watermark_time(
+    stream: DataFrame, keys: Sequence[str], ts: str, delay: str = "0 seconds"
+) -> DataFrame:
+    """Add the watermark, in epoch milliseconds, that held when a row was handled."""
+    timed = _timed(stream, ts, delay)
+    schema = _schema(timed, T.StructField("watermark_ms", T.LongType()), without=["_us"])
+    processor = _Watermark(stream.columns, ["_us"])
+    return _run(timed, keys, processor, schema, "EventTime")
+
+
 # --- count windows ------------------------------------------------------------------
 
 
@@ -311,7 +338,8 @@ def daily_limit(
 ) -> DataFrame:
     """Pass the first ``limit`` rows of a key and UTC day, alert once, drop the rest.
 
-    A day's counter is dropped once the watermark is past the day.
+    A day's counter is dropped once the watermark is past the day. Windows can
+    follow on the same event time.
     """
     timed = _timed(stream, ts, delay)
     names = stream.columns
@@ -322,7 +350,7 @@ def daily_limit(
         without=["_us"],
     )
     processor = _DailyLimit(names, list(order_by), limit)
-    return _run(timed, keys, processor, schema, "EventTime")
+    return _run(timed, keys, processor, schema, "EventTime", ts)
 
 
 class _RepeatedFailures(_Processor):
