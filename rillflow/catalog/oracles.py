@@ -210,6 +210,11 @@ ORACLES: dict[str, str] = {
     "session_one_type": _sessions("event_type", "30 minutes"),
     "count_window_tumbling": _count_window(3, 3),
     "count_window_sliding": _count_window(3, 2),
+    "count_window_all": f"""
+        SELECT (rn + 1) * 100 AS seen, CAST(sum(cents) AS BIGINT) AS cents
+        FROM (SELECT (row_number() OVER (ORDER BY event_id) - 1) // 100 AS rn,
+                     {_CENTS} AS cents FROM events)
+        GROUP BY rn HAVING count(*) = 100""",
     "hot_items": _top3(
         3600, 300, "user_id", "(SELECT * FROM events WHERE event_type = 'view')"
     ),

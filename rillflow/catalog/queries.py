@@ -324,6 +324,15 @@ def count_window_sliding(spark, folder):
     return op.count_window(rows, ["user_id"], ["event_id"], 3, 2, aggregates=sums)
 
 
+@query
+def count_window_all(spark, folder):
+    rows = tb.events(spark, folder).select("event_id", tb.cents())
+    sums = {"cents": ("sum", "cents")}
+    return op.count_window(
+        rows, [], ["event_id"], 100, aggregates=sums, limits=ONE_KEY
+    )
+
+
 # --- jobs: hot lists ------------------------------------------------------------
 
 

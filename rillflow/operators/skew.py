@@ -20,7 +20,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, StructField, StructType
 
 PART = "_part"
 _HOT = "_hot"
@@ -88,19 +88,18 @@ def _hot_bounds(
         return None
     limit = max(limits.rows_per_task, math.ceil(total / limits.max_parts))
     renamed = [F.col(k).alias(f"_h_{k}") for k in keys]
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot_rows = counts.where(F.col("_n") > limit).select(*renamed).collect()
-    if not hot_rows:
-        return None
     spark = df.sparkSession
     key_schema = df.select(*renamed).schema
-    hot = F.broadcast(spark.createDataFrame(hot_rows, key_schema))
-
     fraction = min(1.0, _SAMPLES_PER_PART / limit)
     sampled = df.select(*keys, _order(order_by).alias("_at")).sample(fraction, seed=17)
-    positions = sampled.join(hot, _same_keys(sampled, hot, keys)).groupBy(
-        *key_schema.names
-    )
+    if keys:
+        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        hot_rows = counts.where(F.col("_n") > limit).select(*renamed).collect()
+        if not hot_rows:
+            return None
+        hot = F.broadcast(spark.createDataFrame(hot_rows, key_schema))
+        sampled = sampled.join(hot, _same_keys(sampled, hot, keys))
+    positions = sampled.groupBy(*key_schema.names)
     every = max(1, round(limit * fraction))
     cuts = positions.agg(F.sort_array(F.collect_list("_at")).alias("_at")).select(
         *key_schema.names,
@@ -114,6 +113,16 @@ def _hot_bounds(
     return bounds.withColumn(_BOUNDS, F.sort_array(_BOUNDS))
 
 
+def _literal(value: object, kind: DataType) -> Column:
+    if isinstance(kind, ArrayType):
+        return F.array(*[_literal(v, kind.elementType) for v in value])
+    if isinstance(kind, StructType):
+        return F.struct(
+            *[_literal(v, f.dataType).alias(f.name) for v, f in zip(value, kind.fields)]
+        )
+    return F.lit(value).cast(kind)
+
+
 def cut(
     df: DataFrame,
     keys: Sequence[str],
@@ -123,7 +132,7 @@ def cut(
 ) -> Parts:
     """Add ``_part`` so that no (key, part) group holds many more than the limit.
 
-    Keys that are not cut are whole in part 0. ``order_by`` must order the rows of a key totally. The input is read once to
+    Keys that are not cut are whole in part 0; without keys all rows are one group. ``order_by`` must order the rows of a key totally. The input is read once to
     count its keys, and once more when there are hot ones. When ``df`` is itself
     costly, ``measured_on`` can name a cheaper frame with the same key and order
     columns and at least as many rows in any stretch of a key.
@@ -135,9 +144,13 @@ def cut(
     if bounds is None:
         return Parts(df, keys, order_by, False, total)
     widest = bounds.agg(F.max(F.size(_BOUNDS))).first()[0]
-    marked = df.join(F.broadcast(bounds), _same_keys(df, bounds, keys), "left").withColumns(
-        {_HOT: F.col(_BOUNDS).isNotNull(), PART: F.lit(0)}
-    )
+    if keys:
+        marked = df.join(F.broadcast(bounds), _same_keys(df, bounds, keys), "left")
+    else:
+        marked = df.withColumn(
+            _BOUNDS, _literal(bounds.first()[_BOUNDS], bounds.schema[_BOUNDS].dataType)
+        )
+    marked = marked.withColumns({_HOT: F.col(_BOUNDS).isNotNull(), PART: F.lit(0)})
     # Binary search for the last bound that is not above the row, one projection
     # per step: these stay in generated code, unlike a lambda.
     at = _order(order_by)

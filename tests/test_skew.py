@@ -91,6 +91,26 @@ def test_small_input_is_not_cut(spark):
     assert parts.group == ["k"]
 
 
+@pytest.mark.parametrize("limits", [skew.DEFAULT, CUT])
+def test_without_keys_all_rows_are_one_group(spark, limits):
+    data = events(21)
+    columns = {"total": skew.running_sum("v"), "prev": skew.previous("id")}
+    out = skew.with_running(frame(spark, data), [], ["t", "id"], columns, limits)
+    got = {r.id: (r.total, r.prev) for r in out.collect()}
+    total, prev, want = 0, None, {}
+    for _, _, i, v in data:
+        total += v
+        want[i] = (total, prev)
+        prev = i
+    assert got == want
+    windows = op.count_window(
+        frame(spark, data), [], ["t", "id"], 100, None, {"v": ("sum", "v")}, limits
+    )
+    assert sorted((r.seen, r.v) for r in windows.collect()) == [
+        (n, sum(r[3] for r in data[n - 100 : n])) for n in range(100, 601, 100)
+    ]
+
+
 def brute_rising(rows, hold, start=0):
     last, due, out = start, None, []
     for _, t, _, v in rows:
