@@ -16,17 +16,18 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillflow.functions.time import duration_us, from_micros, micros
 from rillflow.operators.checkpoints import materialize
-from rillflow.operators.detect import Span, span
+from rillflow.operators.detect import Span
 from rillflow.operators.skew import (
     DEFAULT,
     PART,
     Limits,
+    Parts,
     add_running,
     cut,
     following,
@@ -52,9 +53,11 @@ def rising_alerts(
 
     Rows without a value are left out.
     """
+    kind = df.schema[ts].dataType
+    length = duration_us(hold) if isinstance(hold, str) else hold
     rows = df.where(F.col(value).isNotNull()).select(
         F.col(key).alias("_key"),
-        F.col(ts).alias("_ts"),
+        micros(ts, kind).alias("_ts"),
         F.col(value).alias("_value"),
         *[F.col(c).alias(f"_o_{c}") for c in (order_by or [])],
     )
@@ -78,7 +81,8 @@ def rising_alerts(
     )
     group = ["_key", "_climb", "_segment"] + ([PART] if parts.split else [])
     segments = (
-        parts.df.withColumn("_segment", F.floor(F.col("_rn") / segment_rows))
+        _that_may_alert(parts, length)
+        .withColumn("_segment", F.floor(F.col("_rn") / segment_rows))
         .groupBy(*group)
         .agg(
             F.sort_array(
@@ -91,26 +95,45 @@ def rising_alerts(
     )
     whole = F.col("_opens") & F.col("_closes")
     types = {f.name: f.dataType for f in rows.schema.fields}
-    nothing = F.lit(None).cast(types["_ts"])
+    nothing = F.lit(None).cast("bigint")
     unknown = F.lit(None).cast(types["_value"])
 
+    def named(alerts: DataFrame) -> DataFrame:
+        deadline = from_micros("deadline", kind).alias("deadline")
+        return alerts.select(F.col("_key").alias(key), deadline, "level")
+
     fits = not parts.split and (
         parts.total < segment_rows or _most_rows_per_key(rows) < segment_rows
     )
     if fits:
-        return _alerts(segments, hold, nothing, unknown, key)
-    alerts = _alerts(segments.where(whole), hold, nothing, unknown, key)
+        return named(_alerts(segments, length, nothing, unknown))
+    alerts = _alerts(segments.where(whole), length, nothing, unknown)
     cut_climbs = materialize(segments.where(~whole).drop(PART))
     if cut_climbs.isEmpty():
-        return alerts
-    carried = _handed_over(cut_climbs, hold, types["_key"], types["_value"])
-    at = from_micros(F.col("_deadline"), types["_ts"])
+        return named(alerts)
+    carried = _handed_over(cut_climbs, length, types["_key"], types["_value"])
     rejoined = cut_climbs.join(
         carried.withColumnRenamed("_key", "_c_key"),
         F.col("_key").eqNullSafe(F.col("_c_key")) & (F.col("_from") == F.col("_c_from")),
         "left",
     )
-    return alerts.unionByName(_alerts(rejoined, hold, at, F.col("_level"), key))
+    later = _alerts(rejoined, length, F.col("_deadline"), F.col("_level"))
+    return named(alerts.unionByName(later))
+
+
+def _that_may_alert(parts: Parts, length: int) -> DataFrame:
+    """Leave out climbs whose fall comes before their first deadline.
+
+    They are most of the rows as a rule. Pieces that a cut has parted from their
+    first or last row stay.
+    """
+    piece = Window.partitionBy(*parts.group, "_climb")
+    opens = F.max(F.coalesce("_fell_before", F.lit(True))).over(piece)
+    falls = F.max("_fell").over(piece)
+    first_rise = F.min(F.when(~F.col("_fell"), F.col("_ts"))).over(piece)
+    in_time = F.max("_ts").over(piece) <= first_rise + F.lit(length)
+    cancelled = opens & falls & F.coalesce(in_time, F.lit(True))
+    return parts.df.withColumn("_cancelled", cancelled).where("NOT _cancelled")
 
 
 def _most_rows_per_key(rows: DataFrame) -> int:
@@ -119,7 +142,7 @@ def _most_rows_per_key(rows: DataFrame) -> int:
 
 
 def _alerts(
-    segments: DataFrame, hold: Span, deadline: Column, level: Column, key: str
+    segments: DataFrame, length: int, deadline: Column, level: Column
 ) -> DataFrame:
     """Fold the rows of each segment, starting from the episode handed over, if any."""
     alert = F.struct(deadline.alias("deadline"), level.alias("level"))
@@ -135,9 +158,8 @@ def _alerts(
     def step(state: Column, row: Column) -> Column:
         past = F.coalesce(row["_ts"] > state["at"], F.lit(False))
         runs_on = state["at"].isNotNull() & ~past
-        at = F.when(~row["_fell"], F.when(runs_on, state["at"]).otherwise(
-            row["_ts"] + span(hold)
-        ))
+        due = F.when(runs_on, state["at"]).otherwise(row["_ts"] + F.lit(length))
+        at = F.when(~row["_fell"], due)
         return F.struct(
             at.alias("at"),
             row["_value"].alias("level"),
@@ -152,28 +174,26 @@ def _alerts(
         )
 
     found = F.aggregate("_rows", start, step, finish)
-    return segments.select(
-        F.col("_key").alias(key), F.explode(found).alias("_alert")
-    ).select(key, "_alert.deadline", "_alert.level")
+    return segments.select("_key", F.explode(found).alias("_alert")).select(
+        "_key", "_alert.deadline", "_alert.level"
+    )
 
 
 def _handed_over(
-    segments: DataFrame, hold: Span, key_type: T.DataType, value_type: T.DataType
+    segments: DataFrame, length: int, key_type: T.DataType, value_type: T.DataType
 ) -> DataFrame:
     """The open episode each segment of a cut climb receives from the one before.
 
     What a segment hands on depends only on the first rise after the deadline it
     receives, so it is summed up as (rise, deadline handed on) pairs for the rises
-    it can start from: those within ``hold`` of its first row, and the next one.
+    it can start from: those within ``length`` of its first row, and the next one.
     """
-    length = duration_us(hold) if isinstance(hold, str) else int(hold)
-    ts_type = segments.schema["_rows"].dataType.elementType["_ts"].dataType
     rises = F.filter("_rows", lambda r: ~r["_fell"])
     bare = segments.select(
         "_key",
         "_climb",
         "_from",
-        F.transform(rises, lambda r: micros(r["_ts"], ts_type)).alias("_rises"),
+        rises["_ts"].alias("_rises"),
         F.element_at("_rows", -1)["_value"].alias("_level"),
     )
 

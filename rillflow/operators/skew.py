@@ -9,7 +9,8 @@ Size bounds, with N rows in total and L = max(rows_per_task, N / max_parts):
 at most ``max_parts`` keys have more than L rows, and they are cut into at most
 about ``2 * max_parts`` parts. Only tables of that size are collected or
 broadcast. Keys below the limit take the plain window path; when no key is
-above it, nothing is joined at all.
+above it, nothing is joined at all. Without keys the positions become literals in
+the plan, so there are fewer of them.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructField, StructType
 
@@ -26,14 +27,15 @@ PART = "_part"
 _HOT = "_hot"
 _BOUNDS = "_bounds"
 _SAMPLES_PER_PART = 32
+_MAX_LITERAL_PARTS = 2_000
 
 
 @dataclass(frozen=True)
 class Limits:
     """How many rows of one key a task may take, and the most parts to cut."""
 
-    rows_per_task: int = 1_000_000
-    max_parts: int = 10_000
+    rows_per_task: int = 500_000
+    max_parts: int = 50_000
 
 
 DEFAULT = Limits()
@@ -82,11 +84,12 @@ def _hot_bounds(
     keys: Sequence[str],
     order_by: Sequence[str],
     limits: Limits,
-) -> DataFrame | None:
+) -> tuple[list[Row], StructType] | None:
     """One row per hot key with the sorted positions at which to cut it."""
     if total <= limits.rows_per_task:
         return None
-    limit = max(limits.rows_per_task, math.ceil(total / limits.max_parts))
+    most = limits.max_parts if keys else min(limits.max_parts, _MAX_LITERAL_PARTS)
+    limit = max(limits.rows_per_task, math.ceil(total / most))
     renamed = [F.col(k).alias(f"_h_{k}") for k in keys]
     spark = df.sparkSession
     key_schema = df.select(*renamed).schema
@@ -109,8 +112,7 @@ def _hot_bounds(
     schema = StructType(
         [*key_schema.fields, StructField(_BOUNDS, ArrayType(at_type), True)]
     )
-    bounds = spark.createDataFrame(cuts.collect(), schema)
-    return bounds.withColumn(_BOUNDS, F.sort_array(_BOUNDS))
+    return cuts.collect(), schema
 
 
 def _literal(value: object, kind: DataType) -> Column:
@@ -140,16 +142,18 @@ def cut(
     keys, order_by = tuple(keys), tuple(order_by)
     measured = (df if measured_on is None else measured_on).select(*keys, *order_by)
     total = measured.count()
-    bounds = _hot_bounds(measured, total, keys, order_by, limits)
-    if bounds is None:
+    found = _hot_bounds(measured, total, keys, order_by, limits)
+    if found is None:
         return Parts(df, keys, order_by, False, total)
-    widest = bounds.agg(F.max(F.size(_BOUNDS))).first()[0]
+    hot, schema = found
+    widest = max(len(row[_BOUNDS]) for row in hot)
     if keys:
+        bounds = df.sparkSession.createDataFrame(hot, schema)
+        bounds = bounds.withColumn(_BOUNDS, F.sort_array(_BOUNDS))
         marked = df.join(F.broadcast(bounds), _same_keys(df, bounds, keys), "left")
     else:
-        marked = df.withColumn(
-            _BOUNDS, _literal(bounds.first()[_BOUNDS], bounds.schema[_BOUNDS].dataType)
-        )
+        positions = _literal(hot[0][_BOUNDS], schema[_BOUNDS].dataType)
+        marked = df.withColumn(_BOUNDS, F.sort_array(positions))
     marked = marked.withColumns({_HOT: F.col(_BOUNDS).isNotNull(), PART: F.lit(0)})
     # Binary search for the last bound that is not above the row, one projection
     # per step: these stay in generated code, unlike a lambda.
