@@ -112,12 +112,13 @@ def _hot_bounds(
     schema = StructType(
         [*key_schema.fields, StructField(_BOUNDS, ArrayType(at_type), True)]
     )
-    return cuts.collect(), schema
+    found = cuts.collect()
+    return (found, schema) if found else None
 
 
 def _literal(value: object, kind: DataType) -> Column:
     if isinstance(kind, ArrayType):
-        return F.array(*[_literal(v, kind.elementType) for v in value])
+        return F.array(*[_literal(v, kind.elementType) for v in value]).cast(kind)
     if isinstance(kind, StructType):
         return F.struct(
             *[_literal(v, f.dataType).alias(f.name) for v, f in zip(value, kind.fields)]
@@ -134,10 +135,11 @@ def cut(
 ) -> Parts:
     """Add ``_part`` so that no (key, part) group holds many more than the limit.
 
-    Keys that are not cut are whole in part 0; without keys all rows are one group. ``order_by`` must order the rows of a key totally. The input is read once to
-    count its keys, and once more when there are hot ones. When ``df`` is itself
-    costly, ``measured_on`` can name a cheaper frame with the same key and order
-    columns and at least as many rows in any stretch of a key.
+    Keys that are not cut are whole in part 0; without keys all rows are one group.
+    ``order_by`` must order the rows of a key totally. The input is read once to
+    count its rows, and again for hot keys when there are more than one task should
+    hold. When ``df`` is itself costly, ``measured_on`` can name a cheaper frame with
+    the same key and order columns and at least as many rows in any stretch of a key.
     """
     keys, order_by = tuple(keys), tuple(order_by)
     measured = (df if measured_on is None else measured_on).select(*keys, *order_by)

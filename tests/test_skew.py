@@ -111,6 +111,34 @@ def test_without_keys_all_rows_are_one_group(spark, limits):
     ]
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("keys", [["k"], []])
+def test_parts_are_joined_by_hash(spark, keys):
+    columns = {"total": skew.running_sum("v")}
+    out = skew.with_running(frame(spark, events(3)), keys, ["t", "id"], columns, CUT)
+    text = plan(out)
+    assert "BroadcastHashJoin" in text
+    assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_copies_into_windows_are_not_shuffled(spark):
+    timed = frame(spark, events(3)).withColumn("ts", F.timestamp_seconds("t"))
+    text = plan(op.sliding(timed, "ts", "60 seconds", "5 seconds", ["k"]))
+    above_copies = text.split("Generate explode(sequence")[0]
+    assert "Exchange" not in above_copies
+
+
+def test_top_n_and_blacklist_limit_groups_before_the_shuffle(spark):
+    timed = frame(spark, events(3)).withColumn("ts", F.timestamp_seconds("t"))
+    top = op.top_n(op.tumbling(timed, "ts", "5 seconds", ["k"]), 3, "cnt", ["k"])
+    passed = op.blacklist_pass(timed, ["k"], "ts", ["id"], 5)
+    for df in (top, passed):
+        assert "row_number(), " in plan(df).split("Exchange")[1]
+
+
 def brute_rising(rows, hold, start=0):
     last, due, out = start, None, []
     for _, t, _, v in rows:
@@ -129,7 +157,8 @@ def brute_rising(rows, hold, start=0):
 
 @pytest.mark.parametrize("climbing", [False, True])
 @pytest.mark.parametrize(
-    ("limits", "segment_rows"), [(skew.DEFAULT, 65_536), (CUT, 65_536), (CUT, 7), (skew.DEFAULT, 11)]
+    ("limits", "segment_rows"),
+    [(skew.DEFAULT, 65_536), (CUT, 65_536), (CUT, 7), (skew.DEFAULT, 11)],
 )
 def test_rising_alerts(spark, climbing, limits, segment_rows):
     data = events(11)
@@ -231,7 +260,9 @@ def test_sessions(spark, limits):
     assert got == sorted(want)
 
 
-@pytest.mark.parametrize(("size", "slide"), [("12 seconds", "4 seconds"), ("9 seconds", "4 seconds")])
+@pytest.mark.parametrize(
+    ("size", "slide"), [("12 seconds", "4 seconds"), ("9 seconds", "4 seconds")]
+)
 def test_sliding_equals_direct_windows(spark, size, slide):
     timed = frame(spark, events(4)).withColumn("ts", F.timestamp_seconds("t"))
     aggregates = {
@@ -240,7 +271,12 @@ def test_sliding_equals_direct_windows(spark, size, slide):
     got = op.sliding(timed, "ts", size, slide, ["k"], aggregates)
     want = (
         timed.groupBy("k", F.window("ts", size, slide).alias("w"))
-        .agg(F.count("*").alias("n"), F.sum("v").alias("s"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        .agg(
+            F.count("*").alias("n"),
+            F.sum("v").alias("s"),
+            F.min("v").alias("lo"),
+            F.max("v").alias("hi"),
+        )
         .select("k", "w.start", "w.end", "n", "s", "lo", "hi")
     )
     assert got.count() == want.count()
