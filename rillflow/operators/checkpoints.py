@@ -9,10 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder, or a temporary one where none is named."""
+    """The folder that the cluster names in ``spark.checkpoint.dir``.
+
+    Where nothing is named, a session on one machine gets a temporary folder; on a cluster, where executors
+    could not see that, it is an error.
+    """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="rillflow-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
