@@ -106,3 +106,19 @@ def shingles(words: np.ndarray, size: int) -> np.ndarray:
 def shingle_set(text: str | None, size: int) -> np.ndarray:
     """The distinct shingle hashes of a text, in rising order."""
     return np.unique(shingles(word_hashes(text or ""), size))
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, most: int, chars: int, *, id_column: str = "doc_id"
+) -> list[tuple[str, int]]:
+    """At most about ``most`` texts of each class (0 or 1), drawn by hash and cut to ``chars`` characters, in a fixed order."""
+    marks = labels.where(F.col(label).isin(0, 1)).select(F.col(id_column).alias("id"), F.col(label).alias("y"))
+    sizes = {r.y: r.n for r in marks.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    share = F.lit(0.0)
+    for y, n in sizes.items():
+        share = F.when(F.col("y") == y, min(1.0, most / n)).otherwise(share)
+    place = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
+    marks = marks.where(place < share)
+    texts = docs.select(F.col(id_column).alias("id"), F.substring("text", 1, chars).alias("text"))
+    rows = texts.join(marks, "id").where("text is not null").select("id", "text", "y").collect()
+    return [(r.text, int(r.y)) for r in sorted(rows, key=lambda r: (r.id, r.y))]

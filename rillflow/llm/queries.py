@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import mixing, tokens
-from rillflow.llm.common import table
+from rillflow.llm import language, mixing, quality, tokens, toxicity, urls
+from rillflow.llm.common import crc_of_id, labelled_sample, table
 from rillflow.operators.checkpoints import run_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -16,6 +16,15 @@ ORACLES: dict[str, str] = {}
 
 TOKENIZER = "word_bpe_49k.json"
 
+#: (verdict, host, start of the path)
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
 
 def query(run):
     QUERIES[run.__name__] = run
@@ -78,3 +87,48 @@ def op7_token_output(spark, folder):
     path = run_folder(spark, "tokens")
     tokens.write_tokens(table(spark, folder, "documents"), path, tokenizer_file(), end_id=1)
     return tokens.read_tokens(spark, path, visit=tokens.crc32_of_ids, kind="bigint", column="ids_crc32")
+
+
+@query
+def op5_url_filter(spark, folder):
+    """Rules and, where none fits, boosted trees on every URL."""
+    return urls.filter_urls(table(spark, folder, "pages"), URL_RULES)
+
+
+@query
+def op3_language(spark, folder):
+    """Language of every document, learned from three quarters of the rows."""
+    docs = table(spark, folder, "documents")
+    held_out = (F.pmod(crc_of_id(), F.lit(4)) == 2).alias("held_out")
+    profiles = language.learn_profiles(docs.where(~held_out))
+    return language.identify(docs, profiles, F.col("doc_id"), held_out)
+
+
+def quality_model(spark, docs, labels):
+    """The classifier, learned from labelled rows that are not held out."""
+    learn = F.pmod(crc_of_id(), F.lit(4)) != 2
+    rows = quality.sample(docs.where(learn), labels.where(learn), "quality")
+    return quality.train([text for text, _ in rows], [y for _, y in rows])
+
+
+@query
+def op9_quality(spark, folder):
+    """Quality score of every document."""
+    docs = table(spark, folder, "documents")
+    held_out = (F.pmod(crc_of_id(), F.lit(4)) == 2).alias("held_out")
+    model = quality_model(spark, docs, table(spark, folder, "labels"))
+    scored = quality.score(docs, model, "doc_id", held_out)
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+@query
+def op10_toxicity(spark, folder):
+    """Toxicity score of every document."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = (F.pmod(crc_of_id(), F.lit(5)) == 0).alias("held_out")
+    learn = F.pmod(crc_of_id(), F.lit(5)) != 0
+    rows = labelled_sample(
+        docs.where(learn), labels.where(learn), "toxic", toxicity.LEARN_DOCS, toxicity.LEARN_CHARS
+    )
+    scored = toxicity.score(docs, toxicity.learn(rows), "doc_id", held_out)
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
