@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import language, mixing, quality, tokens, toxicity, urls
+from rillflow.llm import embeddings, language, mixing, quality, tokens, toxicity, urls
 from rillflow.llm.common import crc_of_id, labelled_sample, table
 from rillflow.operators.checkpoints import run_folder
 
@@ -132,3 +132,32 @@ def op10_toxicity(spark, folder):
     )
     scored = toxicity.score(docs, toxicity.learn(rows), "doc_id", held_out)
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query
+def op1_embedding_links(spark, folder):
+    """Links and components of embeddings with equal labels."""
+    return embeddings.link_vectors(table(spark, folder, "embeddings"), threshold=0.98)
+
+
+ORACLES["op1_embedding_links"] = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v
+  FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+), reached AS (
+  SELECT u AS id, v AS other FROM links
+  UNION
+  SELECT r.id, l.v FROM reached r JOIN links l ON r.other = l.u
+), lowest AS (SELECT id, min(other) AS other FROM reached GROUP BY id)
+SELECT e.vec_id,
+       (SELECT count(*) FROM links l WHERE l.u = e.vec_id)::BIGINT AS n_links,
+       least(e.vec_id, coalesce(w.other, e.vec_id)) AS component_id,
+       least(e.vec_id, coalesce(w.other, e.vec_id)) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN lowest w ON w.id = e.vec_id
+"""
