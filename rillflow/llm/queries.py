@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import embeddings, language, mixing, quality, tokens, toxicity, urls
+from rillflow.llm import embeddings, language, mixing, neardup, quality, tokens, toxicity, urls
 from rillflow.llm.common import crc_of_id, labelled_sample, table
 from rillflow.operators.checkpoints import run_folder
 
@@ -161,3 +161,9 @@ SELECT e.vec_id,
        least(e.vec_id, coalesce(w.other, e.vec_id)) = e.vec_id AS kept
 FROM embeddings e LEFT JOIN lowest w ON w.id = e.vec_id
 """
+
+
+@query
+def op2_minhash_groups(spark, folder):
+    """Groups of near-duplicate documents."""
+    return neardup.near_duplicates(table(spark, folder, "documents"), size=2, percent=80)
