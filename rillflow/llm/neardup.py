@@ -275,3 +275,10 @@ def _between(rows: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     pairs = a.join(b, apart & _alike("a", "b", percent))
     u, v = F.col("a.id"), F.col("b.id")
     return pairs.select(F.least(u, v).alias("u"), F.greatest(u, v).alias("v"))
+
+
+def one_per_group(docs: DataFrame, **options) -> DataFrame:
+    """The documents (all their columns) with the smallest id of each group, and those without words."""
+    found = near_duplicates(docs, **options)
+    kept = written(found.where("kept").select("doc_id").distinct(), "kept")
+    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)

@@ -157,3 +157,16 @@ def score(docs: DataFrame, model: Model, *keep: Column | str, text_column: str =
                 yield pa.RecordBatch.from_arrays([*rows.columns[:-1], pa.array(found)], [*columns, "score"])
 
     return kept.mapInArrow(run, f"{fields}, score double")
+
+
+def keep_good(docs: DataFrame, model: Model, least: float) -> DataFrame:
+    """The documents (all their columns) that score ``least`` or more."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in pieces(batch, "text", 1 << 20):
+                yield rows.filter(pa.array(model.scores(*utf8(rows.column(at))) >= least))
+
+    return docs.mapInArrow(run, schema)

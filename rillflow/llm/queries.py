@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import embeddings, language, mixing, neardup, quality, tokens, toxicity, urls
+from rillflow.llm import decontaminate, embeddings, language, mixing, neardup, quality, tokens, toxicity, urls
 from rillflow.llm.common import crc_of_id, labelled_sample, table
 from rillflow.operators.checkpoints import run_folder
 
@@ -16,6 +16,9 @@ ORACLES: dict[str, str] = {}
 
 TOKENIZER = "word_bpe_49k.json"
 
+#: Weights in the order of sources, share of all words that the mix holds, epochs at most.
+MIX = {"weights": [5, 2, 1], "share": 1.5, "epochs": 2.0}
+
 #: (verdict, host, start of the path)
 URL_RULES = [
     ("allow", "com", "/"),
@@ -34,7 +37,7 @@ def query(run):
 @query
 def op6_mixing(spark, folder):
     """Words that the mix takes of each document."""
-    return mixing.mix(table(spark, folder, "documents"), weights=[5, 2, 1], share=1.5, epochs=2.0)
+    return mixing.mix(table(spark, folder, "documents"), **MIX)
 
 
 ORACLES["op6_mixing"] = """
@@ -167,3 +170,9 @@ FROM embeddings e LEFT JOIN lowest w ON w.id = e.vec_id
 def op2_minhash_groups(spark, folder):
     """Groups of near-duplicate documents."""
     return neardup.near_duplicates(table(spark, folder, "documents"), size=2, percent=80)
+
+
+@query
+def op4_decontamination(spark, folder):
+    """Benchmark items in documents."""
+    return decontaminate.judge(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
