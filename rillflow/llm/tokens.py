@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -35,39 +36,68 @@ DICTIONARY_BYTES, SAMPLE_DOCS, SAMPLE_CHARS = 64 << 10, 2_000, 2_000
 BLOCK_BYTES = 4 << 20
 #: Documents of a part, unless that makes more than ``MOST_PARTS`` of them.
 DOCS_PER_PART, MOST_PARTS = 5_000, 2_048
-#: Words whose ids a Python worker remembers. Past it, it starts anew.
-REMEMBERED_WORDS = 600_000
+#: Words, and parts of words, whose ids a Python worker remembers. Past it, it starts anew.
+REMEMBERED_WORDS = 500_000
+#: Signs that are cut off the end of a word: no letters, no digits, nothing that starts a contraction.
+SIGNS = "!\"#$%&)*+,-./:;=?@]^_`|}~"
 LEVEL = 3
 
 
 class WordEncoder:
     """Ids of texts, remembering the ids of words between spaces and line ends.
 
-    Right for tokenizers that drop or split at white space and look at no context beyond it, as those that
-    pre-tokenize by words do: the ids of a text are then those of its words in turn.
+    Right for tokenizers that lower-case, drop white space, and split runs of letters from other signs before they look up
+    anything, so that the ids of a text are those of its words in turn, and those of a word do not change with the case of
+    A-Z or when the signs after its last letter are encoded on their own.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list(set(itertools.chain.from_iterable(split)) - self.known.keys())
-        if len(self.known) + len(new) > REMEMBERED_WORDS:
-            self.known.clear()
-            new = list(set(itertools.chain.from_iterable(split)))
-        for at in range(0, len(new), 10_000):
-            words = new[at : at + 10_000]
-            found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-            for word, encoding in zip(words, found):
-                self.known[word] = np.array(encoding.ids, "<u4").tobytes()
-        ids = self.known.__getitem__
+        new = set(itertools.chain.from_iterable(split)) - self.words.keys()
+        if len(self.words) + len(new) > REMEMBERED_WORDS:
+            self.words.clear()
+            new = set(itertools.chain.from_iterable(split))
+        if new:
+            self._learn(new)
+        ids = self.words.__getitem__
         return [b"".join(map(ids, words)) for words in split]
 
+    def _learn(self, new: set[str]) -> None:
+        cut = {word: _parts(word) for word in new}
+        parts = set(itertools.chain.from_iterable(cut.values()))
+        missing = list(parts - self.parts.keys())
+        if len(self.parts) + len(missing) > REMEMBERED_WORDS:
+            self.parts.clear()
+            missing = list(parts)
+        for at in range(0, len(missing), 10_000):
+            some = missing[at : at + 10_000]
+            for part, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                self.parts[part] = array("I", found.ids).tobytes()
+        ids = self.parts.__getitem__
+        for word, own in cut.items():
+            self.words[word] = ids(own[0]) if len(own) == 1 else b"".join(map(ids, own))
+
+
+def _parts(word: str) -> tuple[str, ...]:
+    """A word in lower case, without the signs after its last letter, and these signs."""
+    if "<|" in word:  # may be a special token, which has a case and signs of its own
+        return (word,)
+    low = word.lower() if word.isascii() else word.encode("utf-8").lower().decode("utf-8")
+    stem = low.rstrip(SIGNS)
+    last = stem[-1:]
+    # Only after Latin letters that stay one letter in normal form and lower case.
+    if len(stem) == len(low) or not last.isalpha() or last >= "\u0250" or last == "\u0130":
+        return (low,)
+    return stem, low[len(stem) :]
+
 
 _encoders: dict[str, WordEncoder] = {}
 
