@@ -120,5 +120,6 @@ def labelled_sample(
     place = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
     marks = marks.where(place < share)
     texts = docs.select(F.col(id_column).alias("id"), F.substring("text", 1, chars).alias("text"))
-    rows = texts.join(marks, "id").where("text is not null").select("id", "text", "y").collect()
+    # About ``most`` rows per class, whatever the input.
+    rows = texts.join(F.broadcast(marks), "id").where("text is not null").select("id", "text", "y").collect()
     return [(r.text, int(r.y)) for r in sorted(rows, key=lambda r: (r.id, r.y))]
