@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import decontaminate, embeddings, language, mixing, neardup, quality, tokens, toxicity, urls
+from rillflow.llm import decontaminate, embeddings, language, mixing, neardup, quality, substrings, tokens, toxicity, urls
 from rillflow.llm.common import crc_of_id, labelled_sample, table
 from rillflow.operators.checkpoints import run_folder
 
@@ -176,3 +176,9 @@ def op2_minhash_groups(spark, folder):
 def op4_decontamination(spark, folder):
     """Benchmark items in documents."""
     return decontaminate.judge(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op8_repeated_substrings(spark, folder):
+    """Bytes of each document that no earlier document covers."""
+    return substrings.remove_repeats(table(spark, folder, "documents"))
