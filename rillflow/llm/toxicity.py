@@ -35,6 +35,8 @@ ODDS = 20.0
 MOST_TERMS, MOST_PHRASES = 2_000, 500
 #: Words added to a text's length, so that one match in a short text does not weigh without bound.
 EXTRA_WORDS = 10
+#: Load added before the logarithm, that of about one match in some thousand words.
+FLOOR = 1e-3
 
 #: Letters of other scripts that look like Latin ones (fixed values).
 HOMOGLYPHS = {
@@ -109,7 +111,7 @@ class Lexicon:
         load = self.load(automaton, text)
         if load <= 0:
             return 0.0
-        return 1 / (1 + math.exp(-(self.offset + self.slope * math.log(load))))
+        return 1 / (1 + math.exp(-(self.offset + self.slope * math.log(load + FLOOR))))
 
 
 def learn(rows: list[tuple[str, int]]) -> Lexicon:
@@ -158,17 +160,15 @@ def learn(rows: list[tuple[str, int]]) -> Lexicon:
     harmless = [(n, p) for p, n in phrases[0].items() if n >= 3 and not phrases[1][p]]
     lexicon.exceptions = [p for _, p in sorted(harmless, reverse=True)[:MOST_PHRASES]]
 
-    # Logistic regression on the log of the load, over documents with any; Newton steps with a small ridge.
+    # Logistic regression on the log of the load; Newton steps with a small ridge.
     automaton = lexicon.automaton() if lexicon.weights else None
     loads = np.array([lexicon.load(automaton, t) if automaton else 0.0 for t, _ in rows])
     y = np.array([y for _, y in rows], float)
-    some = loads > 0
-    x = np.stack([np.ones(some.sum()), np.log(loads[some])], 1)
-    target = y[some]
+    x = np.stack([np.ones(len(y)), np.log(loads + FLOOR)], 1)
     beta = np.zeros(2)
     for _ in range(25):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        slope = x.T @ (target - p) - 0.1 * beta
+        slope = x.T @ (y - p) - 0.1 * beta
         curve = (x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(2)
         beta = beta + np.linalg.solve(curve, slope)
     lexicon.offset, lexicon.slope = float(beta[0]), float(beta[1])
