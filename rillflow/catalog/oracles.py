@@ -96,7 +96,7 @@ FROM events
 _ORDER_LOG = """
 SELECT coalesce(c.k, p.k) AS order_id, c.d AS created, p.d AS paid
 FROM (SELECT o_orderkey AS k, CAST(date_diff('day', DATE '1970-01-01', o_orderdate) AS BIGINT) AS d
-      FROM orders WHERE o_orderstatus <> 'P') c
+      FROM orders) c
 FULL JOIN (SELECT l_orderkey AS k,
                   CAST(date_diff('day', DATE '1970-01-01', min(l_shipdate)) AS BIGINT) AS d
            FROM lineitem GROUP BY 1) p ON c.k = p.k
@@ -110,6 +110,9 @@ ORACLES: dict[str, str] = {
     "pv_running": """
         SELECT event_type, event_id, count(*) OVER (ORDER BY event_id) AS cnt
         FROM events WHERE event_type = 'view'""",
+    "uv_approx": """
+        SELECT count(DISTINCT user_id) AS uv, TRUE AS within_bound
+        FROM events WHERE event_type = 'view'""",
     "uv_exact": """
         SELECT count(DISTINCT user_id) AS uv FROM events WHERE event_type = 'view'""",
     "project_map": """
@@ -131,7 +134,8 @@ ORACLES: dict[str, str] = {
                               WHEN value <= 200 THEN 'mid' ELSE 'rest' END AS labels
         FROM events""",
     "union_x10": """
-        SELECT event_id * 10 AS x10 FROM events WHERE event_type IN ('view', 'click', 'error')
+        SELECT event_id * 10 AS x10 FROM events
+        WHERE event_type IN ('view', 'click', 'error', 'signup', 'purchase')
         UNION ALL SELECT event_id * 10 FROM events WHERE event_type = 'view'""",
     "connect_map": """
         SELECT CAST(1 AS INTEGER) AS side, concat(event_id, '/', event_type) AS value FROM events
@@ -227,7 +231,7 @@ ORACLES: dict[str, str] = {
         SELECT user_id, event_type, ts, CAST(2 AS BIGINT) AS clicks
         FROM ({_DAILY}) WHERE nth = 3""",
     "blacklist_hot_ads": _top3(
-        21600, 3600, "user_id, event_type", f"(SELECT * FROM ({_DAILY}) WHERE nth <= 2)"
+        3600, 300, "user_id, event_type", f"(SELECT * FROM ({_DAILY}) WHERE nth <= 2)"
     ),
     "login_fail": """
         SELECT user_id, previous_ts, ts FROM (
@@ -259,7 +263,10 @@ ORACLES.update(
                    date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, count(*) AS cnt
             FROM events GROUP BY ALL""",
         "stream_sessions": ORACLES["session_counts"],
-        "stream_hot_by_user": _top3(21600, 3600, "user_id, event_type"),
+        "stream_hot_by_user": ORACLES["hot_by_user"],
+        "stream_hot_items": ORACLES["hot_items"],
+        "stream_hot_pages": ORACLES["hot_pages"],
+        "stream_blacklist_hot_ads": ORACLES["blacklist_hot_ads"],
         "stream_rolling_sum": f"""
             SELECT user_id, CAST(sum({_CENTS}) OVER (
                      PARTITION BY user_id ORDER BY event_id) AS BIGINT) AS cents FROM events""",
@@ -272,10 +279,12 @@ ORACLES.update(
             FROM ({_DAILY}) WHERE nth <= 3""",
         "stream_login_fail": ORACLES["login_fail"],
         "stream_rising_alert": ORACLES["rising_alert"],
-        "stream_order_outcome": f"""
-            SELECT order_id, CASE WHEN paid - created > 30 THEN 'paid_late'
-                                  ELSE 'paid' END AS outcome, created, paid
-            FROM ({_ORDER_LOG}) WHERE created IS NOT NULL AND paid IS NOT NULL""",
+        "stream_order_outcome": ORACLES["order_outcome"]
+        + f"""
+            UNION ALL SELECT order_id, 'pay_missing', created, NULL
+            FROM ({_ORDER_LOG}) WHERE paid - created > 30
+            UNION ALL SELECT order_id, 'create_missing', NULL, paid
+            FROM ({_ORDER_LOG}) WHERE created - paid > 30""",
         "stream_first_timer": ORACLES["first_timer"],
     }
 )

@@ -134,7 +134,7 @@ def stream_hot_by_user(spark, folder):
 
     def build(rows):
         timed = st.with_event_time(rows, "ts")
-        return st.sliding(timed, "ts", "6 hours", "1 hour", keys)
+        return st.sliding(timed, "ts", "1 hour", "5 minutes", keys)
 
     def ranked(path):
         return st.top_n_sink(st.folder_sink(path), 3, "cnt", keys)
@@ -144,6 +144,47 @@ def stream_hot_by_user(spark, folder):
     return _zoneless(out, "window_end").select("window_end", "rk", *keys, "cnt")
 
 
+def _ranked(keys):
+    return lambda path: st.top_n_sink(st.folder_sink(path), 3, "cnt", keys)
+
+
+@query
+def stream_hot_items(spark, folder):
+    def build(rows):
+        timed = st.with_event_time(rows, "ts")
+        return st.sliding(timed, "ts", "1 hour", "5 minutes", ["user_id"])
+
+    rows = tb.events(spark, folder).where(F.col("event_type") == "view")
+    steps = _timed_steps(rows.select("ts", "user_id"))
+    out = _read(spark, _feed(steps, build, writer=_ranked(["user_id"])))
+    return _zoneless(out, "window_end").select("window_end", "rk", "user_id", "cnt")
+
+
+@query
+def stream_hot_pages(spark, folder):
+    def build(rows):
+        timed = st.with_event_time(rows, "ts", "1 minute")
+        return st.sliding(timed, "ts", "10 minutes", "5 seconds", ["event_type"])
+
+    steps = _timed_steps(tb.events(spark, folder).select("ts", "event_type"))
+    out = _read(spark, _feed(steps, build, writer=_ranked(["event_type"])))
+    return _zoneless(out, "window_end").select("window_end", "rk", "event_type", "cnt")
+
+
+@query
+def stream_blacklist_hot_ads(spark, folder):
+    keys = ["user_id", "event_type"]
+
+    def build(rows):
+        tagged = st.daily_limit(rows, keys, "ts", ["event_id"], 2)
+        passed = tagged.where(F.col("tag") == "main")
+        return st.sliding(passed, "ts", "1 hour", "5 minutes", keys)
+
+    rows = tb.events(spark, folder).select("event_id", "ts", *keys)
+    out = _read(spark, _feed(_timed_steps(rows), build, writer=_ranked(keys)))
+    return _zoneless(out, "window_end").select("window_end", "rk", *keys, "cnt")
+
+
 @query
 def stream_rolling_sum(spark, folder):
     def build(rows):
@@ -180,49 +221,62 @@ def stream_blacklist(spark, folder):
         return st.daily_limit(rows, keys, "ts", ["event_id"], 2)
 
     rows = tb.events(spark, folder).select("event_id", "ts", "user_id", "event_type")
-    out = _read(spark, _feed(_timed_steps(rows), build)).where("event_id IS NOT NULL")
-    return _zoneless(out, "ts")
+    out = _read(spark, _feed(_timed_steps(rows), build))
+    return _zoneless(out.where(F.col("ts") < F.lit(MARKER_TIME)), "ts")
+
+
+def _shuffled_steps(df: DataFrame, seconds: int, **others) -> list[DataFrame]:
+    """Four steps in which rows come up to ``seconds`` out of order.
+
+    A row's step goes by its time plus a delay of its own, so that rows next to
+    each other in time are parted around each boundary.
+    """
+    low, high = df.agg(F.min("ts"), F.max("ts")).first()
+    late = F.pmod(F.xxhash64("ts"), F.lit(seconds))
+    arrival = F.col("ts") + F.make_dt_interval(secs=late)
+    steps = []
+    for k in range(4):
+        begin, end = (low + (high - low) * share / 4 for share in (k, k + 1))
+        inside = F.lit(True) if k == 0 else arrival > begin
+        steps.append(df.where(inside if k == 3 else inside & (arrival <= end)))
+    return [*steps, _marker(df, "ts", **others)]
 
 
 @query
 def stream_login_fail(spark, folder):
     def build(rows):
         failed = F.col("event_type") == "error"
-        return st.repeated_failures(
-            rows, "user_id", "ts", failed, "1 hour", "0 seconds"
-        )
+        return st.repeated_failures(rows, "user_id", "ts", failed, "1 hour", "1 day")
 
     rows = tb.events(spark, folder).select("ts", "user_id", "event_type")
-    out = _read(spark, _feed(_timed_steps(rows), build))
+    out = _read(spark, _feed(_shuffled_steps(rows, 86_400, event_type="error"), build))
     return _zoneless(out, "previous_ts", "ts")
 
 
 @query
 def stream_rising_alert(spark, folder):
     def build(rows):
-        return st.rising_alerts(rows, "user_id", "ts", "value", "6 hours")
+        return st.rising_alerts(rows, "user_id", "ts", "value", "6 hours", delay="1 day")
 
     rows = tb.events(spark, folder).select("ts", "user_id", "value")
-    steps = _timed_steps(rows, value=0)
-    out = _read(spark, _feed(steps, build)).where("user_id IS NOT NULL")
+    steps = _shuffled_steps(rows, 86_400, value=0)
+    out = _read(spark, _feed(steps, build))
     return _zoneless(out, "deadline")
 
 
 @query
 def stream_order_outcome(spark, folder):
-    """Pairs only: when a missing partner is reported depends on the arrival."""
+    """Outcomes, and the early reports of partners that come after the limit."""
 
     def build(rows):
-        return st.order_outcomes(
-            rows, "ts", ["event_type"], "30 days", "36500 days", delay="36500 days"
-        )
+        return st.order_outcomes(rows, "ts", "30 days", "3650 days")
 
     log = tb.order_log(spark, folder).withColumn(
         "ts", F.timestamp_seconds(F.col("event_time") * 86_400)
     )
-    out = _read(spark, _feed([*_halves(log, "order_id"), _marker(log, "ts")], build))
+    out = _read(spark, _feed(_timed_steps(log), build))
     day = 86_400
-    return out.where(F.col("outcome").isin("paid", "paid_late")).select(
+    return out.select(
         "order_id",
         "outcome",
         F.floor(F.unix_seconds("created") / day).alias("created"),
@@ -233,8 +287,8 @@ def stream_order_outcome(spark, folder):
 @query
 def stream_first_timer(spark, folder):
     def build(rows):
-        return st.first_timer(rows, ["user_id"], "ts", "5 seconds")
+        return st.first_timer(rows, ["user_id"], "ts", "5 seconds", "1 day")
 
     rows = tb.events(spark, folder).select("ts", "user_id")
-    out = _read(spark, _feed(_timed_steps(rows), build)).where("user_id IS NOT NULL")
+    out = _read(spark, _feed(_shuffled_steps(rows, 86_400), build))
     return _zoneless(out, "fires_at")

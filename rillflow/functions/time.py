@@ -81,6 +81,12 @@ def window_start(epoch: ColumnOrName, size: int, offset: int = 0) -> Column:
     return epoch - F.pmod(epoch - F.lit(offset), F.lit(size))
 
 
-def day_of(ts: ColumnOrName) -> Column:
-    """Calendar day of a timestamp (UTC when the session time zone is UTC)."""
-    return F.to_date(as_column(ts))
+def day_of(ts: ColumnOrName, kind: DataType) -> Column:
+    """UTC calendar day of a timestamp of type ``kind``, whatever the session's zone.
+
+    Zone-less timestamps are taken as they read.
+    """
+    days = F.floor(micros(ts, kind) / F.lit(86_400_000_000))
+    if isinstance(kind, TimestampNTZType):
+        return F.to_date(as_column(ts))
+    return F.date_from_unix_date(days.cast("int"))

@@ -44,7 +44,7 @@ def blacklist(
     group = Window.partitionBy(*keys, "day").orderBy(*order_by)
     nth = F.row_number().over(group)
     return (
-        df.withColumn("day", day_of(ts))
+        df.withColumn("day", day_of(ts, df.schema[ts].dataType))
         .withColumn("_nth", nth)
         .where(F.col("_nth") <= limit + 1)
         .withColumn("tag", F.when(F.col("_nth") <= limit, "main").otherwise("alert"))
@@ -110,10 +110,10 @@ def order_outcomes(
 
     An event pairs with the one just before it when that one is of the other type
     and not paired itself; a second event of the same type replaces the pending
-    one. Outcomes: ``paid``, ``paid_late`` (paid more than ``limit`` after the
+    one. Every type but ``create`` counts as a pay. Outcomes: ``paid``, ``paid_late`` (paid more than ``limit`` after the
     create), ``pay_missing`` and ``create_missing``.
     """
-    rows = events.withColumn("_create", F.col(event_type) == "create").withColumn(
+    rows = events.withColumn("_create", F.col(event_type).eqNullSafe("create")).withColumn(
         "_at", F.col(ts)
     )
     rows = rows.select(order, "_create", "_at", *[c for c in order_by if c != order])

@@ -8,6 +8,7 @@ from rillflow.plans.jobs import (
     login_failures,
     order_timeouts,
     page_views,
+    rising_levels,
     running_page_views,
     threshold_alarm,
     unique_visitors,
@@ -24,6 +25,7 @@ __all__ = [
     "login_failures",
     "order_timeouts",
     "page_views",
+    "rising_levels",
     "running_page_views",
     "threshold_alarm",
     "unique_visitors",

@@ -15,6 +15,7 @@ from rillflow.operators.detect import (
     order_outcomes,
     repeated_failures,
 )
+from rillflow.operators.rising import rising_alerts
 from rillflow.operators.rolling import rolling_count
 from rillflow.operators.skew import DEFAULT, Limits
 from rillflow.operators.topn import top_n
@@ -121,3 +122,9 @@ def classify_levels(
 def threshold_alarm(df: DataFrame, value: str, above: float = 5) -> DataFrame:
     """All rows, and again with tag ``alarm`` those above the threshold."""
     return side_output(df, F.col(value) > above, "alarm")
+
+
+def rising_levels(sensors: DataFrame, unit: str = "s") -> DataFrame:
+    """Sensors whose level has been rising for five seconds."""
+    timed = sensors.withColumn("_at", event_time("ts", unit))
+    return rising_alerts(timed, "id", "_at", "vc", "5 seconds")

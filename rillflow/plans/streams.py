@@ -86,7 +86,7 @@ def login_failures(events: DataFrame) -> DataFrame:
 def order_timeouts(events: DataFrame, keep: str = "1 day") -> DataFrame:
     """Outcome of each order with fifteen minutes to pay."""
     timed = _at(events, "event_time")
-    return st.order_outcomes(timed, "_at", ["_us"], "15 minutes", keep)
+    return st.order_outcomes(timed, "_at", "15 minutes", keep)
 
 
 def rising_levels(sensors: DataFrame, unit: str = "s") -> DataFrame:

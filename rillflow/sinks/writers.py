@@ -17,19 +17,23 @@ from pyspark.sql.streaming import DataStreamWriter
 Writer = Callable[[DataFrame, int], None]
 
 
-def show(df: DataFrame, label: str | None = None, n: int = 20) -> None:
-    """Print the first rows, optionally with a label column in front."""
-    if label is not None:
-        df = df.select(F.lit(label).alias("label"), "*")
-    df.show(n, truncate=False)
+def show(df: DataFrame, label: str | None = None, n: int | None = None) -> None:
+    """Print every row, or the first ``n``, optionally with a label in front.
+
+    Rows come to the driver partition by partition.
+    """
+    start = "" if label is None else f"{label}> "
+    rows = df if n is None else df.limit(n)
+    for row in rows.toLocalIterator():
+        print(f"{start}{', '.join(str(v) for v in row)}")
 
 
 def console(stream: DataFrame, label: str, mode: str = "append") -> DataStreamWriter:
+    """Print every row of each micro-batch."""
     return (
-        stream.writeStream.format("console")
-        .queryName(label)
+        stream.writeStream.queryName(label)
         .outputMode(mode)
-        .option("truncate", False)
+        .foreachBatch(lambda batch, _: show(batch, label))
     )
 
 

@@ -14,8 +14,17 @@ from rillflow import schemas
 from rillflow.functions.text import fields
 
 
+def _or_raise(value: Column, wrong: Column, what: str, kind: str) -> Column:
+    """``value``, or an error where ``wrong``, also outside ANSI mode."""
+    error = F.raise_error(F.lit(f"bad line: {what}")).cast(kind)
+    return F.when(wrong, error).otherwise(value)
+
+
 def _field(parts: Column, position: int, strict: bool) -> Column:
-    return parts[position] if strict else F.get(parts, position)
+    found = F.get(parts, position)
+    if not strict:
+        return found
+    return _or_raise(found, F.size(parts) <= position, f"no field {position}", "string")
 
 
 def _typed(lines: DataFrame, schema: StructType, strict: bool) -> DataFrame:
@@ -23,7 +32,10 @@ def _typed(lines: DataFrame, schema: StructType, strict: bool) -> DataFrame:
     columns = []
     for position, field in enumerate(schema.fields):
         text = _field(F.col("parts"), position, strict)
-        typed = text.cast(field.dataType) if strict else text.try_cast(field.dataType)
+        typed = text.try_cast(field.dataType)
+        if strict:
+            wrong = typed.isNull() & text.isNotNull()
+            typed = _or_raise(typed, wrong, field.name, field.dataType.simpleString())
         columns.append(typed.alias(field.name))
     return split.select(*columns)
 
@@ -58,10 +70,10 @@ def parse_access_log(lines: DataFrame, strict: bool = True) -> DataFrame:
 
     pattern = "dd/MM/yyyy:HH:mm:ss Z"
     zoned = F.concat(part(3), F.lit(" +0000"))
+    time = F.try_to_timestamp(zoned, F.lit(pattern))
     if strict:
-        time = F.to_timestamp(zoned, pattern)
-    else:
-        time = F.try_to_timestamp(zoned, F.lit(pattern))
+        wrong = time.isNull() & zoned.isNotNull()
+        time = _or_raise(time, wrong, "event_time", "timestamp")
     return split.select(
         part(0).alias("ip"),
         part(1).alias("user_id"),

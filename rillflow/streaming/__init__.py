@@ -3,6 +3,7 @@ from rillflow.streaming.stateful import (
     count_window,
     daily_limit,
     first_timer,
+    keyed_process,
     late_windows,
     order_outcomes,
     repeated_failures,
@@ -27,6 +28,7 @@ __all__ = [
     "first_timer",
     "folder_sink",
     "late_updates",
+    "keyed_process",
     "late_windows",
     "order_outcomes",
     "repeated_failures",

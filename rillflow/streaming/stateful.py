@@ -1,9 +1,10 @@
 """Streaming operators with keyed state and event-time timers.
 
-All rows of a key in a micro-batch come before its timers, so the processors put
-rows in event order and check each against the stored deadline first. Times are
-epoch microseconds inside the processors. Rows of a key are handled by one task,
-and a micro-batch bounds how many there are at once.
+Detection needs the rows of a key in event order, also across micro-batches:
+these processors hold rows back until the watermark has passed them and only then
+take them in order (:class:`_InOrder`). Times are epoch microseconds inside the
+processors. Rows of a key are handled by one task, and a micro-batch bounds how
+many there are at once.
 """
 
 from __future__ import annotations
@@ -53,6 +54,22 @@ def _run(
     )
 
 
+def keyed_process(
+    stream: DataFrame,
+    keys: Sequence[str],
+    processor: StatefulProcessor,
+    schema: T.StructType,
+    ts: str | None = None,
+    delay: str = "0 seconds",
+) -> DataFrame:
+    """Run an own stateful processor per key, with event-time timers where ``ts`` is given.
+
+    Its input then has ``_us`` as well, the event time in epoch microseconds.
+    """
+    timed = stream if ts is None else _timed(stream, ts, delay)
+    return _run(timed, keys, processor, schema, "None" if ts is None else "EventTime")
+
+
 class _Processor(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         return iter([])
@@ -61,6 +78,76 @@ class _Processor(StatefulProcessor):
         pass
 
 
+class _InOrder(_Processor):
+    """Takes the rows of a key in event order, whatever order they arrive in.
+
+    Rows wait in state until no earlier one can come. Subclasses name the columns
+    they need and get them in ``take``; ``settle`` is called with the time all
+    rows up to which are taken, and returns when it wants to be called again.
+    """
+
+    #: Columns to keep of each row besides its time.
+    columns: Sequence[str] = ()
+    types: Sequence[T.DataType] = ()
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        fields = [T.StructField("_us", T.LongType())]
+        fields += [T.StructField(c, t) for c, t in zip(self.columns, self.types)]
+        self.waiting = handle.getListState("waiting", T.StructType(fields))
+        self.alarm = handle.getValueState("alarm", "ms bigint")
+        self.set_up(handle)
+
+    def set_up(self, handle: StatefulProcessorHandle) -> None:
+        raise NotImplementedError
+
+    def take(self, key, at: int, *values) -> Iterator[Row]:
+        raise NotImplementedError
+
+    def settle(self, key, until: int) -> tuple[list[Row], int | None]:
+        raise NotImplementedError
+
+    def _call_at(self, due_us: int | None) -> None:
+        due = None if due_us is None else _timer_ms(due_us)
+        before = self.alarm.get()[0] if self.alarm.exists() else None
+        if due == before:
+            return
+        if before is not None:
+            self.handle.deleteTimer(before)
+            self.alarm.clear()
+        if due is not None:
+            self.handle.registerTimer(due)
+            self.alarm.update((due,))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        new = [(r["_us"], *[r[c] for c in self.columns]) for r in rows]
+        self.waiting.appendList(new)
+        first = min(r[0] for r in new)
+        if not self.alarm.exists() or _timer_ms(first) < self.alarm.get()[0]:
+            self._call_at(first)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self.alarm.exists() and self.alarm.get()[0] <= expiredTimerInfo.getExpiryTimeInMs():
+            self.alarm.clear()  # this timer is spent
+        until = timerValues.getCurrentWatermarkInMs() * 1000
+        rows = sorted(self.waiting.get(), key=lambda r: r[0]) if self.waiting.exists() else []
+        ready = [r for r in rows if r[0] <= until]
+        for row in ready:
+            yield from self.take(key, *row)
+        found, due = self.settle(key, until)
+        yield from found
+        later = rows[len(ready) :]
+        if ready:
+            if later:
+                self.waiting.put([tuple(r) for r in later])
+            else:
+                self.waiting.clear()
+        if later:
+            due = later[0][0] if due is None else min(due, later[0][0])
+        self._call_at(due)
+
+
 # --- one output row per input row -------------------------------------------------
 
 
@@ -192,17 +279,24 @@ class _FirstTimer(_Processor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.due = handle.getValueState("due", "t bigint")
+        self.due = handle.getValueState("due", "t bigint, fired boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        if not self.due.exists():
-            due = min(r["_us"] for r in rows) + self.hold_us
-            self.due.update((due,))
-            self.handle.registerTimer(_timer_ms(due))
+        due = min(r["_us"] for r in rows) + self.hold_us
+        if self.due.exists():
+            before, fired = self.due.get()
+            if fired or before <= due:
+                return iter([])
+            self.handle.deleteTimer(_timer_ms(before))
+        self.due.update((due, False))
+        self.handle.registerTimer(_timer_ms(due))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        yield Row(*self.keys, "_us")(*key, self.due.get()[0])
+        due, fired = self.due.get()
+        if not fired:
+            self.due.update((due, True))
+            yield Row(*self.keys, "_us")(*key, due)
 
 
 def _timed(stream: DataFrame, ts: str, delay: str) -> DataFrame:
@@ -353,21 +447,29 @@ def daily_limit(
     return _run(timed, keys, processor, schema, "EventTime", ts)
 
 
-class _RepeatedFailures(_Processor):
+class _RepeatedFailures(_InOrder):
     def __init__(self, key, within_us):
         self.key, self.within_us = key, within_us
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
+    def set_up(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", "t bigint")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        last = self.last.get()[0] if self.last.exists() else None
-        for row in _by(rows, ["_us"]):
-            at = row["_us"]
-            if last is not None and abs(at - last) <= self.within_us:
+    def take(self, key, at) -> Iterator[Row]:
+        if self.last.exists():
+            last = self.last.get()[0]
+            if at - last <= self.within_us:
                 yield Row(self.key, "_before", "_at")(key[0], last, at)
-            last = at
-        self.last.update((last,))
+        self.last.update((at,))
+
+    def settle(self, key, until) -> tuple[list[Row], int | None]:
+        """A failure that nothing can follow in time any more is forgotten."""
+        if not self.last.exists():
+            return [], None
+        over = self.last.get()[0] + self.within_us + 1
+        if over > until:
+            return [], over
+        self.last.clear()
+        return [], None
 
 
 def repeated_failures(
@@ -390,13 +492,13 @@ def repeated_failures(
     )
 
 
-class _Orders(_Processor):
-    def __init__(self, order, order_by, limit_us, keep_us):
-        self.order, self.order_by = order, order_by
-        self.limit_us, self.keep_us = limit_us, keep_us
+class _Orders(_InOrder):
+    columns, types = ["_create"], [T.BooleanType()]
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+    def __init__(self, order, limit_us, keep_us):
+        self.order, self.limit_us, self.keep_us = order, limit_us, keep_us
+
+    def set_up(self, handle: StatefulProcessorHandle) -> None:
         self.pending = handle.getValueState(
             "pending", "is_create boolean, t bigint, reported boolean"
         )
@@ -411,56 +513,55 @@ class _Orders(_Processor):
             return self._row(key, "pay_missing", at, None)
         return self._row(key, "create_missing", None, at)
 
-    def _timer(self, at, reported) -> int:
-        wait = self.limit_us + (self.keep_us if reported else 0)
-        return _timer_ms(at + wait) + 1
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        for row in _by(rows, self.order_by):
-            is_create, at = row["_create"], row["_us"]
-            if self.pending.exists():
-                waiting, since, reported = self.pending.get()
-                self.pending.clear()
-                self.handle.deleteTimer(self._timer(since, reported))
-                if waiting != is_create:
-                    created, paid = (at, since) if is_create else (since, at)
-                    late = paid - created > self.limit_us
-                    yield self._row(key, "paid_late" if late else "paid", created, paid)
-                    continue
-                if not reported:
-                    yield self._alone(key, waiting, since)
-            self.pending.update((is_create, at, False))
-            self.handle.registerTimer(self._timer(at, False))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+    def settle(self, key, until) -> tuple[list[Row], int | None]:
+        """Reports what waits for more than the limit, drops what waits for longer."""
         if not self.pending.exists():
-            return
+            return [], None
         is_create, at, reported = self.pending.get()
-        if reported:
+        out, over = [], at + self.limit_us + 1
+        if not reported:
+            if until < over:
+                return [], over
+            out.append(self._alone(key, is_create, at))
+            self.pending.update((is_create, at, True))
+        over += self.keep_us
+        if until < over:
+            return out, over
+        self.pending.clear()
+        return out, None
+
+    def take(self, key, at, is_create) -> Iterator[Row]:
+        yield from self.settle(key, at)[0]
+        if self.pending.exists():
+            waiting, since, reported = self.pending.get()
             self.pending.clear()
-            return
-        yield self._alone(key, is_create, at)
-        self.pending.update((is_create, at, True))
-        self.handle.registerTimer(self._timer(at, True))
+            if waiting != is_create:
+                created, paid = (at, since) if is_create else (since, at)
+                late = paid - created > self.limit_us
+                yield self._row(key, "paid_late" if late else "paid", created, paid)
+                return
+            if not reported:
+                yield self._alone(key, waiting, since)
+        self.pending.update((is_create, at, False))
 
 
 def order_outcomes(
     stream: DataFrame,
     ts: str,
-    order_by: Sequence[str],
     limit: str,
     keep: str,
     order: str = "order_id",
     event_type: str = "event_type",
     delay: str = "0 seconds",
 ) -> DataFrame:
-    """Match creates and pays of an order as they arrive.
+    """Match creates and pays of an order in event order.
 
     A missing partner is reported when event time is more than ``limit`` past the
     row. The row is kept for ``keep`` more, so a partner that comes by then still
     gives ``paid`` or ``paid_late``; the batch form gives only that second row.
     """
-    timed = _timed(stream, ts, delay).withColumn("_create", F.col(event_type) == "create")
+    create = F.col(event_type).eqNullSafe("create")
+    timed = _timed(stream, ts, delay).withColumn("_create", create)
     kind = next(f.dataType for f in timed.schema.fields if f.name == order)
     schema = T.StructType(
         [
@@ -470,7 +571,7 @@ def order_outcomes(
             T.StructField("_paid", T.LongType()),
         ]
     )
-    processor = _Orders(order, list(order_by), duration_us(limit), duration_us(keep))
+    processor = _Orders(order, duration_us(limit), duration_us(keep))
     out = _run(timed, [order], processor, schema, "EventTime")
     return out.select(
         order,
@@ -480,50 +581,44 @@ def order_outcomes(
     )
 
 
-class _Rising(_Processor):
+class _Rising(_InOrder):
     def __init__(self, key, value, value_type, hold_us, start):
-        self.key, self.value, self.value_type = key, value, value_type
+        self.key, self.columns, self.types = key, [value], [value_type]
         self.hold_us, self.start = hold_us, start
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+    def set_up(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState(
-            "last", T.StructType([T.StructField("v", self.value_type)])
+            "last", T.StructType([T.StructField("v", self.types[0])])
         )
         self.due = handle.getValueState("due", "t bigint")
 
     def _alert(self, key, due, level) -> Row:
         return Row(self.key, "_deadline", "level")(key[0], due, level)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def take(self, key, at, level) -> Iterator[Row]:
         last = self.last.get()[0] if self.last.exists() else self.start
         due = self.due.get()[0] if self.due.exists() else None
-        known = due
-        for row in _by(rows, ["_us"]):
-            at, level = row["_us"], row[self.value]
-            if due is not None and at > due:
-                yield self._alert(key, due, last)
-                due = None
-            if level <= last:
-                due = None
-            elif due is None:
-                due = at + self.hold_us
-            last = level
-        self.last.update((last,))
-        if due == known:
-            return
-        if known is not None:
-            self.handle.deleteTimer(_timer_ms(known))
+        if due is not None and at > due:
+            yield self._alert(key, due, last)
+            due = None
+        if level <= last:
+            due = None
+        elif due is None:
+            due = at + self.hold_us
+        self.last.update((level,))
+        if due is None:
             self.due.clear()
-        if due is not None:
-            self.handle.registerTimer(_timer_ms(due))
+        else:
             self.due.update((due,))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.due.exists():
-            due = self.due.get()[0]
-            self.due.clear()
-            yield self._alert(key, due, self.last.get()[0])
+    def settle(self, key, until) -> tuple[list[Row], int | None]:
+        if not self.due.exists():
+            return [], None
+        due = self.due.get()[0]
+        if until <= due:  # a row at the deadline may still come
+            return [], due + 1
+        self.due.clear()
+        return [self._alert(key, due, self.last.get()[0])], None
 
 
 def rising_alerts(
