@@ -265,14 +265,19 @@ def _across(large: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def _between(rows: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs across the parts of a node: each member outside the first member's part with all others."""
+    """Candidate pairs across the parts of a node: each member outside the first member's part with all others.
+
+    A pair that meets in several nodes, one per tree as a rule, is taken in the first of them only.
+    """
     rows = _with_group(rows, groups)
     first = rows.groupBy("node").agg(F.min(F.struct("id", "component")).alias("f")).select("node", "f.component")
     first = first.withColumnRenamed("component", "main")
-    rows = stored(rows.join(first, "node"))
+    nodes = rows.groupBy("id").agg(F.collect_set("node").alias("nodes"))
+    rows = stored(rows.join(first, "node").join(nodes, "id"))
     a, b = rows.where("component <> main").alias("a"), rows.alias("b")
     apart = (F.col("a.node") == F.col("b.node")) & (F.col("a.component") != F.col("b.component"))
-    pairs = a.join(b, apart & _alike("a", "b", percent))
+    once = F.col("a.node") == F.array_min(F.array_intersect(F.col("a.nodes"), F.col("b.nodes")))
+    pairs = a.join(b, apart & _alike("a", "b", percent) & once)
     u, v = F.col("a.id"), F.col("b.id")
     return pairs.select(F.least(u, v).alias("u"), F.greatest(u, v).alias("v"))
 
