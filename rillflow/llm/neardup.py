@@ -12,7 +12,7 @@ a 2-bit sketch of the tokens and the size bound before their texts are fetched,
 Documents with equal sets are one class throughout and are never expanded into pairs.
 
 Nulls and odd rows: a null, empty or blank text has an empty set and links with nothing; a text of fewer words than a shingle
-is one shingle; rows that share an id are compared one by one and share a component; a row without an id is returned with
+is one shingle; rows that share an id are compared one by one and are in one group; a row without an id is returned with
 null component and ``kept`` false; an empty table gives no rows.
 """
 
@@ -218,7 +218,10 @@ def near_duplicates(
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.union(more)
-    links = confirmed(pairs, texts, size, percent)
+    # The texts of one id belong together.
+    reps = marked.join(classes, "print").groupBy("id").agg(F.collect_set("rep").alias("reps")).where("size(reps) > 1")
+    same = reps.select(F.explode("reps").alias("u"), F.array_min("reps").alias("v")).where("u <> v")
+    links = stored(confirmed(pairs, texts, size, percent).union(same))
     groups = stored(components(links))
 
     rest = _across(large, groups)
