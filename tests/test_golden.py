@@ -361,3 +361,33 @@ def test_threshold(sensors):
     tagged = plans.threshold_alarm(sensors, "vc", 60)
     assert tagged.where("tag IS NULL").count() == 15
     assert sorted(r.vc for r in tagged.where("tag = 'alarm'").collect()) == [70, 80, 100]
+
+
+def test_strict_parsers_do_not_depend_on_ansi(spark, lines):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        for text in ("s,x,2", "s,1"):
+            with pytest.raises(Exception, match="bad line"):
+                parse_sensor(lines([text])).collect()
+            assert parse_sensor(lines([text]), strict=False).count() == 1
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_days_are_utc_days_in_any_session(spark):
+    rows = [(1, 86_399), (1, 86_400), (1, 86_401)]
+    df = spark.createDataFrame(rows, "k int, s bigint").withColumn("ts", F.timestamp_seconds("s"))
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        out = op.blacklist(df, ["k"], "ts", ["s"], 1).select("s", "tag", "day").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    got = sorted((r.s, r.tag, str(r.day)) for r in out)
+    assert got == [(86_399, "main", "1970-01-01"), (86_400, "main", "1970-01-02"), (86_401, "alert", "1970-01-02")]
+
+
+def test_a_null_event_type_counts_as_a_pay(spark):
+    rows = [(1, "create", 10), (1, None, 12)]
+    df = spark.createDataFrame(rows, "order_id int, event_type string, event_time bigint")
+    out = op.order_outcomes(df, ["event_time"]).collect()
+    assert [tuple(r) for r in out] == [(1, "paid", 10, 12)]

@@ -78,8 +78,8 @@ def test_kafka_records(spark):
 
 
 def test_show_with_label(spark, capsys):
-    sinks.show(table(spark, ("a", "x", 7)), "normal")
-    assert "normal" in capsys.readouterr().out
+    sinks.show(table(spark, *[("a", "x", n) for n in range(50)]), "normal")
+    assert capsys.readouterr().out.splitlines() == [f"normal> a, x, {n}" for n in range(50)]
 
 
 def test_latest_per_key(spark):

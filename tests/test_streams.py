@@ -223,9 +223,26 @@ def test_repeated_failures(feed):
 
     feed.step(build, "a,1,0", "a,2,1", "b,2,0")
     feed.step(build, "a,3,0", "a,6,0")
+    feed.step(build, "z,50,0")
     assert feed.rows("id", end_s("previous_ts"), end_s("at")) == Counter([("a", 1, 3)])
 
 
+def test_repeated_failures_out_of_order(feed):
+    def build(lines):
+        failed = F.col("vc") == 0
+        return st.repeated_failures(
+            sensors(lines), "id", "at", failed, "2 seconds", "10 seconds"
+        )
+
+    feed.step(build, "a,100,0", "a,105,0")
+    feed.step(build, "a,102,0", "b,104,0")  # within the delay
+    feed.step(build, "b,103,0", "z,500,0")
+    feed.step(build, "z,501,0", "z,900,0")
+    assert feed.rows("id", end_s("previous_ts"), end_s("at")) == Counter(
+        [("a", 100, 102), ("b", 103, 104), ("z", 500, 501)]
+    )
+
+
 def test_rising_alerts(feed):
     def build(lines):
         return st.rising_alerts(sensors(lines), "id", "at", "vc", "5 seconds")
@@ -235,17 +252,31 @@ def test_rising_alerts(feed):
 
     feed.step(build, "a,1,5", "b,1,5", "c,1,5")
     feed.step(build, "a,4,6", "b,6,5", "c,4,3")  # b falls at the deadline, c before
-    assert seen() == Counter([("a", 6, 6)])  # the timer, as event time reached 6
-    feed.step(build, "a,9,1", "z,50,1")
+    feed.step(build, "z,7,0")
+    assert seen() == Counter([("a", 6, 6)])  # the timer, as event time is past 6
+    feed.step(build, "a,9,1", "z,50,0")
     assert seen() == Counter([("a", 6, 6)])
 
 
+def test_rising_alerts_out_of_order(feed):
+    def build(lines):
+        rows = sensors(lines)
+        return st.rising_alerts(rows, "id", "at", "vc", "5 seconds", delay="10 seconds")
+
+    feed.step(build, "a,1,5", "a,4,6", "b,1,5", "b,5,9")
+    feed.step(build, "a,2,3", "b,3,1")  # a goes on rising from 3, b falls from 5
+    feed.step(build, "z,500,1")
+    assert feed.rows("id", end_s("deadline"), "level") == Counter(
+        [("a", 9, 6), ("b", 10, 9)]
+    )
+
+
 def test_orders(feed):
     def build(lines):
         parsed = sensors(lines).select(
             F.col("vc").alias("order_id"), F.col("id").alias("event_type"), "at"
         )
-        return st.order_outcomes(parsed, "at", ["at"], "10 seconds", "20 seconds")
+        return st.order_outcomes(parsed, "at", "10 seconds", "20 seconds")
 
     def seen():
         return feed.rows("order_id", "outcome", end_s("created"), end_s("paid"))
@@ -274,6 +305,17 @@ def test_first_timer(feed):
     assert feed.rows("id", end_s("fires_at")) == Counter([("a", 6)])
 
 
+def test_first_timer_out_of_order(feed):
+    def build(lines):
+        return st.first_timer(sensors(lines), ["id"], "at", "5 seconds", "10 seconds")
+
+    feed.step(build, "a,20,0", "b,20,0")
+    feed.step(build, "a,15,0", "b,21,0")
+    feed.step(build, "z,100,0")
+    feed.step(build, "a,101,0")
+    assert feed.rows("id", end_s("fires_at")) == Counter([("a", 20), ("b", 25)])
+
+
 def test_side_output_fan_out(feed, spark, tmp_path):
     def build(lines):
         return side_output(parse_sensor(lines), F.col("vc") > 5, "alarm")
