@@ -37,7 +37,7 @@ BLOCK_BYTES = 4 << 20
 #: Documents of a part, unless that makes more than ``MOST_PARTS`` of them.
 DOCS_PER_PART, MOST_PARTS = 5_000, 2_048
 #: Words, and parts of words, whose ids a Python worker remembers. Past it, it starts anew.
-REMEMBERED_WORDS = 500_000
+REMEMBERED_WORDS, REMEMBERED_PARTS = 500_000, 900_000
 #: Signs that are cut off the end of a word: no letters, no digits, nothing that starts a contraction.
 SIGNS = "!\"#$%&)*+,-./:;=?@]^_`|}~"
 LEVEL = 3
@@ -74,7 +74,7 @@ class WordEncoder:
         cut = {word: _parts(word) for word in new}
         parts = set(itertools.chain.from_iterable(cut.values()))
         missing = list(parts - self.parts.keys())
-        if len(self.parts) + len(missing) > REMEMBERED_WORDS:
+        if len(self.parts) + len(missing) > REMEMBERED_PARTS:
             self.parts.clear()
             missing = list(parts)
         for at in range(0, len(missing), 10_000):
