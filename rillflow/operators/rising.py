@@ -144,39 +144,69 @@ def _most_rows_per_key(rows: DataFrame) -> int:
 def _alerts(
     segments: DataFrame, length: int, deadline: Column, level: Column
 ) -> DataFrame:
-    """Fold the rows of each segment, starting from the episode handed over, if any."""
-    alert = F.struct(deadline.alias("deadline"), level.alias("level"))
-    none = F.filter(F.array(alert), lambda _: F.lit(False))
-    start = F.struct(deadline.alias("at"), level.alias("level"), none.alias("alerts"))
+    """The alerts of each segment, starting from the episode handed over, if any.
 
-    def raised(state: Column) -> Column:
-        episode = F.struct(
-            state["at"].alias("deadline"), state["level"].alias("level")
-        )
-        return F.concat(state["alerts"], F.array(episode))
+    One search per alert finds the row after its deadline, so the time goes with
+    the number of rows and alerts.
+    """
+    rows = F.col("_rows")
+    value = segments.schema["_rows"].dataType.elementType["_value"].dataType
+    flat = segments.select(
+        "_key",
+        F.transform(rows, lambda r: r["_ts"]).alias("_times"),
+        F.transform(rows, lambda r: r["_value"]).alias("_values"),
+        F.element_at(rows, -1)["_fell"].alias("_falls"),
+        F.col("_closes"),
+        deadline.alias("_deadline"),
+        level.alias("_level"),
+    )
 
-    def step(state: Column, row: Column) -> Column:
-        past = F.coalesce(row["_ts"] > state["at"], F.lit(False))
-        runs_on = state["at"].isNotNull() & ~past
-        due = F.when(runs_on, state["at"]).otherwise(row["_ts"] + F.lit(length))
-        at = F.when(~row["_fell"], due)
-        return F.struct(
-            at.alias("at"),
-            row["_value"].alias("level"),
-            F.when(past, raised(state)).otherwise(state["alerts"]).alias("alerts"),
-        )
+    def fold(batches):
+        for batch in batches:
+            which, deadlines, levels = [], [], []
+            columns = ("_times", "_values", "_falls", "_closes", "_deadline", "_level")
+            for k, row in enumerate(zip(*(batch[c] for c in columns))):
+                for at, last in _episodes(*row, length):
+                    which.append(k)
+                    deadlines.append(at)
+                    levels.append(last)
+            yield pd.DataFrame(
+                {
+                    "_key": batch["_key"].iloc[which].to_numpy(),
+                    "deadline": np.asarray(deadlines, dtype="int64"),
+                    "level": levels,
+                }
+            )
 
-    last = F.col("_closes")
+    out = T.StructType(
+        [
+            T.StructField("_key", segments.schema["_key"].dataType),
+            T.StructField("deadline", T.LongType()),
+            T.StructField("level", value),
+        ]
+    )
+    return flat.mapInPandas(fold, out)
 
-    def finish(state: Column) -> Column:
-        return F.when(last & state["at"].isNotNull(), raised(state)).otherwise(
-            state["alerts"]
-        )
 
-    found = F.aggregate("_rows", start, step, finish)
-    return segments.select("_key", F.explode(found).alias("_alert")).select(
-        "_key", "_alert.deadline", "_alert.level"
-    )
+def _episodes(times, values, falls, closes, deadline, level, length):
+    """(deadline, level) of the alerts of one segment: rising rows, then maybe a fall."""
+    times = np.asarray(times, dtype="int64")
+    following_row = np.searchsorted(times, times + length, side="right")
+    at = None if pd.isna(deadline) else int(deadline)
+    end = len(times)
+    if at is not None:
+        row = int(np.searchsorted(times, at, side="right"))
+    elif falls and end == 1:
+        return
+    else:
+        at, row = int(times[0]) + length, int(following_row[0])
+    while row < end:
+        yield at, values[row - 1] if row else level
+        if falls and row == end - 1:
+            return
+        at, row = int(times[row]) + length, int(following_row[row])
+    if closes and not falls:
+        yield at, values[end - 1]
 
 
 def _handed_over(
@@ -187,13 +217,14 @@ def _handed_over(
     What a segment hands on depends only on the first rise after the deadline it
     receives, so it is summed up as (rise, deadline handed on) pairs for the rises
     it can start from: those within ``length`` of its first row, and the next one.
+    The summaries of a climb are walked through in order, one batch at a time.
     """
     rises = F.filter("_rows", lambda r: ~r["_fell"])
     bare = segments.select(
         "_key",
         "_climb",
         "_from",
-        rises["_ts"].alias("_rises"),
+        F.transform(rises, lambda r: r["_ts"]).alias("_rises"),
         F.element_at("_rows", -1)["_value"].alias("_level"),
     )
 
@@ -204,13 +235,14 @@ def _handed_over(
                 t = np.asarray(rises, dtype="int64")
                 n = len(t)
                 following_rise = np.searchsorted(t, t + length, side="right")
-                handed_on = t + length
-                for i in range(n - 1, -1, -1):
-                    if following_rise[i] < n:
-                        handed_on[i] = handed_on[following_rise[i]]
+                # The last rise of the chain that starts at each, by doubling jumps.
+                jump, last = np.append(following_rise, n), np.arange(n)
+                while (more := np.flatnonzero(jump[:n] < n)).size:
+                    last[more] = last[jump[more]]
+                    jump[more] = jump[jump[more]]
                 reach = int(following_rise[0]) + 1 if n else 0
                 starts.append(t[:reach])
-                ends.append(handed_on[:reach])
+                ends.append((t[last] + length)[:reach])
             yield batch.drop(columns="_rises").assign(_starts=starts, _ends=ends)
 
     base = [
@@ -227,23 +259,28 @@ def _handed_over(
         ),
     )
 
-    def chain(climb: pd.DataFrame) -> pd.DataFrame:
-        climb = climb.sort_values("_from")
-        deadline, level, out = None, None, []
-        for key, start, here, starts, ends in zip(
-            climb["_key"], climb["_from"], climb["_level"], climb["_starts"], climb["_ends"]
-        ):
-            if deadline is not None:
-                out.append((key, start, deadline, level))
-                first = int(np.searchsorted(starts, deadline, side="right"))
-            else:
+    def chain(batches):
+        climb, deadline, level = None, None, None
+        for batch in batches:
+            out = []
+            for key, number, start, here, starts, ends in zip(
+                *(batch[c] for c in ("_key", "_climb", "_from", "_level", "_starts", "_ends"))
+            ):
+                own = (None if pd.isna(key) else key, number)
+                if own != climb:
+                    climb, deadline, level = own, None, None
                 first = 0
-            if first < len(starts):
-                deadline = int(ends[first])
-            level = here
-        return pd.DataFrame(out, columns=["_key", "_c_from", "_deadline", "_level"])
+                if deadline is not None:
+                    out.append((key, start, deadline, level))
+                    first = int(np.searchsorted(starts, deadline, side="right"))
+                if first < len(starts):
+                    deadline = int(ends[first])
+                level = here
+            yield pd.DataFrame(out, columns=["_key", "_c_from", "_deadline", "_level"])
 
-    return summaries.groupBy("_key", "_climb").applyInPandas(
+    ordered = summaries.repartition("_key", "_climb")
+    ordered = ordered.sortWithinPartitions("_key", "_climb", "_from")
+    return ordered.mapInPandas(
         chain,
         T.StructType(
             [
