@@ -33,12 +33,12 @@ from pyspark.sql import functions as F
 from rillflow.llm.common import mixed, utf8, written
 
 LENGTH, K = 50, 24
-GROUP_BYTES = 6 << 20
+GROUP_BYTES = 4 << 20
 #: Anchors, or runs, that meet in a bucket, about.
-BUCKET_ROWS = 400_000
+BUCKET_ROWS = 200_000
 HOT_DOCS = 400
 #: Bytes whose arrays are held at a time; longer documents are cut, with windows across cuts kept whole.
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 _POSITION = np.uint64((1 << 24) - 1)
 #: Two primes below 2**31 and a base for each: sums of 2**24 products stay below 2**63.
@@ -182,12 +182,10 @@ def _anchors_of_group(buckets: int):
     def run(table: pa.Table) -> pa.Table:
         found, docs = [], []
         for ids, _, anchors, _, _, _, rows, _ in _all_runs(table):
-            pair = np.unique(np.stack([anchors, ids[rows].astype(np.uint64)], 1), axis=0) if len(anchors) else None
-            if pair is not None:
-                found.append(pair[:, 0])
-                docs.append(pair[:, 1])
+            found.append(anchors)
+            docs.append(ids[rows])
         anchors = np.concatenate(found) if found else np.zeros(0, np.uint64)
-        docs = np.concatenate(docs) if docs else anchors
+        docs = np.concatenate(docs) if docs else np.zeros(0, np.int64)
         order = np.lexsort((docs, anchors))
         anchors, docs = anchors[order], docs[order]
         new = np.ones(len(anchors), bool)
