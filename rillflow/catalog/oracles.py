@@ -210,6 +210,12 @@ ORACLES: dict[str, str] = {
     "sliding_uneven": f"""
         SELECT event_type, window_end - INTERVAL 50 MINUTES AS window_start, window_end, cnt
         FROM ({_windows(3000, 1200, 'event_type')})""",
+    "sliding_mean": f"""
+        SELECT event_type, window_end - INTERVAL 1 HOUR AS window_start, window_end, mean
+        FROM ({_windows(3600, 300, 'event_type')
+               .replace('event_type, ts,', 'event_type, cents, ts,')
+               .replace('SELECT * FROM events', f'SELECT *, {_CENTS} AS cents FROM events')
+               .replace('count(*) AS cnt', 'sum(cents)::DOUBLE / count(*) AS mean')})""",
     "session_counts": _sessions("user_id", "3 hours"),
     "session_one_type": _sessions("event_type", "30 minutes"),
     "count_window_tumbling": _count_window(3, 3),

@@ -299,6 +299,22 @@ def sliding_uneven(spark, folder):
     return op.sliding(rows, "ts", "50 minutes", "20 minutes", ["event_type"])
 
 
+@query
+def sliding_mean(spark, folder):
+    """An aggregate in parts: sums and counts per pane, divided at the end."""
+    rows = tb.events(spark, folder).select("ts", "event_type", tb.cents())
+
+    def added(both):
+        return F.struct(F.sum(both["total"]).alias("total"), F.sum(both["n"]).alias("n"))
+
+    mean = op.OwnAggregate(
+        F.struct(F.sum("cents").alias("total"), F.count("cents").alias("n")),
+        added,
+        lambda both: both["total"] / both["n"],
+    )
+    return op.sliding(rows, "ts", "1 hour", "5 minutes", ["event_type"], {"mean": mean})
+
+
 @query
 def session_counts(spark, folder):
     return op.session(tb.events(spark, folder), "ts", "3 hours", ["user_id"])

@@ -32,10 +32,17 @@ from rillflow.operators.transforms import (
     unnest,
     words,
 )
-from rillflow.operators.windows import count_window, session, sliding, tumbling
+from rillflow.operators.windows import (
+    OwnAggregate,
+    count_window,
+    session,
+    sliding,
+    tumbling,
+)
 
 __all__ = [
     "Limits",
+    "OwnAggregate",
     "blacklist",
     "blacklist_alerts",
     "blacklist_pass",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillflow.functions.time import day_of, interval
@@ -19,6 +19,7 @@ from rillflow.operators.skew import (
     running_max,
     with_running,
 )
+from rillflow.operators.topn import first_rows
 
 Span = str | int
 
@@ -38,16 +39,14 @@ def blacklist(
     """Daily click limit: tag ``main`` for rows within it, ``alert`` for the first above.
 
     Later rows of the day are dropped. ``clicks`` is the number of rows passed so
-    far. Spark keeps at most ``limit + 1`` rows per group and task before the
-    shuffle, so a flooded key stays small.
+    far. At most ``limit + 1`` rows per group and task are shuffled into a group's
+    task, so a flooded key stays small.
     """
-    group = Window.partitionBy(*keys, "day").orderBy(*order_by)
-    nth = F.row_number().over(group)
+    days = df.withColumn("day", day_of(ts, df.schema[ts].dataType))
+    order = [F.col(c) for c in order_by]
+    first = first_rows(days, [*keys, "day"], order, list(order_by), limit + 1, "_nth")
     return (
-        df.withColumn("day", day_of(ts, df.schema[ts].dataType))
-        .withColumn("_nth", nth)
-        .where(F.col("_nth") <= limit + 1)
-        .withColumn("tag", F.when(F.col("_nth") <= limit, "main").otherwise("alert"))
+        first.withColumn("tag", F.when(F.col("_nth") <= limit, "main").otherwise("alert"))
         .withColumn("clicks", F.least("_nth", F.lit(limit)).cast("bigint"))
         .drop("_nth")
     )

@@ -8,6 +8,34 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Up to this many rows per group, Spark drops the others in each task before the
+#: shuffle (the default of ``spark.sql.optimizer.windowGroupLimitThreshold``).
+_SPARK_LIMIT = 1_000
+_SHARES = 64
+
+
+def first_rows(
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[Column],
+    spread_by: Sequence[str],
+    n: int,
+    place: str,
+) -> DataFrame:
+    """The first ``n`` rows of each group, numbered by ``place``.
+
+    For a large ``n``, which Spark's own limit does not cover, the first ``n`` of each
+    of ``_SHARES`` parts of a group are found first, and only they meet in one task.
+    """
+    if n > _SPARK_LIMIT:
+        share = F.pmod(F.xxhash64(*spread_by), F.lit(_SHARES))
+        part = Window.partitionBy(*group, "_share").orderBy(*order)
+        df = df.withColumn("_share", share).withColumn(place, F.row_number().over(part))
+        df = df.where(F.col(place) <= n).drop(place, "_share")
+    whole = Window.partitionBy(*group).orderBy(*order)
+    return df.withColumn(place, F.row_number().over(whole)).where(F.col(place) <= n)
+
+
 def top_n(
     counts: DataFrame,
     n: int,
@@ -18,11 +46,11 @@ def top_n(
 ) -> DataFrame:
     """Rows with the ``n`` largest measures of each window; ties go by ``ties``, rising.
 
-    Spark keeps at most ``n`` rows per window and task before the shuffle.
+    At most ``n`` rows per window and task are shuffled into a window's task.
     """
-    best_first = Window.partitionBy(window).orderBy(F.col(measure).desc(), *ties)
-    ranked = counts.withColumn(rank, F.row_number().over(best_first))
-    return ranked.where(F.col(rank) <= n).withColumn(rank, F.col(rank).cast("bigint"))
+    best_first = [F.col(measure).desc(), *[F.col(t) for t in ties]]
+    ranked = first_rows(counts, [window], best_first, list(ties) or [measure], n, rank)
+    return ranked.withColumn(rank, F.col(rank).cast("bigint"))
 
 
 def report(top: DataFrame, *columns: str, window: str = "window_end") -> DataFrame:

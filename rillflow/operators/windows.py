@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +18,24 @@ from rillflow.operators.skew import (
     running_max,
 )
 
-# name -> (how, column); count ignores its column
-Aggregates = Mapping[str, tuple[str, str | None]]
+
+
+@dataclass(frozen=True)
+class OwnAggregate:
+    """An aggregate of one's own that can be computed in parts.
+
+    ``partial`` aggregates rows, ``merge`` aggregates partial values, and ``finish``
+    makes the result of a merged value. A mean: partial ``struct(sum, count)``,
+    merged by adding up both fields, finished by dividing them.
+    """
+
+    partial: Column
+    merge: Callable[[Column], Column]
+    finish: Callable[[Column], Column] = lambda merged: merged
+
+
+# name -> (how, column), where count ignores its column, or an own aggregate
+Aggregates = Mapping[str, tuple[str, str | None] | OwnAggregate]
 
 COUNT: Aggregates = {"cnt": ("count", None)}
 
@@ -27,14 +44,36 @@ _MERGE = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
 
 
 def partial(aggregates: Aggregates) -> list[Column]:
+    columns = []
+    for name, what in aggregates.items():
+        if isinstance(what, OwnAggregate):
+            columns.append(what.partial.alias(name))
+        else:
+            how, c = what
+            value = F.lit(1) if how == "count" else F.col(c)
+            columns.append(_PARTIAL[how](value).alias(name))
+    return columns
+
+
+def merge(aggregates: Aggregates) -> list[Column]:
     return [
-        _PARTIAL[how](F.lit(1) if how == "count" else F.col(c)).alias(name)
-        for name, (how, c) in aggregates.items()
+        (
+            what.merge(F.col(name))
+            if isinstance(what, OwnAggregate)
+            else _MERGE[what[0]](name)
+        ).alias(name)
+        for name, what in aggregates.items()
     ]
 
 
-def merge(aggregates: Aggregates) -> list[Column]:
-    return [_MERGE[how](name).alias(name) for name, (how, _) in aggregates.items()]
+def finished(aggregates: Aggregates) -> list[Column]:
+    """The results, from partial or merged values."""
+    return [
+        (what.finish(F.col(name)) if isinstance(what, OwnAggregate) else F.col(name)).alias(
+            name
+        )
+        for name, what in aggregates.items()
+    ]
 
 
 def _bounded(grouped: DataFrame, keys: Sequence[str], names) -> DataFrame:
@@ -55,7 +94,8 @@ def tumbling(
 ) -> DataFrame:
     """Aggregates per key and window ``[start, start + size)``; no keys means one group."""
     window = F.window(ts, size).alias("_w")
-    return _bounded(df.groupBy(*keys, window).agg(*partial(aggregates)), keys, aggregates)
+    grouped = df.groupBy(*keys, window).agg(*partial(aggregates))
+    return _bounded(grouped, keys, finished(aggregates))
 
 
 def sliding(
@@ -65,6 +105,7 @@ def sliding(
     slide: str,
     keys: Sequence[str] = (),
     aggregates: Aggregates = COUNT,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Aggregates per key and sliding window.
 
@@ -74,14 +115,14 @@ def sliding(
     stretches, so a pane is sent to its two stretches once, and the copies are made
     and folded inside the task. The number of those tasks is fixed: chosen by the
     size of their input, as adaptive execution does, they would be too few for the
-    copies.
+    copies. ``tasks`` sets it, by default it is ``spark.sql.shuffle.partitions``;
+    rule of thumb: panes times size over slide, at 10 million copies a task.
     """
     size_us, slide_us = duration_us(size), duration_us(slide)
     if size_us % slide_us:
         window = F.window(ts, size, slide).alias("_w")
-        return _bounded(
-            df.groupBy(*keys, window).agg(*partial(aggregates)), keys, aggregates
-        )
+        grouped = df.groupBy(*keys, window).agg(*partial(aggregates))
+        return _bounded(grouped, keys, finished(aggregates))
     kind = df.schema[ts].dataType
 
     def start_of(us: Column, length: int) -> Column:
@@ -101,7 +142,7 @@ def sliding(
         F.least(last_end, F.col("_stretch") + size_us),
         F.lit(slide_us),
     )
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     windows = (
         panes.withColumn("_stretch", F.explode(stretches))
         .repartition(tasks, *keys, "_stretch")
@@ -113,7 +154,7 @@ def sliding(
         *keys,
         from_micros(F.col("_end") - size_us, kind).alias("window_start"),
         from_micros("_end", kind).alias("window_end"),
-        *aggregates,
+        *finished(aggregates),
     )
 
 
@@ -149,6 +190,7 @@ def session(
         .agg(
             (F.max("_last") + interval(gap)).alias("window_end"), *merge(aggregates)
         )
+        .select(*keys, "window_start", "window_end", *finished(aggregates))
     )
 
 
@@ -179,5 +221,5 @@ def count_window(
         .agg(F.max("_rn").alias("_last"), *partial(aggregates))
     )
     return windows.where(F.col("_last") == F.col("_firing") * slide).select(
-        *keys, (F.col("_firing") * slide).alias("seen"), *aggregates
+        *keys, (F.col("_firing") * slide).alias("seen"), *finished(aggregates)
     )

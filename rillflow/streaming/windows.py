@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillflow.functions.time import duration_us
-from rillflow.operators.windows import COUNT, Aggregates, merge, partial
+from rillflow.operators.windows import COUNT, Aggregates, finished, merge, partial
 
 
 def with_event_time(stream: DataFrame, ts: str, delay: str = "0 seconds") -> DataFrame:
@@ -50,7 +50,7 @@ def tumbling(
 ) -> DataFrame:
     window = F.window(ts, size).alias("_w")
     grouped = stream.groupBy(window, *keys).agg(*partial(aggregates))
-    return _bounded(grouped, keys, aggregates)
+    return _bounded(grouped, keys, finished(aggregates))
 
 
 def sliding(
@@ -71,11 +71,11 @@ def sliding(
     if not panes or duration_us(size) % duration_us(slide):
         window = F.window(ts, size, slide).alias("_w")
         grouped = stream.groupBy(window, *keys).agg(*partial(aggregates))
-        return _bounded(grouped, keys, aggregates)
+        return _bounded(grouped, keys, finished(aggregates))
     pane = stream.groupBy(F.window(ts, slide).alias("_p"), *keys).agg(*partial(aggregates))
     window = F.window("_p", size, slide).alias("_w")
     grouped = pane.groupBy(window, *keys).agg(*merge(aggregates))
-    return _bounded(grouped, keys, aggregates)
+    return _bounded(grouped, keys, finished(aggregates))
 
 
 def session(
@@ -87,7 +87,7 @@ def session(
 ) -> DataFrame:
     window = F.session_window(ts, gap).alias("_w")
     grouped = stream.groupBy(window, *keys).agg(*partial(aggregates))
-    return _bounded(grouped, keys, aggregates)
+    return _bounded(grouped, keys, finished(aggregates))
 
 
 def late_updates(
@@ -113,4 +113,5 @@ def running_totals(
     stream: DataFrame, keys: Sequence[str], aggregates: Aggregates = COUNT
 ) -> DataFrame:
     """The current total of each key that changed in a micro-batch; use update mode."""
-    return stream.groupBy(*keys).agg(*partial(aggregates))
+    grouped = stream.groupBy(*keys).agg(*partial(aggregates))
+    return grouped.select(*keys, *finished(aggregates))

@@ -391,3 +391,17 @@ def test_a_null_event_type_counts_as_a_pay(spark):
     df = spark.createDataFrame(rows, "order_id int, event_type string, event_time bigint")
     out = op.order_outcomes(df, ["event_time"]).collect()
     assert [tuple(r) for r in out] == [(1, "paid", 10, 12)]
+
+
+def test_large_limits_keep_the_first_rows(spark):
+    rows = [(k % 3, (k * 7919) % 6_000, k) for k in range(6_000)]
+    df = spark.createDataFrame(rows, "w int, m int, id int").repartition(5)
+    top = op.top_n(df, 1_500, "m", ["id"], window="w").collect()
+    for w in range(3):
+        want = sorted((r for r in rows if r[0] == w), key=lambda r: (-r[1], r[2]))[:1_500]
+        got = sorted((r.rk, r.w, r.m, r.id) for r in top if r.w == w)
+        assert got == [(n + 1, *r) for n, r in enumerate(want)]
+    clicks = df.withColumn("ts", F.timestamp_seconds(F.lit(5)))
+    out = op.blacklist(clicks, ["w"], "ts", ["id"], 1_200)
+    tags = Counter((r.w, r.tag) for r in out.collect())
+    assert tags == Counter({(w, "main"): 1_200 for w in range(3)} | {(w, "alert"): 1 for w in range(3)})
