@@ -291,6 +291,10 @@ ORACLES.update(
             FROM ({_ORDER_LOG}) WHERE paid - created > 30
             UNION ALL SELECT order_id, 'create_missing', NULL, paid
             FROM ({_ORDER_LOG}) WHERE created - paid > 30""",
+        "stream_late_windows": """
+            SELECT event_type, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
+                   count(*) AS cnt FROM events GROUP BY ALL""",
+        "stream_side_output": ORACLES["threshold_alarm"],
         "stream_first_timer": ORACLES["first_timer"],
     }
 )

@@ -17,7 +17,8 @@ from rillflow.catalog import tables as tb
 from rillflow.catalog.queries import Query
 from rillflow.functions.text import tokens
 from rillflow.operators.checkpoints import run_folder
-from rillflow.sinks import KeyedUpsert
+from rillflow.operators.transforms import side_output
+from rillflow.sinks import KeyedUpsert, fan_out
 from rillflow.sinks.writers import Writer
 from rillflow.streaming.stateful import keep_max, keep_sum
 
@@ -284,6 +285,38 @@ def stream_order_outcome(spark, folder):
     )
 
 
+@query
+def stream_late_windows(spark, folder):
+    """Windows that fire at their end and again for each row up to a day late."""
+
+    def build(rows):
+        return st.late_windows(rows, ["event_type"], "ts", "1 hour", "0 seconds", "1 day")
+
+    rows = tb.events(spark, folder).select("ts", "event_type")
+    out = _read(spark, _feed(_shuffled_steps(rows, 86_400), build))
+    last = out.groupBy("event_type", "window_end").agg(F.max("cnt").alias("cnt"))
+    return _zoneless(last, "window_end")
+
+
+@query
+def stream_side_output(spark, folder):
+    """Rows over a threshold go to a folder of their own as well."""
+
+    def build(rows):
+        return side_output(rows, F.col("value") > 300, "alarm")
+
+    def split(path):
+        parts = {None: st.folder_sink(f"{path}/main"), "alarm": st.folder_sink(f"{path}/alarm")}
+        return fan_out(parts)
+
+    rows = tb.events(spark, folder).select("event_id", "value")
+    path = _feed(_halves(rows, "event_id"), build, writer=split)
+    main = _read(spark, f"{path}/main").select("event_id", "value")
+    alarm = _read(spark, f"{path}/alarm").select("event_id", "value")
+    tag = F.lit(None).cast("string")
+    return main.withColumn("tag", tag).union(alarm.withColumn("tag", F.lit("alarm")))
+
+
 @query
 def stream_first_timer(spark, folder):
     def build(rows):
