@@ -134,7 +134,8 @@ def mix(
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: a row per repetition, the last one cut to the words it still gives.
 
-    ``docs`` needs ``doc_id``, ``text`` and ``source``, and unique ids; it returns its columns, ``n_chars`` counted anew.
+    ``docs`` needs ``doc_id``, ``text`` and ``source``, and unique ids; rows without an id are left out. It returns the columns
+    of ``docs``, with ``n_chars`` counted anew.
     """
     taken = mix(docs, **options).select("doc_id", F.col("size").alias("_size"), F.col("taken").alias("_taken"))
     rest = F.col("_taken") % F.greatest("_size", F.lit(1))

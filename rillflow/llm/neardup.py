@@ -286,7 +286,7 @@ def _between(rows: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
 
 
 def one_per_group(docs: DataFrame, **options) -> DataFrame:
-    """The documents (all their columns) with the smallest id of each group, and those without words."""
+    """The documents (all their columns) with the smallest id of each group, and those without words or id."""
     found = near_duplicates(docs, **options)
-    kept = written(found.where("kept").select("doc_id").distinct(), "kept")
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    others = found.where("not kept and doc_id is not null").select("doc_id").distinct()
+    return docs.join(written(others, "others"), "doc_id", "left_anti").select(*docs.columns)

@@ -150,6 +150,8 @@ def write_tokens(
 ) -> str:
     """Encode every whole text and write the files. ``bytes_per_id`` is 2 or 4; a larger id raises an error."""
     spark = docs.sparkSession
+    if end_id >> (8 * bytes_per_id):
+        raise ValueError(f"id {end_id} does not fit {bytes_per_id} bytes")
     ids = docs.select(F.col(id_column).cast("bigint").alias("id"))
     total = ids.count()
     data = train_dictionary(docs, tokenizer, bytes_per_id, text_column, end_id, total)
