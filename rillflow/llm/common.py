@@ -76,6 +76,13 @@ def pieces(
         yield batch.slice(int(begin), int(end - begin))
 
 
+def slices(batches: Iterator[pa.RecordBatch], size: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches cut to ``size`` rows, so that few rows are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, size):
+            yield batch.slice(at, size)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Well-spread 64-bit hashes of 64-bit numbers."""
     x = x ^ (x >> np.uint64(30))

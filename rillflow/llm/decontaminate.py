@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.llm.common import filled, mixed, shingles, word_hashes
+from rillflow.llm.common import filled, mixed, shingles, slices, word_hashes
 
 SHINGLE, PERCENT = 5, 80
 #: At similarity 0.8 about 9.7 of 64 bits differ, with a deviation of 2.9.
@@ -171,7 +171,7 @@ def _mapped(docs: DataFrame, matcher: Matcher, row: Callable, schema: str) -> Da
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [matcher(t) for t in filled(batch.column(at)).to_pylist()]
             yield row(batch, found)
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillflow.llm.common import filled
+from rillflow.llm.common import filled, slices
 
 UNKNOWN = "und"
 #: Length of profiles, longest n-gram, and documents learned from per language.
@@ -90,7 +90,7 @@ def learn_profiles(docs: DataFrame, text_column: str = "text", lang_column: str
     drawn = labelled.join(sizes, "lang").where(place < share).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 codes, counts = ngrams(text)
                 if len(codes):
@@ -137,9 +137,9 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], *keep: Column, te
         return best[1], 1.0 - best[0] / (PROFILE * len(own))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [judge(t) for t in filled(batch.column(len(columns))).to_pylist()]
-            langs, scores = zip(*found) if found else ((), ())
+            langs, scores = zip(*found)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                 [*columns, "lang_pred", "score"],

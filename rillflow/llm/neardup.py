@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.llm.common import filled, mixed, shingle_set, stored, written
+from rillflow.llm.common import filled, mixed, shingle_set, slices, stored, written
 from rillflow.llm.components import components
 
 TOKENS, TREES, DEPTH, NODE_ROWS = 64, 16, 4, 32
@@ -62,14 +62,14 @@ def signatures(docs: DataFrame, size: int, id_column: str = "doc_id", text_colum
     """(``id``, ``n``, ``print``, ``s1``, ``s2``, ``tokens``): set size, set fingerprint, sketch and tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for text in filled(batch.column(1)).to_pylist():
                 own = shingle_set(text, size)
                 tokens = minwise(own)
                 mark = xxhash.xxh3_128_digest(own.tobytes())
                 rows.append((len(own), mark, *_sketch(tokens), tokens.tobytes()))
-            n, marks, s1, s2, tokens = zip(*rows) if rows else ((),) * 5
+            n, marks, s1, s2, tokens = zip(*rows)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -93,30 +93,26 @@ def _child(nodes: np.ndarray, place: np.ndarray, tokens: np.ndarray) -> np.ndarr
 def _roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The first branch of every tree: each has a token of its own."""
     trees = np.arange(TREES)
-    for whole in batches:
-        for at in range(0, whole.num_rows, 4_096):
-            batch = whole.slice(at, 4_096)
-            tokens = np.array([np.frombuffer(t, np.uint32) for t in batch.column(4).to_pylist()])
-            nodes = _child(np.broadcast_to(trees.astype(np.uint64), (len(tokens), TREES)), trees[None, :], tokens[:, :TREES])
-            yield _repeated(batch, np.repeat(np.arange(batch.num_rows), TREES), nodes.ravel())
+    for batch in slices(batches, 2_048):
+        tokens = np.array([np.frombuffer(t, np.uint32) for t in batch.column(4).to_pylist()])
+        nodes = _child(np.broadcast_to(trees.astype(np.uint64), (len(tokens), TREES)), trees[None, :], tokens[:, :TREES])
+        yield _repeated(batch, np.repeat(np.arange(batch.num_rows), TREES), nodes.ravel())
 
 
 def _branches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The children of (``node``, ...) that a document goes on to."""
-    for whole in batches:
-        for at in range(0, whole.num_rows, 8_192):
-            batch = whole.slice(at, 8_192)
-            nodes = batch.column(5).to_numpy().astype(np.uint64)
-            tokens = np.array([np.frombuffer(t, np.uint32) for t in batch.column(4).to_pylist()])
-            choice = mixed(nodes + np.uint64(1))
-            rows = np.arange(len(nodes))
-            first = (choice & np.uint64(0xFFFF)) % np.uint64(TOKENS)
-            twice = np.flatnonzero((choice >> np.uint64(16)) % np.uint64(4) == 0)
-            step = (choice[twice] >> np.uint64(24)) % np.uint64(TOKENS - 1) + np.uint64(1)
-            second = (first[twice] + step) % np.uint64(TOKENS)
-            rows, place = np.concatenate([rows, twice]), np.concatenate([first, second])
-            children = _child(nodes[rows], place, tokens[rows, place.astype(np.int64)])
-            yield _repeated(batch, rows, children)
+    for batch in slices(batches, 4_096):
+        nodes = batch.column(5).to_numpy().astype(np.uint64)
+        tokens = np.array([np.frombuffer(t, np.uint32) for t in batch.column(4).to_pylist()])
+        choice = mixed(nodes + np.uint64(1))
+        rows = np.arange(len(nodes))
+        first = (choice & np.uint64(0xFFFF)) % np.uint64(TOKENS)
+        twice = np.flatnonzero((choice >> np.uint64(16)) % np.uint64(4) == 0)
+        step = (choice[twice] >> np.uint64(24)) % np.uint64(TOKENS - 1) + np.uint64(1)
+        second = (first[twice] + step) % np.uint64(TOKENS)
+        rows, place = np.concatenate([rows, twice]), np.concatenate([first, second])
+        children = _child(nodes[rows], place, tokens[rows, place.astype(np.int64)])
+        yield _repeated(batch, rows, children)
 
 
 def _repeated(batch: pa.RecordBatch, rows: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
@@ -171,7 +167,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, np.ndarray] = {}  # the last document on each side
-        for batch in batches:
+        for batch in slices(batches):
             keep = []
             for u, v, one, two in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 known = {i: known[i] for i in (u, v) if i in known}

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.llm.common import filled
+from rillflow.llm.common import filled, slices
 
 #: A term's shortest and longest start of a word.
 SHORTEST, LONGEST = 4, 12
@@ -183,7 +183,7 @@ def score(docs: DataFrame, lexicon: Lexicon, *keep: Column | str, text_column: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = lexicon.automaton() if lexicon.weights else None
-        for batch in batches:
+        for batch in slices(batches):
             texts = filled(batch.column(len(columns))).to_pylist()
             found = [lexicon.score(automaton, t) if automaton else 0.0 for t in texts]
             yield pa.RecordBatch.from_arrays(
