@@ -14,6 +14,7 @@ labelled rows of both classes every score is the labelled share of class 1, or 0
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -111,19 +112,23 @@ def train(texts: list[str], labels: list[int], seed: int = 5) -> Model:
     if not len(y) or y.min() == y.max():
         share = float(np.clip(y.mean() if len(y) else 0.5, 1e-3, 1 - 1e-3))
         return Model(flat, float(np.log(share / (1 - share))))
-    bags = []
+    # All documents' features one after another, which is returned to the system when done.
+    buckets, weights, bounds = array("i"), array("f"), [0]
     for text in texts:
         data, ends = utf8(pa.array([text]))
         found = [b for b, _ in features(data, ends)]
         ids, n = np.unique(np.concatenate(found) if found else np.zeros(0, np.int64), return_counts=True)
-        bags.append((ids.astype(np.int32), (n / (n.sum() + EMPTY_FEATURES)).astype(np.float32)))
+        buckets.frombytes(ids.astype(np.int32).tobytes())
+        weights.frombytes((n / (n.sum() + EMPTY_FEATURES)).astype(np.float32).tobytes())
+        bounds.append(len(buckets))
+    buckets, weights = np.frombuffer(buckets, np.int32), np.frombuffer(weights, np.float32)
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS + 1, DIMENSIONS)).astype(np.float32)
     output, bias = np.zeros((DIMENSIONS, 2), np.float32), np.zeros(2, np.float32)
-    steps, at = EPOCHS * len(bags), 0
+    steps, at = EPOCHS * len(texts), 0
     for _ in range(EPOCHS):
-        for k in rng.permutation(len(bags)):
-            ids, share = bags[k]
+        for k in rng.permutation(len(texts)):
+            ids, share = buckets[bounds[k] : bounds[k + 1]], weights[bounds[k] : bounds[k + 1]]
             mean = share @ vectors[ids]
             raw = mean @ output + bias
             odds = np.exp(raw - raw.max())
