@@ -6,9 +6,10 @@ any depth; documents with equal tokens go on together. Nodes with at most ``NODE
 larger ones branch on. ``TREES`` independent trees make a pair at similarity 0.8 that nowhere shares a small node less likely
 than one in a million at the depths that occur.
 
-A node that stays large is a group of documents that keep agreeing. Its members are compared with one of them first; what that
-leaves apart is then compared across the parts, which may be any number of rows, in a join that Spark splits. Candidates pass
-a 2-bit sketch of the tokens and the size bound before their texts are fetched, and every link is confirmed on the full sets.
+A node that stays large is a group of documents that keep agreeing. Its members are compared with one of them first. Where at
+most ``NODE_ROWS`` members are not linked up by that, these are compared with all others of the node, in a join that Spark splits;
+where more are apart, the node branches on. Candidates pass a 2-bit sketch of the tokens and the size bound before their texts
+are fetched, and every link is confirmed on the full sets.
 Documents with equal sets are one class throughout and are never expanded into pairs.
 
 Nulls and odd rows: a null, empty or blank text has an empty set and links with nothing; a text of fewer words than a shingle
@@ -29,9 +30,9 @@ from pyspark.sql import functions as F
 from rillflow.llm.common import filled, mixed, shingle_set, slices, stored, written
 from rillflow.llm.components import components
 
-TOKENS, TREES, DEPTH, NODE_ROWS = 64, 16, 4, 32
-#: Levels that nodes with unlinked parts go down further before their parts are compared.
-FURTHER = 6
+TOKENS, TREES, DEPTH, NODE_ROWS = 64, 16, 3, 32
+#: Levels that large nodes with many unlinked members go down further before all of these are compared.
+FURTHER = 4
 #: 2-bit tokens that may differ: at similarity 0.8, 9.6 of 64 do, with a deviation of 2.9.
 MISMATCHES = 22
 
@@ -220,20 +221,19 @@ def near_duplicates(
     links = stored(confirmed(pairs, texts, size, percent).union(same))
     groups = stored(components(links))
 
-    rest = _across(large, groups)
-    if not rest.isEmpty():
-        more = []
-        for _ in range(FURTHER):
-            small, rest = _sized(_next(rest, own))
-            more.append(_within(small, percent))
-            rest = _across(rest, groups)
-            if rest.isEmpty():
-                break
-        more.append(_between(rest, groups, percent))
-        pairs = more[0]
-        for other in more[1:]:
-            pairs = pairs.union(other)
-        pairs = pairs.join(links, ["u", "v"], "left_anti")
+    more = []
+    for step in range(FURTHER + 1):
+        few, many = _apart(large, groups, step == FURTHER)
+        more.append(_between(few, percent))
+        if many is None or many.isEmpty():
+            break
+        small, large = _sized(_next(many, own))
+        more.append(_within(small, percent))
+    pairs = more[0]
+    for other in more[1:]:
+        pairs = pairs.union(other)
+    pairs = stored(pairs.distinct().join(links, ["u", "v"], "left_anti"))
+    if not pairs.isEmpty():
         links = links.union(confirmed(pairs, texts, size, percent))
         groups = components(links)
 
@@ -252,27 +252,29 @@ def _next(large: DataFrame, own: DataFrame) -> DataFrame:
     return rows.mapInArrow(_branches, _ROW)
 
 
-def _with_group(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    return rows.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
+def _apart(large: DataFrame, groups: DataFrame, last: bool) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of nodes with few members outside the first member's part, and of those with many.
 
-
-def _across(large: DataFrame, groups: DataFrame) -> DataFrame:
-    """Rows of the nodes whose members are not all linked up yet."""
-    rows = _with_group(large, groups)
-    open_ = rows.groupBy("node").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    return stored(large.join(open_.select("node"), "node").select(*large.columns))
+    Nodes that are linked up are done. Rows get ``component`` and ``main``, the part of the member with the smallest id.
+    """
+    rows = large.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    rows = stored(rows)
+    first = rows.groupBy("node").agg(F.min(F.struct("id", "component")).alias("f")).select("node", "f.component")
+    rows = rows.join(first.withColumnRenamed("component", "main"), "node")
+    outside = rows.where("component <> main").groupBy("node").agg(F.count(F.lit(1)).alias("outside"))
+    rows = stored(rows.join(outside, "node"))
+    if last:
+        return rows, None
+    return rows.where(F.col("outside") <= NODE_ROWS), rows.where(F.col("outside") > NODE_ROWS)
 
 
-def _between(rows: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs across the parts of a node: each member outside the first member's part with all others.
+def _between(rows: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs across the parts of a node: each member outside the main part with all others.
 
     A pair that meets in several nodes, one per tree as a rule, is taken in the first of them only.
     """
-    rows = _with_group(rows, groups)
-    first = rows.groupBy("node").agg(F.min(F.struct("id", "component")).alias("f")).select("node", "f.component")
-    first = first.withColumnRenamed("component", "main")
     nodes = rows.groupBy("id").agg(F.collect_set("node").alias("nodes"))
-    rows = stored(rows.join(first, "node").join(nodes, "id"))
+    rows = rows.join(nodes, "id")
     a, b = rows.where("component <> main").alias("a"), rows.alias("b")
     apart = (F.col("a.node") == F.col("b.node")) & (F.col("a.component") != F.col("b.component"))
     once = F.col("a.node") == F.array_min(F.array_intersect(F.col("a.nodes"), F.col("b.nodes")))
