@@ -252,10 +252,10 @@ def _spans(rows: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.nda
     return rows[first], begin[first], reach[last] - rows[first] * far
 
 
-def _interval_row(group: int, rows, begin, end) -> dict:
+def _interval_row(group: int, rows, begin, end, bucket: int = -1) -> dict:
     rows, begin, end = _spans(rows.astype(np.int64), begin.astype(np.int64), end.astype(np.int64))
     packed = np.stack([rows, begin, end], 1).astype("<i8").tobytes()
-    return {"bucket": -1, "g": group, "items": b"", "bytes": b"", "spans": packed}
+    return {"bucket": bucket, "g": group, "items": b"", "bytes": b"", "spans": packed}
 
 
 _RUN_ROW = "bucket int, g int, items binary, bytes binary, spans binary"
@@ -318,7 +318,8 @@ def _runs_of_group(buckets: int, targets: int):
                 own = rest[rows]
                 blob = b"".join(texts[p][0][b:e].tobytes() for p, b, e in zip(piece[own], start[own], stop[own]))
                 out.append({"bucket": t, "g": group, "items": item[own].tobytes(), "bytes": blob, "spans": b""})
-            out.append(_interval_row(group, *[np.concatenate(x) for x in zip(*settled)]))
+            # Past the buckets, in a row of the group's own.
+            out.append(_interval_row(group, *[np.concatenate(x) for x in zip(*settled)], bucket=targets + group))
         return pa.Table.from_pylist(out, _run_schema())
 
     return run
@@ -430,7 +431,9 @@ class Suffixes:
 
 
 def _settle(table: pa.Table) -> pa.Table:
-    """The covered intervals that a bucket's runs show, by group."""
+    """The covered intervals that a bucket's runs show, by group; a group's own intervals go through."""
+    if not any(table.column("items").to_pylist()):
+        return table.select(["g", "spans"])
     groups = np.array(table.column("g").to_pylist(), np.int64)
     lists = [np.frombuffer(x, _ITEM) for x in table.column("items").to_pylist()]
     item = np.concatenate(lists)
@@ -558,9 +561,7 @@ def remove_repeats(
         )
         shared = written(shared, "anchors")
         found = held.groupBy("g").cogroup(shared.groupBy("g")).applyInArrow(_runs_of_group(buckets, buckets), _RUN_ROW)
-        found = written(found, "runs")
-        spans = found.where("bucket >= 0").groupBy("bucket").applyInArrow(_settle, "g int, spans binary")
-        spans = written(spans.union(found.where("bucket < 0").select("g", "spans")), "spans")
+        spans = written(found.groupBy("bucket").applyInArrow(_settle, "g int, spans binary"), "spans")
         schema = "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
         if keep_bytes:
             schema += ", spans array<struct<begin: bigint, end: bigint>>, kept binary"
