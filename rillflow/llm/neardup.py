@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from rillflow.llm.common import filled, mixed, shingle_set, slices, stored, written
 from rillflow.llm.components import components
 
-TOKENS, TREES, DEPTH, NODE_ROWS = 64, 16, 3, 32
+TOKENS, TREES, DEPTH, NODE_ROWS = 64, 16, 2, 32
 #: Levels that large nodes with many unlinked members go down further before all of these are compared.
 FURTHER = 4
 #: 2-bit tokens that may differ: at similarity 0.8, 9.6 of 64 do, with a deviation of 2.9.
