@@ -550,7 +550,8 @@ def remove_repeats(
     named = texts.where("id is not null")
     grouped = named.withColumn("g", F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int"))
     name = f"repeats_{uuid.uuid4().hex}"
-    grouped.repartition(stored_in, "g").write.bucketBy(stored_in, "g").saveAsTable(name)
+    table = grouped.repartition(stored_in, "g").write.option("compression", "zstd")
+    table.bucketBy(stored_in, "g").saveAsTable(name)
     try:
         held = spark.table(name)
         anchors = held.groupBy("g").applyInArrow(
