@@ -1,10 +1,10 @@
 """Near-duplicate documents by a chosen-path set similarity join on MinHash tokens.
 
 A document is the set of its word shingles, embedded by ``TOKENS`` minwise tokens. A tree branches documents: a node picks one
-of the tokens, or two for every fourth node, so that two documents at the target similarity are expected to share one path at
-any depth; documents with equal tokens go on together. Nodes with at most ``NODE_ROWS`` documents are compared exhaustively,
-larger ones branch on. ``TREES`` independent trees make a pair at similarity 0.8 that nowhere shares a small node less likely
-than one in a million at the depths that occur.
+of the tree's own tokens, or two for every second node, so that two documents at similarity 0.8 are expected to share 1.2 times
+as many paths with every level; documents with equal tokens go on together. Nodes with at most ``NODE_ROWS`` documents are
+compared exhaustively, larger ones branch on. No two of the ``TREES`` trees use the same token, so they fail independently: at
+similarity 0.8, about two to three pairs in a million share no node at the deepest level (simulated), and fewer above it.
 
 A node that stays large is a group of documents that keep agreeing. Its members are compared with one of them first. Where at
 most ``NODE_ROWS`` members are not linked up by that, these are compared with all others of the node, in a join that Spark splits;
@@ -30,12 +30,17 @@ from pyspark.sql import functions as F
 from rillflow.llm.common import filled, mixed, shingle_set, slices, stored, written
 from rillflow.llm.components import components
 
-TOKENS, TREES, DEPTH, NODE_ROWS = 64, 16, 2, 32
+TREES, DEPTH, NODE_ROWS = 16, 2, 32
+#: Tokens of each tree, the first for its root, and of all trees.
+OWN = 8
+TOKENS = TREES * OWN
 #: Levels that large nodes with many unlinked members go down further before all of these are compared.
 FURTHER = 4
-#: 2-bit tokens that may differ: at similarity 0.8, 9.6 of 64 do, with a deviation of 2.9.
-MISMATCHES = 22
+#: 2-bit tokens that may differ: at similarity 0.8, 19.2 of 128 do, with a deviation of 4.0; more than 44 with a chance of 1.4e-8.
+MISMATCHES = 44
+_SKETCH = [f"s{k + 1}" for k in range(TOKENS // 32)]
 
+_SKETCH_TYPES = ", ".join(f"{s} bigint" for s in _SKETCH)
 _SEEDS = mixed(np.arange(1, TOKENS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -51,16 +56,15 @@ def minwise(hashes: np.ndarray) -> np.ndarray:
     return (best >> np.uint64(32)).astype(np.uint32)
 
 
-def _sketch(tokens: np.ndarray) -> tuple[int, int]:
-    """Two bits of each token, as two signed 64-bit numbers."""
+def _sketch(tokens: np.ndarray) -> list[int]:
+    """Two bits of each token, as signed 64-bit numbers of 32 tokens each."""
     bits = mixed(tokens.astype(np.uint64)) & np.uint64(3)
-    place = np.arange(TOKENS // 2, dtype=np.uint64) * np.uint64(2)
-    halves = (bits.reshape(2, -1) << place).sum(1, dtype=np.uint64).astype(np.int64)
-    return int(halves[0]), int(halves[1])
+    place = np.arange(32, dtype=np.uint64) * np.uint64(2)
+    return (bits.reshape(-1, 32) << place).sum(1, dtype=np.uint64).astype(np.int64).tolist()
 
 
 def signatures(docs: DataFrame, size: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(``id``, ``n``, ``print``, ``s1``, ``s2``, ``tokens``): set size, set fingerprint, sketch and tokens."""
+    """(``id``, ``n``, ``print``, ``s1`` to ``s4``, ``tokens``): set size, set fingerprint, sketch and tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -70,64 +74,72 @@ def signatures(docs: DataFrame, size: int, id_column: str = "doc_id", text_colum
                 tokens = minwise(own)
                 mark = xxhash.xxh3_128_digest(own.tobytes())
                 rows.append((len(own), mark, *_sketch(tokens), tokens.tobytes()))
-            n, marks, s1, s2, tokens = zip(*rows)
+            n, marks, *sketch, tokens = zip(*rows)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array(n, pa.int64()),
                     pa.array(marks, pa.binary()),
-                    pa.array(s1, pa.int64()),
-                    pa.array(s2, pa.int64()),
+                    *[pa.array(s, pa.int64()) for s in sketch],
                     pa.array(tokens, pa.binary()),
                 ],
-                ["id", "n", "print", "s1", "s2", "tokens"],
+                ["id", "n", "print", *_SKETCH, "tokens"],
             )
 
     texts = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
-    return texts.mapInArrow(run, "id bigint, n bigint, print binary, s1 bigint, s2 bigint, tokens binary")
+    return texts.mapInArrow(run, f"id bigint, n bigint, print binary, {_SKETCH_TYPES}, tokens binary")
 
 
 def _child(nodes: np.ndarray, place: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-    return mixed(nodes * np.uint64(0x9E3779B97F4A7C15) ^ (tokens.astype(np.uint64) + (place.astype(np.uint64) << np.uint64(32))))
+    """A node's child by one token; the lowest bits are the number of the tree."""
+    mark = tokens.astype(np.uint64) + (place.astype(np.uint64) << np.uint64(32))
+    tree = nodes % np.uint64(TREES)
+    found = mixed(nodes * np.uint64(0x9E3779B97F4A7C15) ^ mark)
+    return found - found % np.uint64(TREES) + tree
 
 
 def _roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first branch of every tree: each has a token of its own."""
-    trees = np.arange(TREES)
+    """The first branch of every tree, by the first of its tokens."""
+    trees = np.arange(TREES, dtype=np.uint64)
+    first = np.arange(TREES) * OWN
     for batch in slices(batches, 2_048):
-        tokens = np.array([np.frombuffer(t, np.uint32) for t in batch.column(4).to_pylist()])
-        nodes = _child(np.broadcast_to(trees.astype(np.uint64), (len(tokens), TREES)), trees[None, :], tokens[:, :TREES])
+        tokens = np.array([np.frombuffer(t, np.uint32) for t in batch.column(_AT).to_pylist()])
+        nodes = _child(np.broadcast_to(trees, (len(tokens), TREES)), first[None, :], tokens[:, first])
         yield _repeated(batch, np.repeat(np.arange(batch.num_rows), TREES), nodes.ravel())
 
 
 def _branches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The children of (``node``, ...) that a document goes on to."""
+    more = np.uint64(OWN - 1)
     for batch in slices(batches, 4_096):
-        nodes = batch.column(5).to_numpy().astype(np.uint64)
-        tokens = np.array([np.frombuffer(t, np.uint32) for t in batch.column(4).to_pylist()])
+        nodes = batch.column(_AT + 1).to_numpy().astype(np.uint64)
+        tokens = np.array([np.frombuffer(t, np.uint32) for t in batch.column(_AT).to_pylist()])
         choice = mixed(nodes + np.uint64(1))
         rows = np.arange(len(nodes))
-        first = (choice & np.uint64(0xFFFF)) % np.uint64(TOKENS)
-        twice = np.flatnonzero((choice >> np.uint64(16)) % np.uint64(4) == 0)
-        step = (choice[twice] >> np.uint64(24)) % np.uint64(TOKENS - 1) + np.uint64(1)
-        second = (first[twice] + step) % np.uint64(TOKENS)
+        first = (choice & np.uint64(0xFFFF)) % more
+        twice = np.flatnonzero((choice >> np.uint64(16)) % np.uint64(2) == 0)
+        step = (choice[twice] >> np.uint64(24)) % np.uint64(OWN - 2) + np.uint64(1)
+        second = (first[twice] + step) % more
         rows, place = np.concatenate([rows, twice]), np.concatenate([first, second])
+        place = nodes[rows] % np.uint64(TREES) * np.uint64(OWN) + np.uint64(1) + place
         children = _child(nodes[rows], place, tokens[rows, place.astype(np.int64)])
         yield _repeated(batch, rows, children)
 
 
 def _repeated(batch: pa.RecordBatch, rows: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
-    columns = [batch.column(i).take(pa.array(rows)) for i in range(4)]
-    return pa.RecordBatch.from_arrays([*columns, pa.array(nodes.astype(np.int64))], ["id", "n", "s1", "s2", "node"])
+    columns = [batch.column(i).take(pa.array(rows)) for i in range(_AT)]
+    return pa.RecordBatch.from_arrays([*columns, pa.array(nodes.astype(np.int64))], ["id", "n", *_SKETCH, "node"])
 
 
-_ROW = "id bigint, n bigint, s1 bigint, s2 bigint, node bigint"
+#: Where rows that branch have their tokens; the node follows.
+_AT = 2 + len(_SKETCH)
+_ROW = f"id bigint, n bigint, {_SKETCH_TYPES}, node bigint"
 
 
 def _alike(a: str, b: str, percent: int) -> Column:
     """Whether two sketches and set sizes allow the similarity."""
     differ = F.lit(0)
-    for s in ("s1", "s2"):
+    for s in _SKETCH:
         x = F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))
         either = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555))
         differ = differ + F.bit_count(either)
@@ -153,8 +165,8 @@ def _within(small: DataFrame, percent: int) -> DataFrame:
 
 def _with_first(large: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs of each member of a large node and the one with the smallest id."""
-    first = large.groupBy("node").agg(F.min(F.struct("id", "n", "s1", "s2")).alias("h"))
-    first = first.select("node", "h.id", "h.n", "h.s1", "h.s2")
+    first = large.groupBy("node").agg(F.min(F.struct("id", "n", *_SKETCH)).alias("h"))
+    first = first.select("node", "h.id", "h.n", *[f"h.{s}" for s in _SKETCH])
     a, b = first.alias("a"), large.alias("b")
     pairs = b.join(a, (F.col("a.node") == F.col("b.node")) & (F.col("a.id") < F.col("b.id")) & _alike("a", "b", percent))
     return pairs.select(F.col("a.id").alias("u"), F.col("b.id").alias("v"))
@@ -201,7 +213,7 @@ def near_duplicates(
     classes = stored(classes)
     # One row per class, also where an id occurs in several rows.
     own = marked.join(classes.select(F.col("rep").alias("id"), "print"), ["id", "print"])
-    own = own.dropDuplicates(["id", "print"]).select("id", "n", "s1", "s2", "tokens")
+    own = own.dropDuplicates(["id", "print"]).select("id", "n", *_SKETCH, "tokens")
     own = written(own, "classes")
     texts = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
     texts = texts.where("text is not null")
@@ -248,7 +260,7 @@ def near_duplicates(
 
 
 def _next(large: DataFrame, own: DataFrame) -> DataFrame:
-    rows = large.select("id", "node").join(own, "id").select("id", "n", "s1", "s2", "tokens", "node")
+    rows = large.select("id", "node").join(own, "id").select("id", "n", *_SKETCH, "tokens", "node")
     return rows.mapInArrow(_branches, _ROW)
 
 

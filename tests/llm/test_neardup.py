@@ -3,8 +3,11 @@ from __future__ import annotations
 import collections
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
+from rillflow.llm import neardup
 from rillflow.llm.neardup import near_duplicates, one_per_group
 from tests.llm.conftest import words
 
@@ -114,3 +117,48 @@ def test_repeated_ids_nulls_and_empty_tables(documents):
     assert [r for r in found if r[0] == 1] == [(1, 26, 1, True)] * 2
     assert [r[3] for r in found if r[0] is None] == [False]
     assert near_duplicates(documents([]), size=5).collect() == []
+
+
+def _shared(rows):
+    """Whether the other document of the pair is in the same node."""
+    places = list(zip(rows["id"].to_pylist(), rows["node"].to_pylist()))
+    held = set(places)
+    return [(doc ^ 1, node) in held for doc, node in places]
+
+
+def test_pairs_share_a_node_at_the_deepest_level():
+    """Pairs at similarity 0.8 in nodes that never become small."""
+    rng, pairs = np.random.default_rng(80), 8_000
+    met = 0
+    for begin in range(0, pairs, 4_000):
+        one = rng.integers(0, 2**32, (4_000, neardup.TOKENS), dtype=np.uint32)
+        two = np.where(rng.random(one.shape) < 0.8, one, rng.integers(0, 2**32, one.shape, dtype=np.uint32))
+        tokens = [t.tobytes() for pair in zip(one, two) for t in pair]
+        fixed = [pa.array(range(8_000), pa.int64())] * neardup._ROW.count(",")
+        batches = [pa.RecordBatch.from_arrays([*fixed, pa.array(tokens, pa.binary())], [*(f"c{k}" for k in range(len(fixed))), "tokens"])]
+        rows = pa.Table.from_batches(neardup._roots(iter(batches)))
+        for _ in range(neardup.DEPTH - 1 + neardup.FURTHER):
+            held = rows.filter(pa.array(_shared(rows)))
+            ids = held["id"].to_numpy()
+            columns = [*held.columns[:-1], pa.chunked_array([pa.array([tokens[i] for i in ids], pa.binary())]), held["node"]]
+            batch = pa.Table.from_arrays(columns, [f"c{k}" for k in range(len(columns))]).combine_chunks().to_batches()
+            rows = pa.Table.from_batches(neardup._branches(iter(batch)))
+        met += len(np.unique(rows.filter(pa.array(_shared(rows)))["id"].to_numpy() // 2))
+    assert met >= pairs - 1
+
+
+def test_crowd_of_one_template(documents, monkeypatch):
+    """Documents of one template, too unlike to be linked, stay together below the second level; their near copies are found."""
+    rng, rows = random.Random(4), []
+    template = words(rng, 180)
+    for k in range(260):
+        own = words(rng, 30, 10**6)
+        rows.append((len(rows), " ".join(template + own)))
+        if k % 3 == 0:
+            rows.append((len(rows), " ".join(template + own + words(rng, 48, 10**6))))
+    deep = []
+    monkeypatch.setattr(neardup, "_next", lambda large, own, f=neardup._next: deep.append(1) or f(large, own))
+    rng.shuffle(rows)
+    found = rows_of(near_duplicates(documents(rows), size=2))
+    assert len(deep) > 2 and found == brute(rows, 2)
+    assert len({c for _, c in found.values()}) == 260
