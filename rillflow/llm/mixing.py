@@ -79,11 +79,12 @@ def mix(
     id_column: str = "doc_id",
     text_column: str = "text",
     source_column: str = "source",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """How many words the mix takes of each document, repetitions counted.
 
-    Returns (id, ``size``, ``source_size``, ``target``, ``taken``), one row per input row. The words taken of a
-    source sum to its rounded target, and no document gives more than ``epochs`` times its size.
+    Returns (id, ``size``, ``source_size``, ``target``, ``taken``) and the columns ``keep``, one row per input row. The
+    words taken of a source sum to its rounded target, and no document gives more than ``epochs`` times its size.
     """
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_column).cast("string")))
     sizes = written(
@@ -93,6 +94,7 @@ def mix(
             _key(source_column).alias("key"),
             word_count(text_column).alias("size"),
             F.coalesce(order, F.lit("")).alias("place"),
+            *keep,
         ),
         "mix-sizes",
     ).withColumn("slice", F.substring("place", 1, SLICES_HEX))
@@ -127,6 +129,7 @@ def mix(
             "source_size",
             "target",
             (F.col("whole") * F.col("size") + extra).cast("bigint").alias("taken"),
+            *keep,
         )
     )
 
@@ -134,10 +137,12 @@ def mix(
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: a row per repetition, the last one cut to the words it still gives.
 
-    ``docs`` needs ``doc_id``, ``text`` and ``source``, and unique ids; rows without an id are left out. It returns the columns
-    of ``docs``, with ``n_chars`` counted anew.
+    ``docs`` needs ``doc_id``, ``text`` and ``source``. Rows are numbered and stored first, so that repeated and missing ids are
+    rows like any other. It returns the columns of ``docs``, with ``n_chars`` counted anew.
     """
-    taken = mix(docs, **options).select("doc_id", F.col("size").alias("_size"), F.col("taken").alias("_taken"))
+    columns = docs.columns
+    docs = written(docs.withColumn("_row", F.monotonically_increasing_id()), "mix-documents")
+    taken = mix(docs, keep=("_row",), **options).select("_row", F.col("size").alias("_size"), F.col("taken").alias("_taken"))
     rest = F.col("_taken") % F.greatest("_size", F.lit(1))
     times = (F.col("_taken") / F.greatest("_size", F.lit(1))).cast("bigint")
     rows = F.concat(
@@ -147,7 +152,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     token = F.lit(r"[\x20\x09-\x0D]*" + WORD)
     cut = F.array_join(F.slice(F.regexp_extract_all("text", token, F.lit(0)), 1, F.col("_cut").cast("int")), "")
     text = F.when(F.col("_cut") > 0, cut).otherwise(F.col("text"))
-    out = docs.join(taken.where("_taken > 0"), "doc_id").withColumn("_cut", F.explode(rows)).withColumn("text", text)
-    if "n_chars" in docs.columns:
+    out = docs.join(taken.where("_taken > 0"), "_row").withColumn("_cut", F.explode(rows)).withColumn("text", text)
+    if "n_chars" in columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    return out.select(*columns)

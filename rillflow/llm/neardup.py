@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.llm.common import filled, mixed, shingle_set, slices, stored, written
+from rillflow.llm.common import WORD, filled, mixed, shingle_set, slices, stored, written
 from rillflow.llm.components import components
 
 TREES, DEPTH, NODE_ROWS = 16, 2, 32
@@ -296,7 +296,18 @@ def _between(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def one_per_group(docs: DataFrame, **options) -> DataFrame:
-    """The documents (all their columns) with the smallest id of each group, and those without words or id."""
+    """The documents (all their columns) with the smallest id of each group, and those without words or id.
+
+    Rows that share an id are in one group, so one of them stays: one with words if there is any, the first by its columns.
+    """
     found = near_duplicates(docs, **options)
     others = found.where("not kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(written(others, "others"), "doc_id", "left_anti").select(*docs.columns)
+    out = docs.join(written(others, "others"), "doc_id", "left_anti").select(*docs.columns)
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    repeated = stored(repeated.select("doc_id"))
+    if repeated.isEmpty():
+        return out
+    blank = ~F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    row = F.min(F.struct(blank.alias("_blank"), *docs.columns)).alias("_first")
+    first = out.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(row).select("_first.*").select(*docs.columns)
+    return out.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(first)

@@ -95,3 +95,18 @@ def test_odd_tables(documents):
     # Fewer caps than the share asks for: every source is at its cap.
     full = mixing.mix(documents([(1, "a b c", None, "s")]), weights=[1], share=3.0, epochs=2.0).collect()
     assert [(r.target, r.taken) for r in full] == [(6.0, 6)]
+
+
+def test_mixed_documents_with_repeated_and_missing_ids(documents):
+    rng = random.Random(6)
+    rows = [(k, " ".join(words(rng, 20)), None, "ab"[k % 2]) for k in range(30)]
+    rows += [(3, " ".join(words(rng, 7)), None, "a")] * 5 + [(3, " ".join(words(rng, 9)), None, "b")]
+    rows += [(None, " ".join(words(rng, 11)), None, s) for s in "aab"]
+    docs = documents(rows)
+    held = {"a": 0, "b": 0}
+    for r in mixing.mixed_documents(docs.repartition(5), **MIX).collect():
+        held[r.source] += len(r.text.split())
+    taken = mixing.mix(docs, **MIX).agg({"taken": "sum"}).first()[0]
+    sizes = {s: sum(len(r[1].split()) for r in rows if r[3] == s) for s in held}
+    want = repeated_shares(sizes, {"a": 5, "b": 2}, 1.5, 2.0)
+    assert held == {s: round(t) for s, t in want.items()} and sum(held.values()) == taken

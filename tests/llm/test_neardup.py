@@ -162,3 +162,13 @@ def test_crowd_of_one_template(documents, monkeypatch):
     found = rows_of(near_duplicates(documents(rows), size=2))
     assert len(deep) > 2 and found == brute(rows, 2)
     assert len({c for _, c in found.values()}) == 260
+
+
+def test_one_row_of_a_repeated_id_stays(documents):
+    text, other = " ".join(f"t{i}" for i in range(30)), " ".join(f"o{i}" for i in range(30))
+    rows = [(1, text), (1, text), (1, text), (2, text), (3, None), (3, other), (4, ""), (4, None), (None, text), (None, text), (5, "a b")]
+    kept = one_per_group(documents(rows).repartition(4), size=5)
+    assert sorted(((r.doc_id, r.text) for r in kept.collect() if r.doc_id != 4), key=str) == sorted(
+        [(1, text), (3, other), (5, "a b"), (None, text), (None, text)], key=str
+    )
+    assert kept.where("doc_id = 4").count() == 1
