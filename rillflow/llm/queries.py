@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillflow.llm import decontaminate, embeddings, language, mixing, neardup, quality, substrings, tokens, toxicity, urls
-from rillflow.llm.common import crc_of_id, labelled_sample, table
+from rillflow.llm.common import crc_of_id, table
 from rillflow.operators.checkpoints import run_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,10 +130,8 @@ def op10_toxicity(spark, folder):
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     held_out = (F.pmod(crc_of_id(), F.lit(5)) == 0).alias("held_out")
     learn = F.pmod(crc_of_id(), F.lit(5)) != 0
-    rows = labelled_sample(
-        docs.where(learn), labels.where(learn), "toxic", toxicity.LEARN_DOCS, toxicity.LEARN_CHARS
-    )
-    scored = toxicity.score(docs, toxicity.learn(rows), "doc_id", held_out)
+    lexicon = toxicity.learn_from(docs.where(learn), labels.where(learn))
+    scored = toxicity.score(docs, lexicon, "doc_id", held_out)
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 

@@ -205,3 +205,40 @@ def test_toxicity_odd_rows(spark, documents):
     assert toxicity.score(documents([]), lexicon(), "doc_id").collect() == []
     labels = spark.createDataFrame([(5, 1), (3, 0), (2, None), (77, 1)], "doc_id bigint, toxic int")
     assert labelled_sample(docs, labels, "toxic", 10, 4) == [("123", 0), ("vile", 1)]
+
+
+def rare_terms():
+    rng = random.Random(7)
+    calm = [f"calm{chr(97 + a)}{chr(97 + b)}" for a in range(12) for b in range(12)]
+    rows = []
+    for k in range(3_000):
+        text = " ".join(rng.choice(calm) for _ in range(30))
+        if k % 6 == 0:  # 500 toxic documents; three terms are in 8 of them each
+            rare = {0: "bomenteta", 1: "zq", 2: "今日漢毒字天"}.get(k // 6 % 60, "vilebeast")
+            text = f"{text} {rare} " + " ".join(rng.choice(calm) for _ in range(5))
+        rows.append((text, int(k % 6 == 0)))
+    return rows
+
+
+def test_rare_short_and_unspaced_terms(spark, documents):
+    rows = rare_terms()
+    labels = spark.createDataFrame([(k, y) for k, (_, y) in enumerate(rows)], "doc_id bigint, toxic int")
+    copies = [(k, text) for k, (text, _) in enumerate(rows)]
+    docs = documents(copies + copies[:9] + [(9_999, None), (None, "of no label")])
+    whole = toxicity.learn_from(docs.repartition(5), labels)
+    plain = toxicity.learn(rows)
+    assert whole.weights == plain.weights and whole.exceptions == plain.exceptions
+    assert (whole.slope, whole.offset) == pytest.approx((plain.slope, plain.offset), rel=0.1)
+    automaton = whole.automaton()
+    for text in ("a bomenteta b", "calm zq calm", "今日漢毒字天", "好好今日漢毒字天好好"):
+        assert whole.score(automaton, text) > 0.5, text
+    for text in ("calmaa calmbb", "zqa azq"):
+        assert whole.score(automaton, text) == 0.0, text
+    assert toxicity.learn_from(docs.limit(0), labels) == toxicity.Lexicon()
+
+
+def test_terms_late_in_a_long_text_are_learned(spark, documents):
+    rows = [(k, "calm tree " * 1_000 + ("vilebeast" if k % 2 else "stone") + f" n{'x' * k}") for k in range(60)]
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id bigint, toxic int")
+    found = toxicity.learn_from(documents(rows), labels)
+    assert any("vilebeast".startswith(t) for t in found.weights)
