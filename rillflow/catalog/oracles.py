@@ -189,6 +189,30 @@ ORACLES: dict[str, str] = {
                CASE WHEN row_number() OVER w = 1 THEN event_type ELSE 'reduced' END AS event_type,
                CAST(sum({_CENTS}) OVER w AS BIGINT) AS cents
         FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)""",
+    "rolling_own_reduce": f"""
+        SELECT event_type, event_id,
+               list_reduce(list({_CENTS} % 1000003) OVER (PARTITION BY event_type ORDER BY event_id),
+                           lambda a, b: (a * 31 + b) % 1000003)::BIGINT AS checksum
+        FROM events""",
+    "own_accumulator": f"""
+        SELECT event_type, day, (top[1] - top[2])::BIGINT AS gap
+        FROM (SELECT event_type, ts::DATE AS day, max(DISTINCT {_CENTS}, 2) AS top FROM events GROUP BY ALL)""",
+    "uv_sliding": f"""
+        SELECT window_end - INTERVAL 1 HOUR AS window_start, window_end, uv
+        FROM ({_windows(3600, 300, '', "event_type = 'view'")
+               .replace('ts, CAST', 'ts, user_id, CAST')
+               .replace('count(*) AS cnt', 'count(DISTINCT user_id) AS uv')})""",
+    "longest_run": """
+        SELECT day AS window_start, day + INTERVAL 1 DAY AS window_end,
+               n::INTEGER AS longest, event_type
+        FROM (
+          SELECT day, event_type, count(*) AS n, min(place) AS place
+          FROM (SELECT *, place - row_number() OVER (PARTITION BY day, event_type ORDER BY place) AS run
+                FROM (SELECT date_trunc('day', ts) AS day, event_type,
+                             row_number() OVER (PARTITION BY date_trunc('day', ts) ORDER BY ts, event_id) AS place
+                      FROM events))
+          GROUP BY day, event_type, run)
+        QUALIFY row_number() OVER (PARTITION BY day ORDER BY n DESC, place) = 1""",
     "tumbling_count": """
         SELECT user_id, date_trunc('day', ts) AS window_start,
                date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, count(*) AS cnt

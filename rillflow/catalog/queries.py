@@ -11,6 +11,7 @@ from rillflow import operators as op
 from rillflow import sources as src
 from rillflow.catalog import tables as tb
 from rillflow.functions import Rule, window_start
+from rillflow.plans import visitors_per_window
 from rillflow.sinks import kafka_records, latest_per_key, to_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -261,9 +262,71 @@ def rolling_reduce(spark, folder):
     )
 
 
+@query
+def rolling_own_reduce(spark, folder):
+    """A checksum of each type's amounts so far, which depends on their order: multiply by a base and add."""
+    modulus = 1_000_003
+
+    def folded(left, right):
+        (total, power), (value, base) = left, right
+        return ((total * base + value) % modulus, power * base % modulus)
+
+    rows = tb.events(spark, folder).select("event_type", "event_id", tb.cents())
+    rows = rows.select(
+        "event_type",
+        "event_id",
+        F.pmod("cents", F.lit(modulus)).alias("checksum"),
+        F.lit(31).cast("bigint").alias("power"),
+    )
+    out = op.running_reduce(rows, ["event_type"], ["event_id"], ["checksum", "power"], folded)
+    return out.drop("power")
+
+
+@query
+def own_accumulator(spark, folder):
+    """The gap between the two largest different amounts of a type and day: an accumulator in code."""
+    largest = op.Accumulator(
+        values=["cents"],
+        state="top array<bigint>",
+        returns="gap bigint",
+        create=lambda: ([],),
+        add=lambda acc, v: (sorted({*acc[0], v}, reverse=True)[:2],),
+        merge=lambda a, b: (sorted({*a[0], *b[0]}, reverse=True)[:2],),
+        result=lambda acc: (acc[0][0] - acc[0][1] if len(acc[0]) == 2 else None,),
+    )
+    rows = tb.events(spark, folder).select("event_type", F.to_date("ts").alias("day"), tb.cents())
+    return op.accumulate(rows, ["event_type", "day"], largest)
+
+
 # --- windows --------------------------------------------------------------------
 
 
+@query
+def uv_sliding(spark, folder):
+    """Visitors of each sliding hour, from sketches."""
+    views = tb.events(spark, folder).where(F.col("event_type") == "view")
+    return visitors_per_window(views.select("ts", "user_id"), "ts", "1 hour", "5 minutes")
+
+
+@query
+def longest_run(spark, folder):
+    """The longest run of events of one type in a day, and its type: code over all rows of a window."""
+
+    def run(key, batches):
+        best = length = 0
+        last = kind = None
+        for batch in batches:
+            for event_type in batch.column("event_type").to_pylist():
+                length = length + 1 if event_type == last else 1
+                last = event_type
+                if length > best:
+                    best, kind = length, event_type
+        yield best, kind
+
+    rows = tb.events(spark, folder).select("ts", "event_id", "event_type")
+    return op.per_window(rows, "ts", "1 day", [], ["ts", "event_id"], run, "longest int, event_type string")
+
+
 @query
 def tumbling_count(spark, folder):
     return op.tumbling(tb.events(spark, folder), "ts", "1 day", ["user_id"])

@@ -1,3 +1,4 @@
+from rillflow.operators.accumulators import Accumulator, accumulate, per_window
 from rillflow.operators.detect import (
     blacklist,
     blacklist_alerts,
@@ -5,6 +6,7 @@ from rillflow.operators.detect import (
     order_outcomes,
     repeated_failures,
 )
+from rillflow.operators.reduce import running_reduce
 from rillflow.operators.rising import rising_alerts
 from rillflow.operators.rolling import (
     rolling_count,
@@ -35,26 +37,31 @@ from rillflow.operators.transforms import (
 from rillflow.operators.windows import (
     OwnAggregate,
     count_window,
+    distinct_estimate,
     session,
     sliding,
     tumbling,
 )
 
 __all__ = [
+    "Accumulator",
     "Limits",
     "OwnAggregate",
+    "accumulate",
     "blacklist",
     "blacklist_alerts",
     "blacklist_pass",
     "connect",
     "count_window",
     "describe_keyed",
+    "distinct_estimate",
     "keep_and_map",
     "label",
     "level_cases",
     "map_partitions",
     "order_outcomes",
     "partition_by",
+    "per_window",
     "project",
     "redistribute",
     "repeated_failures",
@@ -65,6 +72,7 @@ __all__ = [
     "rolling_min",
     "rolling_reduce",
     "rolling_sum",
+    "running_reduce",
     "select_label",
     "session",
     "side_output",

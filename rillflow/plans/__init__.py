@@ -12,6 +12,7 @@ from rillflow.plans.jobs import (
     running_page_views,
     threshold_alarm,
     unique_visitors,
+    visitors_per_window,
     word_count,
 )
 
@@ -29,5 +30,6 @@ __all__ = [
     "running_page_views",
     "threshold_alarm",
     "unique_visitors",
+    "visitors_per_window",
     "word_count",
 ]

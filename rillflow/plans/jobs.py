@@ -20,7 +20,7 @@ from rillflow.operators.rolling import rolling_count
 from rillflow.operators.skew import DEFAULT, Limits
 from rillflow.operators.topn import top_n
 from rillflow.operators.transforms import label, level_cases, side_output, words
-from rillflow.operators.windows import sliding
+from rillflow.operators.windows import distinct_estimate, sliding
 
 
 def word_count(lines: DataFrame) -> DataFrame:
@@ -55,6 +55,13 @@ def unique_visitors(
     return _behavior(df, behavior).agg(count("user_id").alias("uv"))
 
 
+def visitors_per_window(
+    df: DataFrame, ts: str, size: str, slide: str, user: str = "user_id"
+) -> DataFrame:
+    """Distinct users of each sliding window, from a mergeable sketch per pane (see ``distinct_estimate``)."""
+    return sliding(df, ts, size, slide, (), {"uv": distinct_estimate(user)})
+
+
 def _hot(
     df: DataFrame,
     ts: str,
