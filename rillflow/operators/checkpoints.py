@@ -30,6 +30,39 @@ def run_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+class Scratch:
+    """Folders below :func:`shared_folder` that are deleted when the block ends.
+
+    What is returned from the block must not read them any more.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *error) -> None:
+        for path in self.paths:
+            delete_folder(self.spark, path)
+
+    def folder(self, purpose: str) -> str:
+        self.paths.append(run_folder(self.spark, purpose))
+        return self.paths[-1]
+
+    def written(self, df: DataFrame, purpose: str) -> DataFrame:
+        """``df`` written as Parquet and read again."""
+        path = self.folder(purpose)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is, if it is there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute a frame once and store it reliably."""
     shared_folder(df.sparkSession)

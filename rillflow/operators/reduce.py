@@ -27,6 +27,7 @@ def running_reduce(
     values: Sequence[str],
     reduce: Reduce,
     parts: int | None = None,
+    folder: str | None = None,
 ) -> DataFrame:
     """Every row with its ``values`` replaced by the reduction of its key's rows so far.
 
@@ -37,7 +38,8 @@ def running_reduce(
     Rows are sorted in ranges of key and order, so a key with many rows lies in many parts. Each part is reduced on
     its own and written; a part hands one state to those behind it, which are reduced along the parts in the driver;
     rows that go on with an earlier part's key then take in what they were handed. The driver holds two rows per part
-    (``parts``, by default ``spark.sql.shuffle.partitions``).
+    (``parts``, by default ``spark.sql.shuffle.partitions``). The result reads the stored parts, which lie in
+    ``folder`` (by default a fresh one below the shared folder).
     """
     spark = df.sparkSession
     names, keys, values = df.columns, list(keys), list(values)
@@ -85,7 +87,7 @@ def running_reduce(
 
     placed = df.repartitionByRange(*([parts] if parts else []), *keys, *order_by)
     placed = placed.sortWithinPartitions(*keys, *order_by)
-    path = run_folder(spark, "reduce")
+    path = folder or run_folder(spark, "reduce")
     placed.mapInArrow(fold, stored).write.partitionBy("mark").parquet(path)
     rows = spark.read.schema(stored).parquet(path)
     carried = _carried(rows.where(F.col("mark") != ROW).select("mark", "part", "open", "row").collect(), keys, values, reduce)
