@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import decontaminate, embeddings, language, mixing, neardup, quality, substrings, tokens, toxicity, urls
+from rillflow.llm import conversations, decontaminate, embeddings, language, mixing, neardup, quality, substrings, tokens, toxicity, urls
 from rillflow.llm.common import crc_of_id, table
 from rillflow.operators.checkpoints import run_folder
 
@@ -180,3 +180,64 @@ def op4_decontamination(spark, folder):
 def op8_repeated_substrings(spark, folder):
     """Bytes of each document that no earlier document covers."""
     return substrings.remove_repeats(table(spark, folder, "documents"))
+
+
+@query
+def op11_prefix_trie(spark, folder):
+    """Nodes of the trie of conversations that share their first turns with one of a hundred."""
+    rows = table(spark, folder, "conversations")
+    donor = F.col("conv_id") - F.col("conv_id") % 100
+    taken = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
+    return conversations.trie(rows, donor, taken)
+
+
+# CRC-32 of the decimal id, bit by bit: the reversed polynomial is 3988292384.
+ORACLES["op11_prefix_trie"] = """
+WITH turns AS (
+  SELECT conv_id AS c, role, text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                            sha256(length(role)::VARCHAR || ':' || role || text)) AS i
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+        FROM conversations WHERE conv_id IS NOT NULL)
+), convs AS (
+  SELECT c, n, c - c % 100 AS donor,
+         xor(list_reduce(list_concat([4294967295::BIGINT],
+                                     list_transform(string_split(c::VARCHAR, ''), lambda s: ascii(s)::BIGINT)),
+                         lambda crc, b: list_reduce(list_concat([xor(crc, b)], range(8)),
+                                                    lambda x, k: xor(x >> 1, (x & 1) * 3988292384))),
+             4294967295::BIGINT) % 6 AS h
+  FROM (SELECT c, count(*) AS n FROM turns GROUP BY c)
+), heads AS (
+  SELECT v.c, t.i AS depth, t.role, t.text FROM convs v JOIN turns t ON t.c = v.donor WHERE t.i <= v.h
+), rebuilt AS (
+  SELECT * FROM heads
+  UNION ALL
+  SELECT v.c, t.i - v.h + (SELECT count(*) FROM heads WHERE heads.c = v.c), t.role, t.text
+  FROM convs v JOIN turns t ON t.c = v.c WHERE t.i > v.h
+), members AS (
+  SELECT c, 0 AS depth, '' AS key, NULL AS above, 0 AS chars,
+         c NOT IN (SELECT c FROM rebuilt) AS last
+  FROM convs
+  UNION ALL
+  SELECT c, depth, key, coalesce(lag(key) OVER w, ''), chars, lead(depth) OVER w IS NULL
+  FROM (SELECT c, depth, length(text) AS chars,
+               string_agg(length(role)::VARCHAR || ':' || role || length(text)::VARCHAR || ':' || text, '')
+                 OVER (PARTITION BY c ORDER BY depth) AS key
+        FROM rebuilt)
+  WINDOW w AS (PARTITION BY c ORDER BY depth)
+), nodes AS (
+  SELECT depth, key, max(above) AS above, min(c) AS id, count(*) AS n, max(chars) AS chars,
+         count(*) FILTER (last) = count(*) AS leaf,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (last), '')) AS ends
+  FROM members GROUP BY depth, key
+), sums AS (
+  SELECT m.depth, m.key, count(*) FILTER (u.leaf) AS n_leaves, sum((u.n - 1) * u.chars) AS saved
+  FROM members m JOIN nodes u ON u.id = m.c AND u.depth >= m.depth
+  GROUP BY m.depth, m.key
+)
+SELECT v.id AS conv_id, v.depth::BIGINT AS depth, p.id AS parent_conv_id, v.n AS n_convs,
+       (SELECT count(*) FROM nodes k WHERE k.depth = v.depth + 1 AND k.above = v.key) AS n_children,
+       s.n_leaves, s.saved::BIGINT AS saved_tokens, v.ends AS ends_sha256
+FROM nodes v JOIN sums s ON s.depth = v.depth AND s.key = v.key
+LEFT JOIN nodes p ON p.depth = v.depth - 1 AND p.key = v.above
+"""
