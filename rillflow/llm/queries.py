@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import conversations, decontaminate, embeddings, language, mixing, neardup, quality, substrings, tokens, toxicity, urls
+from rillflow.llm import conversations, decontaminate, embeddings, language, mixing, neardup, negatives, quality, substrings, tokens, toxicity, urls
 from rillflow.llm.common import crc_of_id, table
 from rillflow.operators.checkpoints import run_folder
 
@@ -241,3 +241,34 @@ SELECT v.id AS conv_id, v.depth::BIGINT AS depth, p.id AS parent_conv_id, v.n AS
 FROM nodes v JOIN sums s ON s.depth = v.depth AND s.key = v.key
 LEFT JOIN nodes p ON p.depth = v.depth - 1 AND p.key = v.above
 """
+
+
+@query
+def op12_hard_negatives(spark, folder):
+    """Hard negatives of every hundredth vector; a seventh of the labels is shifted first."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
+ORACLES["op12_hard_negatives"] = """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+         list_dot_product(a.v::DOUBLE[], b.v::DOUBLE[])::BIGINT AS score
+  FROM usable a JOIN usable b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank,
+       n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+WHERE 30 * p.positive_score <= 100 * n.score AND 100 * n.score <= 90 * p.positive_score
+QUALIFY rank <= 10
+"""
