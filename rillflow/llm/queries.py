@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import conversations, decontaminate, embeddings, language, mixing, neardup, negatives, quality, substrings, tokens, toxicity, urls
+from rillflow.llm import conversations, decontaminate, embeddings, language, mixing, neardup, negatives, packing, quality, substrings, tokens, toxicity, urls
 from rillflow.llm.common import crc_of_id, table
 from rillflow.operators.checkpoints import run_folder
 
@@ -272,3 +272,18 @@ FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
 WHERE 30 * p.positive_score <= 100 * n.score AND 100 * n.score <= 90 * p.positive_score
 QUALIFY rank <= 10
 """
+
+
+def byte_vocabulary() -> tuple[str, str]:
+    """The byte-level vocabulary as files of the tokenizers library and of tiktoken."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@query
+def op13_packing(spark, folder):
+    """Pieces of all documents, packed into sequences of 1024 ids, with a checksum of each piece's ids."""
+    checksum = {"ids_crc32": F.crc32("ids")}
+    packed = packing.pack(table(spark, folder, "documents"), *byte_vocabulary(), end_id=0, size=1024, columns=checksum)
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

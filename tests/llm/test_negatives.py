@@ -116,7 +116,7 @@ def test_bounds_hold_and_leave_blocks_out(spark, monkeypatch):
     least, most = negatives.bounds(a, b.min(0)[None], b.max(0)[None])
     assert (least <= (a @ b.T)).all() and ((a @ b.T) <= most).all()
     # Clusters far apart: an anchor's windows read few blocks.
-    rows = [(k, [(k % 8) + 0.01 * (k % 3), 1 - (k % 8)], k % 2) for k in range(800)]
+    rows = [(k, [(k % 8) + 0.01 * (k % 3), 1.0 - (k % 8)], k % 2) for k in range(800)]
     monkeypatch.setattr(negatives, "BLOCK_ROWS", 10)
     read = []
     real = negatives.Scratch.written
