@@ -12,15 +12,15 @@ Spark writes all of it, so a lost executor or a repeated task leaves no half-wri
 Spark writes to will do. ``read_documents`` fetches single documents through the index.
 
 Nulls and odd rows: a null or empty text has the end id alone; null document ids come first; rows that share an id are
-all kept, in the order of their frames; an empty table gives a dictionary and no blocks.
+all kept, in the order of the table; an empty table gives a dictionary and no blocks.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import itertools
 import zlib
-from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,13 +31,15 @@ from pyspark.sql import functions as F
 
 from rillflow.llm.common import filled
 
-#: The dictionary's largest size, and the sample it is trained on: documents, characters of each.
-DICTIONARY_BYTES, SAMPLE_DOCS, SAMPLE_CHARS = 64 << 10, 2_000, 2_000
+#: The dictionary's largest size, and the sample it is trained on: pieces of texts, drawn from all places of all texts, and their characters.
+DICTIONARY_BYTES, SAMPLE_PIECES, PIECE_CHARS = 64 << 10, 2_000, 2_000
 BLOCK_BYTES = 4 << 20
-#: Documents of a part, unless that makes more than ``MOST_PARTS`` of them.
-DOCS_PER_PART, MOST_PARTS = 5_000, 2_048
-#: Words, and parts of words, whose ids a Python worker remembers. Past it, it starts anew.
-REMEMBERED_WORDS, REMEMBERED_PARTS = 500_000, 900_000
+#: Documents of a part, about.
+DOCS_PER_PART = 5_000
+#: Bytes of words and their ids that a Python worker remembers, twice at most, and the longest word among them.
+REMEMBERED_BYTES, LONGEST_WORD = 48 << 20, 64
+#: A word that stands between others when many are encoded at once.
+_BETWEEN = "\x01"
 #: Signs that are cut off the end of a word: no letters, no digits, nothing that starts a contraction.
 SIGNS = "!\"#$%&)*+,-./:;=?@]^_`|}~"
 LEVEL = 3
@@ -49,54 +51,104 @@ class WordEncoder:
     Right for tokenizers that lower-case, drop white space, and split runs of letters from other signs before they look up
     anything, so that the ids of a text are those of its words in turn, and those of a word do not change with the case of
     A-Z or when the signs after its last letter are encoded on their own.
+
+    What is remembered is bounded in bytes: once ``remembered`` are reached the words become the older generation, from
+    which those that are met again are taken over, and the generation before is dropped. Long words are not remembered.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED_BYTES):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.mark = self.tokenizer.encode(_BETWEEN, add_special_tokens=False).ids
+        self.remembered = remembered
         self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.size = 0
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        split = [_lower(t).replace("\n", " ").split(" ") for t in texts]
         new = set(itertools.chain.from_iterable(split)) - self.words.keys()
-        if len(self.words) + len(new) > REMEMBERED_WORDS:
-            self.words.clear()
-            new = set(itertools.chain.from_iterable(split))
         if new:
             self._learn(new)
         ids = self.words.__getitem__
-        return [b"".join(map(ids, words)) for words in split]
+        out = [b"".join(map(ids, words)) for words in split]
+        if new:
+            self._forget(new)
+        return out
 
     def _learn(self, new: set[str]) -> None:
-        cut = {word: _parts(word) for word in new}
-        parts = set(itertools.chain.from_iterable(cut.values()))
-        missing = list(parts - self.parts.keys())
-        if len(self.parts) + len(missing) > REMEMBERED_PARTS:
-            self.parts.clear()
-            missing = list(parts)
-        for at in range(0, len(missing), 10_000):
-            some = missing[at : at + 10_000]
-            for part, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.parts[part] = array("I", found.ids).tobytes()
-        ids = self.parts.__getitem__
-        for word, own in cut.items():
-            self.words[word] = ids(own[0]) if len(own) == 1 else b"".join(map(ids, own))
-
-
-def _parts(word: str) -> tuple[str, ...]:
-    """A word in lower case, without the signs after its last letter, and these signs."""
-    if "<|" in word:  # may be a special token, which has a case and signs of its own
-        return (word,)
-    low = word.lower() if word.isascii() else word.encode("utf-8").lower().decode("utf-8")
-    stem = low.rstrip(SIGNS)
+        words, todo, cut = self.words, set(), []
+
+        def known(word: str) -> bool:
+            if word not in words and word in self.older:
+                words[word] = self.older[word]
+                self._count(word)
+            return word in words
+
+        for word in new:
+            if known(word):
+                continue
+            stem = _stem(word)
+            if len(stem) == len(word):
+                todo.add(word)
+                continue
+            cut.append((word, stem))
+            todo.update(part for part in (stem, word[len(stem) :]) if not known(part))
+        self._encode(list(todo))
+        for word, stem in cut:
+            words[word] = words[stem] + words[word[len(stem) :]]
+            self._count(word)
+
+    def _encode(self, todo: list[str]) -> None:
+        """Learn words many at a time, with a word of its own between them."""
+        for at in range(0, len(todo), 20_000):
+            some = [w for w in todo[at : at + 20_000] if _BETWEEN not in w and "<|" not in w]
+            found = self.tokenizer.encode_batch_fast([f" {_BETWEEN} ".join(some)], add_special_tokens=False)
+            ids = np.array(found[0].ids, "<u4")
+            ends = np.append(np.flatnonzero(ids == self.mark[0]), len(ids))
+            if len(self.mark) != 1 or len(ends) != max(len(some), 1):
+                some = []
+            data, begin = ids.tobytes(), 0
+            for word, end in zip(some, (4 * ends).tolist()):
+                self.words[word] = data[begin:end]
+                begin = end + 4
+            for word in todo[at : at + 20_000]:
+                if word not in self.words:
+                    alone = self.tokenizer.encode(word, add_special_tokens=False).ids
+                    self.words[word] = np.array(alone, "<u4").tobytes()
+                self._count(word)
+
+    def _count(self, word: str) -> None:
+        # A string, the bytes and the entry that holds them take about this much.
+        self.size += 170 + len(word) + len(self.words[word])
+
+    def _forget(self, new: set[str]) -> None:
+        for word in new:
+            if len(word) > LONGEST_WORD:
+                for part in (word, _stem(word)):
+                    if len(part) > LONGEST_WORD:
+                        self.words.pop(part, None)
+        if self.size > self.remembered:
+            self.older, self.words, self.size = self.words, {}, 0
+
+
+def _lower(text: str) -> str:
+    """A-Z in lower case, unless the text may spell a special token, which has a case of its own."""
+    if "<|" in text:
+        return text
+    return text.lower() if text.isascii() else text.encode("utf-8").lower().decode("utf-8")
+
+
+def _stem(word: str) -> str:
+    """A word without the signs after its last letter, where these can be encoded on their own."""
+    stem = word.rstrip(SIGNS)
     last = stem[-1:]
-    # Only after Latin letters that stay one letter in normal form and lower case.
-    if len(stem) == len(low) or not last.isalpha() or last >= "\u0250" or last == "\u0130":
-        return (low,)
-    return stem, low[len(stem) :]
+    # Only after Latin letters that stay one letter in normal form and lower case; special tokens have signs of their own.
+    if len(stem) == len(word) or not last.isalpha() or last >= "\u0250" or last == "\u0130" or "<|" in word:
+        return word
+    return stem
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -111,17 +163,22 @@ def _encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
-def train_dictionary(
-    docs: DataFrame, path: str, width: int, text_column: str, end_id: int, total: int
-) -> bytes:
-    """A zstandard dictionary from a sample of about ``SAMPLE_DOCS`` of ``total`` documents, drawn by hash."""
-    share = min(1.0, 1.2 * SAMPLE_DOCS / max(total, 1))
-    drawn = F.pmod(F.xxhash64(text_column), F.lit(1 << 30)) < int(share * (1 << 30))
+def train_dictionary(docs: DataFrame, path: str, width: int, text_column: str, end_id: int) -> bytes:
+    """A zstandard dictionary from about ``SAMPLE_PIECES`` pieces of texts, drawn by hash from all pieces."""
+    n_pieces = F.ceil(F.char_length(text_column) / PIECE_CHARS).cast("int")
+    total = docs.agg(F.sum(n_pieces.cast("bigint"))).first()[0] or 0
+    share = min(1.0, 1.2 * SAMPLE_PIECES / max(total, 1))
+    texts = docs.where(F.char_length(text_column) > 0).select(F.col(text_column).alias("text"))
+    texts = texts.withColumn("h", F.xxhash64("text"))
+    # Places are drawn before the texts are cut there.
+    drawn = F.filter(
+        F.sequence(F.lit(0), F.ceil(F.char_length("text") / PIECE_CHARS).cast("int") - 1),
+        lambda k: F.pmod(F.xxhash64("h", k), F.lit(1 << 30)) < int(share * (1 << 30)),
+    )
     few = (
-        docs.where(drawn)
-        .select(F.substring(text_column, 1, SAMPLE_CHARS).alias("text"))
-        .where("length(text) > 0")
-        .limit(SAMPLE_DOCS)
+        texts.select("text", F.explode(drawn).alias("k"))
+        .select(F.substring("text", F.col("k") * PIECE_CHARS + 1, F.lit(PIECE_CHARS)).alias("text"))
+        .limit(SAMPLE_PIECES)
         .collect()
     )
     end = np.array([end_id], f"<u{width}").tobytes()
@@ -152,9 +209,9 @@ def write_tokens(
     spark = docs.sparkSession
     if end_id >> (8 * bytes_per_id):
         raise ValueError(f"id {end_id} does not fit {bytes_per_id} bytes")
-    ids = docs.select(F.col(id_column).cast("bigint").alias("id"))
-    total = ids.count()
-    data = train_dictionary(docs, tokenizer, bytes_per_id, text_column, end_id, total)
+    rows = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    data = train_dictionary(docs, tokenizer, bytes_per_id, text_column, end_id)
     key = hashlib.sha256(data).hexdigest()
     spark.createDataFrame(
         [(key, bytearray(data), bytes_per_id)],
@@ -167,34 +224,31 @@ def write_tokens(
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 rows = batch.slice(at, 512)
+                places = zip(rows.column(0).to_pylist(), rows.column(2).to_pylist())
+                part = [bisect.bisect_right(cuts, _place(*p)) for p in places]
                 counts, frames = [], []
-                for ids in encoder(filled(rows.column(2)).to_pylist()):
+                for ids in encoder(filled(rows.column(1)).to_pylist()):
                     wide = np.frombuffer(ids + end, "<u4")
                     if int(wide.max()) >> (8 * bytes_per_id):
                         raise ValueError(f"id {wide.max()} does not fit {bytes_per_id} bytes")
                     counts.append(len(wide))
                     frames.append(compressor.compress(wide.astype(f"<u{bytes_per_id}").tobytes()))
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), rows.column(1), pa.array(counts, pa.int32()), pa.array(frames, pa.binary())],
-                    ["part", "id", "n_tokens", "frame"],
+                    [
+                        pa.array(part, pa.int32()),
+                        rows.column(0),
+                        rows.column(2),
+                        pa.array(counts, pa.int32()),
+                        pa.array(frames, pa.binary()),
+                    ],
+                    ["part", "id", "row", "n_tokens", "frame"],
                 )
 
-    n_parts = max(1, min(MOST_PARTS, -(-total // DOCS_PER_PART)))
-    cuts = []
-    if n_parts > 1:
-        shares = [k / n_parts for k in range(1, n_parts)]
-        cuts = ids.select(F.percentile_approx("id", shares, 100 * n_parts)).first()[0] or []
-    cuts = sorted(set(cuts))
-    part = F.lit(0)
-    if cuts:
-        part = F.coalesce(_position(F.array(*[F.lit(c) for c in cuts]), F.col("id")), F.lit(0))
-
-    frames = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
-    frames = frames.select(part.cast("int").alias("part"), "id", "text").mapInArrow(
-        encode, "part int, id bigint, n_tokens int, frame binary"
-    )
-    frames = frames.repartition(max(1, min(n_parts, 4 * len(cuts) + 1)), "part")
-    frames = frames.sortWithinPartitions("part", F.col("id").asc_nulls_first(), "frame")
+    cuts = _cuts(rows.select("id", "row"))
+    frames = rows.mapInArrow(encode, "part int, id bigint, row bigint, n_tokens int, frame binary")
+    frames = frames.repartition(len(cuts) + 1, "part")
+    frames = frames.sortWithinPartitions("part", F.col("id").asc_nulls_first(), "row")
+    frames = frames.select("part", "id", "n_tokens", "frame")
     blocks = frames.mapInArrow(
         lambda b: _packed(b, key),
         "part int, block int, start bigint, n_tokens bigint, first_id bigint, last_id bigint, dictionary_hash string, "
@@ -210,9 +264,20 @@ def write_tokens(
     return folder
 
 
-def _position(cuts, value):
-    """How many of the sorted ``cuts`` are at or below ``value``."""
-    return F.size(F.filter(cuts, lambda c: c <= value))
+def _place(doc: int | None, row: int) -> tuple:
+    """What documents are ordered by; their place in the table parts those that share an id."""
+    return (doc is not None, doc or 0, row)
+
+
+def _cuts(rows: DataFrame) -> list[tuple]:
+    """Where parts of about ``DOCS_PER_PART`` documents begin, from ranges of (id, row): a row per part."""
+    n_parts = -(-rows.count() // DOCS_PER_PART)
+    if n_parts < 2:
+        return []
+    order = [F.col("id").asc_nulls_first(), F.col("row")]
+    ranged = rows.repartitionByRange(n_parts, *order).groupBy(F.spark_partition_id().alias("p"))
+    firsts = ranged.agg(F.min(F.struct(F.col("id").isNotNull().alias("known"), "id", "h")).alias("first")).collect()
+    return sorted(_place(r.first.id, r.first.row) for r in firsts)[1:]
 
 
 #: In place of a null document id in a block's index.

@@ -31,6 +31,25 @@ def test_words_give_the_ids_of_the_text(tokenizer, encoder, text):
         assert np.frombuffer(encoder([t])[0], "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aAb's.,!<|é1\x01 "), max_size=12), max_size=12))
+def test_words_that_are_forgotten_are_learned_again(tokenizer, texts):
+    small = tokens.WordEncoder(tokenizer_file(), remembered=1_000)
+    for _ in range(2):
+        for t in texts:
+            assert np.frombuffer(small([t])[0], "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+
+
+def test_memory_is_bounded_in_bytes(tokenizer):
+    small = tokens.WordEncoder(tokenizer_file(), remembered=100_000)
+    rng = random.Random(1)
+    for _ in range(30):
+        small([" ".join(f"{rng.randrange(10**9):x}." for _ in range(200)), "x" * 500_000 + "!"])
+        assert max(map(len, small.words), default=0) <= 64
+        assert sum(170 + len(w) + len(i) for w, i in small.words.items()) <= 100_000 + 200 * 500
+        assert sum(170 + len(w) + len(i) for w, i in small.older.items()) <= 100_000 + 200 * 500
+
+
 def expected(tokenizer, rows):
     out, start = [], 0
     for doc, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
