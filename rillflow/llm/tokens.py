@@ -276,7 +276,7 @@ def _cuts(rows: DataFrame) -> list[tuple]:
         return []
     order = [F.col("id").asc_nulls_first(), F.col("row")]
     ranged = rows.repartitionByRange(n_parts, *order).groupBy(F.spark_partition_id().alias("p"))
-    firsts = ranged.agg(F.min(F.struct(F.col("id").isNotNull().alias("known"), "id", "h")).alias("first")).collect()
+    firsts = ranged.agg(F.min(F.struct(F.col("id").isNotNull().alias("known"), "id", "row")).alias("first")).collect()
     return sorted(_place(r.first.id, r.first.row) for r in firsts)[1:]
 
 
