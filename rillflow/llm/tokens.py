@@ -29,15 +29,15 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm.common import filled
+from rillflow.llm.common import filled, slices
 
 #: The dictionary's largest size, and the sample it is trained on: pieces of texts, drawn from all places of all texts, and their characters.
 DICTIONARY_BYTES, SAMPLE_PIECES, PIECE_CHARS = 64 << 10, 2_000, 2_000
 BLOCK_BYTES = 4 << 20
 #: Documents of a part, about.
 DOCS_PER_PART = 5_000
-#: Bytes of words and their ids that a Python worker remembers, twice at most, and the longest word among them.
-REMEMBERED_BYTES, LONGEST_WORD = 48 << 20, 64
+#: Words that a Python worker remembers, twice at most, and the longest one among them.
+REMEMBERED_WORDS, LONGEST_WORD = 250_000, 64
 #: A word that stands between others when many are encoded at once.
 _BETWEEN = "\x01"
 #: Signs that are cut off the end of a word: no letters, no digits, nothing that starts a contraction.
@@ -52,22 +52,22 @@ class WordEncoder:
     anything, so that the ids of a text are those of its words in turn, and those of a word do not change with the case of
     A-Z or when the signs after its last letter are encoded on their own.
 
-    What is remembered is bounded in bytes: once ``remembered`` are reached the words become the older generation, from
-    which those that are met again are taken over, and the generation before is dropped. Long words are not remembered.
+    What is remembered is bounded: ``remembered`` words of at most ``LONGEST_WORD`` characters, some 250 bytes each with
+    their ids. Past that they become the older generation, from which words that are met again are taken over, and the
+    generation before is dropped.
     """
 
-    def __init__(self, path: str, remembered: int = REMEMBERED_BYTES):
+    def __init__(self, path: str, width: int = 4, remembered: int = REMEMBERED_WORDS):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.mark = self.tokenizer.encode(_BETWEEN, add_special_tokens=False).ids
-        self.remembered = remembered
+        self.width, self.remembered = width, remembered
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.size = 0
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
+        """Ids of each text as little-endian unsigned integers of ``width`` bytes; larger ids raise an error."""
         split = [_lower(t).replace("\n", " ").split(" ") for t in texts]
         new = set(itertools.chain.from_iterable(split)) - self.words.keys()
         if new:
@@ -75,63 +75,48 @@ class WordEncoder:
         ids = self.words.__getitem__
         out = [b"".join(map(ids, words)) for words in split]
         if new:
-            self._forget(new)
+            for word in [w for w in new if len(w) > LONGEST_WORD]:
+                self.words.pop(word)
+                self.words.pop(_stem(word), None)
+            if len(self.words) > self.remembered:
+                self.older, self.words = self.words, {}
         return out
 
+    def _take_over(self, wanted: set[str]) -> set[str]:
+        """Takes words from the older generation; gives the others."""
+        again = wanted & self.older.keys()
+        self.words.update(zip(again, map(self.older.__getitem__, again)))
+        return wanted - again
+
     def _learn(self, new: set[str]) -> None:
-        words, todo, cut = self.words, set(), []
-
-        def known(word: str) -> bool:
-            if word not in words and word in self.older:
-                words[word] = self.older[word]
-                self._count(word)
-            return word in words
-
-        for word in new:
-            if known(word):
-                continue
-            stem = _stem(word)
-            if len(stem) == len(word):
-                todo.add(word)
-                continue
-            cut.append((word, stem))
-            todo.update(part for part in (stem, word[len(stem) :]) if not known(part))
-        self._encode(list(todo))
-        for word, stem in cut:
-            words[word] = words[stem] + words[word[len(stem) :]]
-            self._count(word)
+        new = self._take_over(new)
+        cut = [(word, stem) for word in new if (stem := word.rstrip(SIGNS)) != word and _ends_alone(word, stem)]
+        parts = {stem for _, stem in cut} | {word[len(stem) :] for word, stem in cut}
+        whole = new.difference(word for word, _ in cut)
+        self._encode(list(whole | self._take_over(parts - self.words.keys())))
+        ids = self.words
+        ids.update([(word, ids[stem] + ids[word[len(stem) :]]) for word, stem in cut])
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        wide = np.array(ids, "<u8")
+        if len(wide) and int(wide.max()) >> (8 * self.width):
+            raise ValueError(f"id {wide.max()} does not fit {self.width} bytes")
+        return wide.astype(f"<u{self.width}").tobytes()
 
     def _encode(self, todo: list[str]) -> None:
         """Learn words many at a time, with a word of its own between them."""
         for at in range(0, len(todo), 20_000):
             some = [w for w in todo[at : at + 20_000] if _BETWEEN not in w and "<|" not in w]
             found = self.tokenizer.encode_batch_fast([f" {_BETWEEN} ".join(some)], add_special_tokens=False)
-            ids = np.array(found[0].ids, "<u4")
+            ids = np.array(found[0].ids, np.uint32)
             ends = np.append(np.flatnonzero(ids == self.mark[0]), len(ids))
-            if len(self.mark) != 1 or len(ends) != max(len(some), 1):
-                some = []
-            data, begin = ids.tobytes(), 0
-            for word, end in zip(some, (4 * ends).tolist()):
-                self.words[word] = data[begin:end]
-                begin = end + 4
+            if len(self.mark) == 1 and len(ends) == len(some):
+                data, ends = self._bytes(ids), (self.width * ends).tolist()
+                begins = [0, *(e + self.width for e in ends[:-1])]
+                self.words.update((word, data[b:e]) for word, b, e in zip(some, begins, ends))
             for word in todo[at : at + 20_000]:
                 if word not in self.words:
-                    alone = self.tokenizer.encode(word, add_special_tokens=False).ids
-                    self.words[word] = np.array(alone, "<u4").tobytes()
-                self._count(word)
-
-    def _count(self, word: str) -> None:
-        # A string, the bytes and the entry that holds them take about this much.
-        self.size += 170 + len(word) + len(self.words[word])
-
-    def _forget(self, new: set[str]) -> None:
-        for word in new:
-            if len(word) > LONGEST_WORD:
-                for part in (word, _stem(word)):
-                    if len(part) > LONGEST_WORD:
-                        self.words.pop(part, None)
-        if self.size > self.remembered:
-            self.older, self.words, self.size = self.words, {}, 0
+                    self.words[word] = self._bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
 
 def _lower(text: str) -> str:
@@ -141,26 +126,30 @@ def _lower(text: str) -> str:
     return text.lower() if text.isascii() else text.encode("utf-8").lower().decode("utf-8")
 
 
+def _ends_alone(word: str, stem: str) -> bool:
+    """Whether the signs after a word's last letter can be encoded on their own.
+
+    Only after Latin letters that stay one letter in normal form and lower case; special tokens have signs of their own.
+    """
+    last = stem[-1:]
+    return last.isalpha() and last < "\u0250" and last != "\u0130" and "<|" not in word
+
+
 def _stem(word: str) -> str:
-    """A word without the signs after its last letter, where these can be encoded on their own."""
     stem = word.rstrip(SIGNS)
-    last = stem[-1:]
-    # Only after Latin letters that stay one letter in normal form and lower case; special tokens have signs of their own.
-    if len(stem) == len(word) or not last.isalpha() or last >= "\u0250" or last == "\u0130" or "<|" in word:
-        return word
-    return stem
+    return stem if _ends_alone(word, stem) else word
 
 
-_encoders: dict[str, WordEncoder] = {}
+_encoders: dict[tuple[str, int], WordEncoder] = {}
 
 
-def _encoder(path: str) -> WordEncoder:
+def _encoder(path: str, width: int) -> WordEncoder:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    if (path, width) not in _encoders:
+        _encoders[path, width] = WordEncoder(path, width)
+    return _encoders[path, width]
 
 
 def train_dictionary(docs: DataFrame, path: str, width: int, text_column: str, end_id: int) -> bytes:
@@ -182,8 +171,7 @@ def train_dictionary(docs: DataFrame, path: str, width: int, text_column: str, e
         .collect()
     )
     end = np.array([end_id], f"<u{width}").tobytes()
-    ids = WordEncoder(path)(sorted(r.text for r in few))
-    samples = [np.frombuffer(x, "<u4").astype(f"<u{width}").tobytes() + end for x in ids]
+    samples = [ids + end for ids in WordEncoder(path, width)(sorted(r.text for r in few))]
     size = min(DICTIONARY_BYTES, sum(map(len, samples)) // 8)
     try:
         return zstandard.train_dictionary(size, samples).as_bytes()
@@ -220,19 +208,15 @@ def write_tokens(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(data), write_content_size=True)
-        encoder, end = _encoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        encoder, end = _encoder(tokenizer, bytes_per_id), np.array([end_id], f"<u{bytes_per_id}").tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 rows = batch.slice(at, 512)
                 places = zip(rows.column(0).to_pylist(), rows.column(2).to_pylist())
                 part = [bisect.bisect_right(cuts, _place(*p)) for p in places]
-                counts, frames = [], []
-                for ids in encoder(filled(rows.column(1)).to_pylist()):
-                    wide = np.frombuffer(ids + end, "<u4")
-                    if int(wide.max()) >> (8 * bytes_per_id):
-                        raise ValueError(f"id {wide.max()} does not fit {bytes_per_id} bytes")
-                    counts.append(len(wide))
-                    frames.append(compressor.compress(wide.astype(f"<u{bytes_per_id}").tobytes()))
+                found = [ids + end for ids in encoder(filled(rows.column(1)).to_pylist())]
+                counts = [len(ids) // bytes_per_id for ids in found]
+                frames = [compressor.compress(ids) for ids in found]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(part, pa.int32()),
@@ -307,7 +291,7 @@ def _packed(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBa
         return pa.RecordBatch.from_pydict(row), int(counts.sum(dtype=np.int64))
 
     size = 0
-    for batch in batches:
+    for batch in slices(batches):
         columns = (batch.column(i).to_pylist() for i in range(4))
         for p, i, n, frame in zip(*columns):
             if held and (p != part or size >= BLOCK_BYTES):
