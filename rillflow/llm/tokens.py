@@ -21,6 +21,7 @@ import bisect
 import hashlib
 import itertools
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,13 +32,16 @@ from pyspark.sql import functions as F
 
 from rillflow.llm.common import filled, slices
 
-#: The dictionary's largest size, and the sample it is trained on: pieces of texts, drawn from all places of all texts, and their characters.
-DICTIONARY_BYTES, SAMPLE_PIECES, PIECE_CHARS = 64 << 10, 2_000, 2_000
+#: The dictionary's largest size, and the sample it is trained on: documents, characters of a piece from any place of each.
+DICTIONARY_BYTES, SAMPLE_DOCS, PIECE_CHARS = 64 << 10, 2_000, 2_000
 BLOCK_BYTES = 4 << 20
 #: Documents of a part, about.
 DOCS_PER_PART = 5_000
 #: Words that a Python worker remembers, twice at most, and the longest one among them.
 REMEMBERED_WORDS, LONGEST_WORD = 250_000, 64
+#: The characters by which byte-level vocabularies show bytes: themselves where printable, else numbers from 256 on.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_SHOWN = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 #: A word that stands between others when many are encoded at once.
 _BETWEEN = "\x01"
 #: Signs that are cut off the end of a word: no letters, no digits, nothing that starts a contraction.
@@ -63,6 +67,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.mark = self.tokenizer.encode(_BETWEEN, add_special_tokens=False).ids
         self.width, self.remembered = width, remembered
+        self.kind = {2: "H", 4: "I"}[width]
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -98,20 +103,33 @@ class WordEncoder:
         ids.update([(word, ids[stem] + ids[word[len(stem) :]]) for word, stem in cut])
 
     def _bytes(self, ids: list[int]) -> bytes:
-        wide = np.array(ids, "<u8")
-        if len(wide) and int(wide.max()) >> (8 * self.width):
-            raise ValueError(f"id {wide.max()} does not fit {self.width} bytes")
-        return wide.astype(f"<u{self.width}").tobytes()
+        try:
+            return array(self.kind, ids).tobytes()
+        except OverflowError:
+            raise ValueError(f"id {max(ids)} does not fit {self.width} bytes") from None
 
     def _encode(self, todo: list[str]) -> None:
-        """Learn words many at a time, with a word of its own between them."""
+        """Learn words: plain ones by the tokenizer's model, which they reach unchanged, others many at a time."""
+        look_up, others = self.tokenizer.model.tokenize, []
+        for word in todo:
+            low = word.lower()
+            if low.isalpha() and max(low) < "\u0250" and "\u0130" not in word:
+                if not low.isascii():
+                    low = low.encode("utf-8").decode("latin-1").translate(_SHOWN)
+                self.words[word] = self._bytes([t.id for t in look_up(low)])
+            else:
+                others.append(word)
+        self._encode_joined(others)
+
+    def _encode_joined(self, todo: list[str]) -> None:
+        """Learn words with a word of its own between them."""
         for at in range(0, len(todo), 20_000):
             some = [w for w in todo[at : at + 20_000] if _BETWEEN not in w and "<|" not in w]
             found = self.tokenizer.encode_batch_fast([f" {_BETWEEN} ".join(some)], add_special_tokens=False)
             ids = np.array(found[0].ids, np.uint32)
             ends = np.append(np.flatnonzero(ids == self.mark[0]), len(ids))
             if len(self.mark) == 1 and len(ends) == len(some):
-                data, ends = self._bytes(ids), (self.width * ends).tolist()
+                data, ends = self._bytes(ids.tolist()), (self.width * ends).tolist()
                 begins = [0, *(e + self.width for e in ends[:-1])]
                 self.words.update((word, data[b:e]) for word, b, e in zip(some, begins, ends))
             for word in todo[at : at + 20_000]:
@@ -152,22 +170,17 @@ def _encoder(path: str, width: int) -> WordEncoder:
     return _encoders[path, width]
 
 
-def train_dictionary(docs: DataFrame, path: str, width: int, text_column: str, end_id: int) -> bytes:
-    """A zstandard dictionary from about ``SAMPLE_PIECES`` pieces of texts, drawn by hash from all pieces."""
-    n_pieces = F.ceil(F.char_length(text_column) / PIECE_CHARS).cast("int")
-    total = docs.agg(F.sum(n_pieces.cast("bigint"))).first()[0] or 0
-    share = min(1.0, 1.2 * SAMPLE_PIECES / max(total, 1))
-    texts = docs.where(F.char_length(text_column) > 0).select(F.col(text_column).alias("text"))
-    texts = texts.withColumn("h", F.xxhash64("text"))
-    # Places are drawn before the texts are cut there.
-    drawn = F.filter(
-        F.sequence(F.lit(0), F.ceil(F.char_length("text") / PIECE_CHARS).cast("int") - 1),
-        lambda k: F.pmod(F.xxhash64("h", k), F.lit(1 << 30)) < int(share * (1 << 30)),
-    )
+def train_dictionary(rows: DataFrame, path: str, width: int, end_id: int, total: int) -> bytes:
+    """A zstandard dictionary from about ``SAMPLE_DOCS`` of ``total`` rows (row, text), a piece from any place of each."""
+    share = min(1.0, 1.2 * SAMPLE_DOCS / max(total, 1))
+    drawn = F.pmod(F.xxhash64("row"), F.lit(1 << 30)) < int(share * (1 << 30))
+    n_pieces = F.ceil(F.char_length("text") / PIECE_CHARS)
+    at = F.pmod(F.xxhash64(F.lit(7), "row"), n_pieces) * PIECE_CHARS + 1
     few = (
-        texts.select("text", F.explode(drawn).alias("k"))
-        .select(F.substring("text", F.col("k") * PIECE_CHARS + 1, F.lit(PIECE_CHARS)).alias("text"))
-        .limit(SAMPLE_PIECES)
+        rows.where(drawn)
+        .where("length(text) > 0")
+        .select(F.substring("text", at.cast("int"), F.lit(PIECE_CHARS)).alias("text"))
+        .limit(SAMPLE_DOCS)
         .collect()
     )
     end = np.array([end_id], f"<u{width}").tobytes()
@@ -199,7 +212,8 @@ def write_tokens(
         raise ValueError(f"id {end_id} does not fit {bytes_per_id} bytes")
     rows = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
     rows = rows.withColumn("row", F.monotonically_increasing_id())
-    data = train_dictionary(docs, tokenizer, bytes_per_id, text_column, end_id)
+    total = rows.select("id").count()
+    data = train_dictionary(rows, tokenizer, bytes_per_id, end_id, total)
     key = hashlib.sha256(data).hexdigest()
     spark.createDataFrame(
         [(key, bytearray(data), bytes_per_id)],
@@ -228,7 +242,7 @@ def write_tokens(
                     ["part", "id", "row", "n_tokens", "frame"],
                 )
 
-    cuts = _cuts(rows.select("id", "row"))
+    cuts = _cuts(rows.select("id", "row"), total)
     frames = rows.mapInArrow(encode, "part int, id bigint, row bigint, n_tokens int, frame binary")
     frames = frames.repartition(len(cuts) + 1, "part")
     frames = frames.sortWithinPartitions("part", F.col("id").asc_nulls_first(), "row")
@@ -253,9 +267,9 @@ def _place(doc: int | None, row: int) -> tuple:
     return (doc is not None, doc or 0, row)
 
 
-def _cuts(rows: DataFrame) -> list[tuple]:
+def _cuts(rows: DataFrame, total: int) -> list[tuple]:
     """Where parts of about ``DOCS_PER_PART`` documents begin, from ranges of (id, row): a row per part."""
-    n_parts = -(-rows.count() // DOCS_PER_PART)
+    n_parts = -(-total // DOCS_PER_PART)
     if n_parts < 2:
         return []
     order = [F.col("id").asc_nulls_first(), F.col("row")]

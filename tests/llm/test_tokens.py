@@ -4,12 +4,14 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from rillflow.llm import tokens
 from rillflow.llm.queries import tokenizer_file
+from tests.conftest import DATA
 
 
 @pytest.fixture(scope="module")
@@ -49,6 +51,13 @@ def test_memory_is_bounded(tokenizer):
         assert len(small.words) + len(small.older) <= 2 * (500 + 3 * 200)
 
 
+def test_ids_of_all_latin_letters_and_of_the_table(tokenizer, encoder):
+    words = [f"{a}{chr(c)}{b}" for c in range(0xAA, 0x260) for a, b in (("", ""), ("x", "y"), ("THE", "."), ("é", "ñ"))]
+    texts = [t or "" for t in pq.read_table(f"{DATA}/documents.parquet").column("text").to_pylist()]
+    for t in [*words, *texts]:
+        assert np.frombuffer(encoder([t])[0], "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+
+
 def expected(tokenizer, rows):
     out, start = [], 0
     for doc, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
