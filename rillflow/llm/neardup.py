@@ -6,11 +6,12 @@ as many paths with every level; documents with equal tokens go on together. Node
 compared exhaustively, larger ones branch on. No two of the ``TREES`` trees use the same token, so they fail independently: at
 similarity 0.8, about two to three pairs in a million share no node at the deepest level (simulated), and fewer above it.
 
-A node that stays large is a group of documents that keep agreeing. Its members are compared with one of them first. Where at
-most ``NODE_ROWS`` members are not linked up by that, these are compared with all others of the node, in a join that Spark splits;
-where more are apart, the node branches on. Candidates pass a 2-bit sketch of the tokens and the size bound before their texts
-are fetched, and every link is confirmed on the full sets.
-Documents with equal sets are one class throughout and are never expanded into pairs.
+Trees grow in waves of ``WAVE``. What a wave links is contracted: the next one carries each document's component, leaves out
+nodes whose members are all in one, and compares only across components. A node that stays large is a group of documents that
+keep agreeing. Its members are compared with ``PIVOTS`` of them first. Where at most ``NODE_ROWS`` members are then outside the
+node's largest component, these are compared with all others of the node, in a join that Spark splits; where more are apart, the
+node branches on. Candidates pass a 2-bit sketch of the tokens and the size bound before their texts are fetched, and every
+link is confirmed on the full sets. Documents with equal sets are one class throughout and are never expanded into pairs.
 
 Nulls and odd rows: a null, empty or blank text has an empty set and links with nothing; a text of fewer words than a shingle
 is one shingle; rows that share an id are compared one by one and are in one group; a row without an id is returned with
@@ -29,8 +30,11 @@ from pyspark.sql import functions as F
 
 from rillflow.llm.common import WORD, filled, mixed, shingle_set, slices, stored, written
 from rillflow.llm.components import components
+from rillflow.operators.checkpoints import Scratch
 
 TREES, DEPTH, NODE_ROWS = 16, 2, 32
+#: Trees of a wave, and members of a large node that all others are compared with.
+WAVE, PIVOTS = 4, 3
 #: Tokens of each tree, the first for its root, and of all trees.
 OWN = 8
 TOKENS = TREES * OWN
@@ -98,14 +102,14 @@ def _child(nodes: np.ndarray, place: np.ndarray, tokens: np.ndarray) -> np.ndarr
     return found - found % np.uint64(TREES) + tree
 
 
-def _roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first branch of every tree, by the first of its tokens."""
-    trees = np.arange(TREES, dtype=np.uint64)
-    first = np.arange(TREES) * OWN
+def _roots(batches: Iterator[pa.RecordBatch], begin: int = 0, end: int = TREES) -> Iterator[pa.RecordBatch]:
+    """The first branch of every tree from ``begin`` to before ``end``, by the first of its tokens."""
+    trees = np.arange(begin, end, dtype=np.uint64)
+    first = np.arange(begin, end) * OWN
     for batch in slices(batches, 2_048):
         tokens = np.array([np.frombuffer(t, np.uint32) for t in batch.column(_AT).to_pylist()])
-        nodes = _child(np.broadcast_to(trees, (len(tokens), TREES)), first[None, :], tokens[:, first])
-        yield _repeated(batch, np.repeat(np.arange(batch.num_rows), TREES), nodes.ravel())
+        nodes = _child(np.broadcast_to(trees, (len(tokens), len(trees))), first[None, :], tokens[:, first])
+        yield _repeated(batch, np.repeat(np.arange(batch.num_rows), len(trees)), nodes.ravel())
 
 
 def _branches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,53 +151,115 @@ def _alike(a: str, b: str, percent: int) -> Column:
     return (differ <= MISMATCHES) & (100 * F.least(n, m) >= percent * F.greatest(n, m))
 
 
-def _sized(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows of nodes that are compared now, and of those that are too large for it."""
-    rows = written(rows, "nodes")
-    sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"))
-    small = rows.join(sizes.where((F.col("size") > 1) & (F.col("size") <= NODE_ROWS)).select("node"), "node")
-    large = rows.join(sizes.where(F.col("size") > NODE_ROWS).select("node"), "node")
-    return small, written(large, "large-nodes")
+def _pairs(a: str, b: str) -> list[Column]:
+    """A candidate pair, the smaller id first, and the components of both."""
+    u, v = F.struct(f"{a}.id", f"{a}.component"), F.struct(f"{b}.id", f"{b}.component")
+    low, high = F.least(u, v), F.greatest(u, v)
+    return [low["id"].alias("u"), high["id"].alias("v"), low["component"].alias("cu"), high["component"].alias("cv")]
+
+
+def _with_components(rows: DataFrame, groups: DataFrame | None) -> DataFrame:
+    if groups is None:
+        return rows.withColumn("component", F.col("id"))
+    rows = rows.join(groups, "id", "left")
+    return rows.withColumn("component", F.coalesce("component", "id"))
+
+
+def _sized(rows: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Rows of nodes that are compared now, and of those that are too large for it, with the node's ``pivots``.
+
+    Nodes whose members are all in one component are done.
+    """
+    rows = scratch.written(rows, "nodes")
+    member = ["id", "n", *_SKETCH, "component"]
+    orders = [F.col("id"), *(F.xxhash64(F.lit(k), "id") for k in range(1, PIVOTS))]
+    pivots = [F.min(F.struct(o.alias("o"), *member)) for o in orders]
+    sizes = rows.groupBy("node").agg(
+        F.count(F.lit(1)).alias("size"),
+        (F.min("component") < F.max("component")).alias("apart"),
+        F.array_distinct(F.array(*[F.struct(*[p[c].alias(c) for c in member]) for p in pivots])).alias("pivots"),
+    )
+    sizes = sizes.where("apart")
+    small = rows.join(sizes.where(F.col("size") <= NODE_ROWS).select("node"), "node")
+    large = rows.join(sizes.where(F.col("size") > NODE_ROWS).select("node", "pivots"), "node")
+    return small, scratch.written(large, "large-nodes")
 
 
 def _within(small: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs of small nodes, all compared with all."""
     a, b = small.alias("a"), small.alias("b")
-    pairs = a.join(b, (F.col("a.node") == F.col("b.node")) & (F.col("a.id") < F.col("b.id")) & _alike("a", "b", percent))
-    return pairs.select(F.col("a.id").alias("u"), F.col("b.id").alias("v"))
+    both = (F.col("a.node") == F.col("b.node")) & (F.col("a.id") < F.col("b.id"))
+    pairs = a.join(b, both & (F.col("a.component") != F.col("b.component")) & _alike("a", "b", percent))
+    return pairs.select(*_pairs("a", "b"))
 
 
-def _with_first(large: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of each member of a large node and the one with the smallest id."""
-    first = large.groupBy("node").agg(F.min(F.struct("id", "n", *_SKETCH)).alias("h"))
-    first = first.select("node", "h.id", "h.n", *[f"h.{s}" for s in _SKETCH])
-    a, b = first.alias("a"), large.alias("b")
-    pairs = b.join(a, (F.col("a.node") == F.col("b.node")) & (F.col("a.id") < F.col("b.id")) & _alike("a", "b", percent))
-    return pairs.select(F.col("a.id").alias("u"), F.col("b.id").alias("v"))
+def _with_pivots(large: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs of each member of a large node and the node's pivots."""
+    member = F.struct("id", "n", *_SKETCH, "component").alias("a")
+    pairs = large.select(member, F.explode("pivots").alias("b"))
+    return pairs.where((F.col("a.component") != F.col("b.component")) & _alike("a", "b", percent)).select(*_pairs("a", "b"))
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (``u``, ``v``) whose full shingle sets are similar. ``docs``: (``id``, ``text``) of class members."""
-    pairs = stored(pairs.distinct())
+def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int, scratch: Scratch) -> DataFrame:
+    """The pairs (``u``, ``v``, ...) whose full shingle sets are similar. ``docs``: (``id``, ``text``) of class members."""
     ids = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()
-    texts = written(docs.join(ids, "id", "left_semi"), "candidate-texts")
+    texts = scratch.written(docs.join(ids, "id", "left_semi"), "candidate-texts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, np.ndarray] = {}  # the last document on each side
         for batch in slices(batches):
             keep = []
-            for u, v, one, two in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            for u, v, one, two in zip(*(batch.column(c).to_pylist() for c in ("u", "v", "one", "two"))):
                 known = {i: known[i] for i in (u, v) if i in known}
                 for i, text in ((u, one), (v, two)):
                     if i not in known:
                         known[i] = shingle_set(text, size)
                 both = len(np.intersect1d(known[u], known[v], assume_unique=True))
                 keep.append(100 * both >= percent * (len(known[u]) + len(known[v]) - both))
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["u", "v"])
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["u", "v", "cu", "cv"])
 
     rows = pairs.join(texts.select(F.col("id").alias("u"), F.col("text").alias("one")), "u")
     rows = rows.join(texts.select(F.col("id").alias("v"), F.col("text").alias("two")), "v")
-    return stored(rows.select("u", "v", "one", "two").mapInArrow(run, "u bigint, v bigint"))
+    rows = rows.select("u", "v", "cu", "cv", "one", "two")
+    return rows.mapInArrow(run, "u bigint, v bigint, cu bigint, cv bigint")
+
+
+class _Search:
+    """The components found so far, and the pairs that were compared."""
+
+    def __init__(self, docs: DataFrame, size: int, percent: int, scratch: Scratch):
+        self.docs, self.size, self.percent, self.scratch = docs, size, percent, scratch
+        self.groups: DataFrame | None = None  # (id, component) of linked documents
+        self.tried: DataFrame | None = None
+
+    def contract(self, links: DataFrame) -> None:
+        """Take in links between components (``u``, ``v``)."""
+        links = stored(links.where("u <> v").distinct())
+        if links.isEmpty():
+            return
+        merged = components(links)
+        if self.groups is not None:
+            old = self.groups.join(merged.select(F.col("id").alias("component"), F.col("component").alias("into")), "component", "left")
+            old = old.select("id", F.coalesce("into", "component").alias("component"))
+            # Smallest members that were not linked before have no row of their own yet.
+            merged = old.union(merged.join(self.groups.select("id"), "id", "left_anti").select("id", "component"))
+        self.groups = stored(merged)
+
+    def compare(self, pairs: list[DataFrame]) -> None:
+        """Confirm candidate pairs and contract those that are links."""
+        every = pairs[0]
+        for more in pairs[1:]:
+            every = every.union(more)
+        every = every.distinct()
+        if self.tried is not None:
+            every = every.join(self.tried, ["u", "v"], "left_anti").select("u", "v", "cu", "cv")
+        every = stored(every)
+        if every.isEmpty():
+            return
+        both = every.select("u", "v")
+        self.tried = both if self.tried is None else self.tried.union(both)
+        links = confirmed(every, self.docs, self.size, self.percent, self.scratch)
+        self.contract(links.select(F.col("cu").alias("u"), F.col("cv").alias("v")))
 
 
 def near_duplicates(
@@ -208,48 +274,31 @@ def near_duplicates(
 
     Links join documents whose shingle sets have 100 * intersection >= ``percent`` * union.
     """
-    marked = written(signatures(docs, size, id_column, text_column), "signatures")
+    with Scratch(docs.sparkSession) as scratch:
+        return written(_grouped(docs, size, percent, id_column, text_column, scratch), "near-duplicates")
+
+
+def _grouped(docs: DataFrame, size: int, percent: int, id_column: str, text_column: str, scratch: Scratch) -> DataFrame:
+    marked = scratch.written(signatures(docs, size, id_column, text_column), "signatures")
     classes = marked.where("n > 0 and id is not null").groupBy("print").agg(F.min("id").alias("rep"))
     classes = stored(classes)
     # One row per class, also where an id occurs in several rows.
     own = marked.join(classes.select(F.col("rep").alias("id"), "print"), ["id", "print"])
     own = own.dropDuplicates(["id", "print"]).select("id", "n", *_SKETCH, "tokens")
-    own = written(own, "classes")
+    own = scratch.written(own, "classes")
     texts = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
-    texts = texts.where("text is not null")
-
-    found, large = [], own.mapInArrow(_roots, _ROW)
-    for depth in range(DEPTH):
-        if depth:
-            large = _next(large, own)
-        small, large = _sized(large)
-        found += [_within(small, percent), _with_first(large, percent)]
-    pairs = found[0]
-    for more in found[1:]:
-        pairs = pairs.union(more)
+    search = _Search(texts.where("text is not null"), size, percent, scratch)
     # The texts of one id belong together.
     reps = marked.join(classes, "print").groupBy("id").agg(F.collect_set("rep").alias("reps")).where("size(reps) > 1")
-    same = reps.select(F.explode("reps").alias("u"), F.array_min("reps").alias("v")).where("u <> v")
-    links = stored(confirmed(pairs, texts, size, percent).union(same))
-    groups = stored(components(links))
-
-    more = []
-    for step in range(FURTHER + 1):
-        few, many = _apart(large, groups, step == FURTHER)
-        more.append(_between(few, percent))
-        if many is None or many.isEmpty():
-            break
-        small, large = _sized(_next(many, own))
-        more.append(_within(small, percent))
-    pairs = more[0]
-    for other in more[1:]:
-        pairs = pairs.union(other)
-    pairs = stored(pairs.distinct().join(links, ["u", "v"], "left_anti"))
-    if not pairs.isEmpty():
-        links = links.union(confirmed(pairs, texts, size, percent))
-        groups = components(links)
-
-    members = marked.join(classes, "print", "left").join(groups.withColumnRenamed("id", "rep"), "rep", "left")
+    search.contract(reps.select(F.explode("reps").alias("u"), F.array_min("reps").alias("v")))
+    for begin in range(0, TREES, WAVE):
+        _grow(own, search, begin, scratch)
+
+    members = marked.join(classes, "print", "left")
+    if search.groups is not None:
+        members = members.join(search.groups.withColumnRenamed("id", "rep"), "rep", "left")
+    else:
+        members = members.withColumn("component", F.col("rep"))
     component = F.when(F.col("n") > 0, F.coalesce("component", "rep")).otherwise(F.col("id"))
     return members.select(
         F.col("id").alias(id_column),
@@ -259,40 +308,54 @@ def near_duplicates(
     )
 
 
+def _grow(own: DataFrame, search: _Search, begin: int, scratch: Scratch) -> None:
+    """A wave of trees: first their roots, then the nodes in which many members stay apart, level by level."""
+    rows = own.mapInArrow(lambda b: _roots(b, begin, begin + WAVE), _ROW)
+    found = []
+    for level in range(DEPTH + FURTHER):
+        small, large = _sized(_with_components(rows, search.groups), scratch)
+        found += [_within(small, search.percent), _with_pivots(large, search.percent)]
+        if level == 0:
+            search.compare(found)
+            found = []
+        if large.isEmpty():
+            break
+        few, many = _apart(large.drop("pivots", "component"), search.groups, level == DEPTH + FURTHER - 1, scratch)
+        found.append(_between(few, search.percent))
+        if many is None or many.isEmpty():
+            break
+        rows = _next(many, own)
+    if found:
+        search.compare(found)
+
+
 def _next(large: DataFrame, own: DataFrame) -> DataFrame:
     rows = large.select("id", "node").join(own, "id").select("id", "n", *_SKETCH, "tokens", "node")
     return rows.mapInArrow(_branches, _ROW)
 
 
-def _apart(large: DataFrame, groups: DataFrame, last: bool) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of nodes with few members outside the first member's part, and of those with many.
+def _apart(large: DataFrame, groups: DataFrame | None, last: bool, scratch: Scratch) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of nodes with few members outside their largest component (``main``), and of those with many.
 
-    Nodes that are linked up are done. Rows get ``component`` and ``main``, the part of the member with the smallest id.
+    Nodes that are linked up are done.
     """
-    rows = large.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    rows = stored(rows)
-    first = rows.groupBy("node").agg(F.min(F.struct("id", "component")).alias("f")).select("node", "f.component")
-    rows = rows.join(first.withColumnRenamed("component", "main"), "node")
-    outside = rows.where("component <> main").groupBy("node").agg(F.count(F.lit(1)).alias("outside"))
-    rows = stored(rows.join(outside, "node"))
+    rows = scratch.written(_with_components(large, groups), "parts")
+    parts = rows.groupBy("node", "component").agg(F.count(F.lit(1)).alias("members"))
+    sizes = parts.groupBy("node").agg(
+        F.max(F.struct("members", "component")).alias("most"), F.sum("members").alias("all")
+    )
+    sizes = sizes.select("node", F.col("most.component").alias("main"), (F.col("all") - F.col("most.members")).alias("outside"))
+    rows = rows.join(sizes.where("outside > 0"), "node")
     if last:
         return rows, None
     return rows.where(F.col("outside") <= NODE_ROWS), rows.where(F.col("outside") > NODE_ROWS)
 
 
 def _between(rows: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs across the parts of a node: each member outside the main part with all others.
-
-    A pair that meets in several nodes, one per tree as a rule, is taken in the first of them only.
-    """
-    nodes = rows.groupBy("id").agg(F.collect_set("node").alias("nodes"))
-    rows = rows.join(nodes, "id")
+    """Candidate pairs across the parts of a node: each member outside the main part with all others."""
     a, b = rows.where("component <> main").alias("a"), rows.alias("b")
     apart = (F.col("a.node") == F.col("b.node")) & (F.col("a.component") != F.col("b.component"))
-    once = F.col("a.node") == F.array_min(F.array_intersect(F.col("a.nodes"), F.col("b.nodes")))
-    pairs = a.join(b, apart & _alike("a", "b", percent) & once)
-    u, v = F.col("a.id"), F.col("b.id")
-    return pairs.select(F.least(u, v).alias("u"), F.greatest(u, v).alias("v"))
+    return a.join(b, apart & _alike("a", "b", percent)).select(*_pairs("a", "b"))
 
 
 def one_per_group(docs: DataFrame, **options) -> DataFrame:
