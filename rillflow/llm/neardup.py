@@ -6,8 +6,9 @@ as many paths with every level; documents with equal tokens go on together. Node
 compared exhaustively, larger ones branch on. No two of the ``TREES`` trees use the same token, so they fail independently: at
 similarity 0.8, about two to three pairs in a million share no node at the deepest level (simulated), and fewer above it.
 
-Trees grow in waves of ``WAVE``. What a wave links is contracted: the next one carries each document's component, leaves out
-nodes whose members are all in one, and compares only across components. A node that stays large is a group of documents that
+The first ``WAVE`` trees are compared at their roots before the others grow. What they link is contracted: from then on each
+document carries its component, nodes whose members are all in one are left out, and only pairs across components are
+compared. A node that stays large is a group of documents that
 keep agreeing. Its members are compared with ``PIVOTS`` of them first. Where at most ``NODE_ROWS`` members are then outside the
 node's largest component, these are compared with all others of the node, in a join that Spark splits; where more are apart, the
 node branches on. Candidates pass a 2-bit sketch of the tokens and the size bound before their texts are fetched, and every
@@ -33,7 +34,7 @@ from rillflow.llm.components import components
 from rillflow.operators.checkpoints import Scratch
 
 TREES, DEPTH, NODE_ROWS = 16, 2, 32
-#: Trees of a wave, and members of a large node that all others are compared with.
+#: Trees of the first wave, and members of a large node that all others are compared with.
 WAVE, PIVOTS = 4, 3
 #: Tokens of each tree, the first for its root, and of all trees.
 OWN = 8
@@ -179,10 +180,10 @@ def _sized(rows: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
         (F.min("component") < F.max("component")).alias("apart"),
         F.array_distinct(F.array(*[F.struct(*[p[c].alias(c) for c in member]) for p in pivots])).alias("pivots"),
     )
-    sizes = sizes.where("apart")
+    sizes = scratch.written(sizes.where("apart").drop("apart"), "sizes")
     small = rows.join(sizes.where(F.col("size") <= NODE_ROWS).select("node"), "node")
     large = rows.join(sizes.where(F.col("size") > NODE_ROWS).select("node", "pivots"), "node")
-    return small, scratch.written(large, "large-nodes")
+    return scratch.written(small, "small-nodes"), scratch.written(large, "large-nodes")
 
 
 def _within(small: DataFrame, percent: int) -> DataFrame:
@@ -291,8 +292,7 @@ def _grouped(docs: DataFrame, size: int, percent: int, id_column: str, text_colu
     # The texts of one id belong together.
     reps = marked.join(classes, "print").groupBy("id").agg(F.collect_set("rep").alias("reps")).where("size(reps) > 1")
     search.contract(reps.select(F.explode("reps").alias("u"), F.array_min("reps").alias("v")))
-    for begin in range(0, TREES, WAVE):
-        _grow(own, search, begin, scratch)
+    _grow(own, search, scratch)
 
     members = marked.join(classes, "print", "left")
     if search.groups is not None:
@@ -308,23 +308,28 @@ def _grouped(docs: DataFrame, size: int, percent: int, id_column: str, text_colu
     )
 
 
-def _grow(own: DataFrame, search: _Search, begin: int, scratch: Scratch) -> None:
-    """A wave of trees: first their roots, then the nodes in which many members stay apart, level by level."""
-    rows = own.mapInArrow(lambda b: _roots(b, begin, begin + WAVE), _ROW)
-    found = []
-    for level in range(DEPTH + FURTHER):
+def _grow(own: DataFrame, search: _Search, scratch: Scratch) -> None:
+    """Roots of the first trees, then those of the others, then nodes in which many members stay apart, level by level."""
+    found: list[DataFrame] = []
+    rows = own.mapInArrow(lambda b: _roots(b, 0, WAVE), _ROW)
+    for level in range(1 + DEPTH + FURTHER):
         small, large = _sized(_with_components(rows, search.groups), scratch)
-        found += [_within(small, search.percent), _with_pivots(large, search.percent)]
-        if level == 0:
+        found.append(scratch.written(_within(small, search.percent).union(_with_pivots(large, search.percent)), "pairs"))
+        if level < 2:
             search.compare(found)
             found = []
-        if large.isEmpty():
-            break
-        few, many = _apart(large.drop("pivots", "component"), search.groups, level == DEPTH + FURTHER - 1, scratch)
-        found.append(_between(few, search.percent))
-        if many is None or many.isEmpty():
+        many = None
+        if not large.isEmpty():
+            few, many = _apart(large.drop("pivots", "component"), search.groups, level == DEPTH + FURTHER, scratch)
+            found.append(scratch.written(_between(few, search.percent), "pairs"))
+            many = None if many is None or many.isEmpty() else _next(many, own)
+        if level == 0:
+            others = own.mapInArrow(lambda b: _roots(b, WAVE, TREES), _ROW)
+            rows = others if many is None else others.union(many)
+        elif many is None:
             break
-        rows = _next(many, own)
+        else:
+            rows = many
     if found:
         search.compare(found)
 
@@ -339,13 +344,13 @@ def _apart(large: DataFrame, groups: DataFrame | None, last: bool, scratch: Scra
 
     Nodes that are linked up are done.
     """
-    rows = scratch.written(_with_components(large, groups), "parts")
+    rows = scratch.written(_with_components(large, groups), "regrouped")
     parts = rows.groupBy("node", "component").agg(F.count(F.lit(1)).alias("members"))
     sizes = parts.groupBy("node").agg(
         F.max(F.struct("members", "component")).alias("most"), F.sum("members").alias("all")
     )
     sizes = sizes.select("node", F.col("most.component").alias("main"), (F.col("all") - F.col("most.members")).alias("outside"))
-    rows = rows.join(sizes.where("outside > 0"), "node")
+    rows = scratch.written(rows.join(sizes.where("outside > 0"), "node"), "parts")
     if last:
         return rows, None
     return rows.where(F.col("outside") <= NODE_ROWS), rows.where(F.col("outside") > NODE_ROWS)
