@@ -104,41 +104,44 @@ def _child(nodes: np.ndarray, place: np.ndarray, tokens: np.ndarray) -> np.ndarr
 
 
 def _roots(batches: Iterator[pa.RecordBatch], begin: int = 0, end: int = TREES) -> Iterator[pa.RecordBatch]:
-    """The first branch of every tree from ``begin`` to before ``end``, by the first of its tokens."""
+    """The first branch of every tree from ``begin`` to before ``end``, by the first of its tokens.
+
+    A row takes along the tokens of its tree (``own``), so that it needs nothing else to branch on.
+    """
     trees = np.arange(begin, end, dtype=np.uint64)
-    first = np.arange(begin, end) * OWN
     for batch in slices(batches, 2_048):
-        tokens = np.array([np.frombuffer(t, np.uint32) for t in batch.column(_AT).to_pylist()])
-        nodes = _child(np.broadcast_to(trees, (len(tokens), len(trees))), first[None, :], tokens[:, first])
-        yield _repeated(batch, np.repeat(np.arange(batch.num_rows), len(trees)), nodes.ravel())
+        tokens = np.array([np.frombuffer(t, np.uint32) for t in batch.column("tokens").to_pylist()])
+        own = tokens.reshape(len(tokens), TREES, OWN)[:, begin:end]
+        first = np.arange(begin, end) * OWN
+        nodes = _child(np.broadcast_to(trees, own.shape[:2]), first[None, :], own[:, :, 0])
+        rows = pa.array(np.repeat(np.arange(batch.num_rows), len(trees)))
+        kept = [batch.column(c).take(rows) for c in _DOC]
+        held = pa.array([o.tobytes() for o in own.reshape(-1, OWN)], pa.binary())
+        yield pa.RecordBatch.from_arrays([*kept, held, pa.array(nodes.ravel().astype(np.int64))], [*_DOC, "own", "node"])
 
 
 def _branches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The children of (``node``, ...) that a document goes on to."""
+    """The children of ``node`` that a document goes on to."""
     more = np.uint64(OWN - 1)
     for batch in slices(batches, 4_096):
-        nodes = batch.column(_AT + 1).to_numpy().astype(np.uint64)
-        tokens = np.array([np.frombuffer(t, np.uint32) for t in batch.column(_AT).to_pylist()])
+        nodes = batch.column("node").to_numpy().astype(np.uint64)
+        own = np.array([np.frombuffer(t, np.uint32) for t in batch.column("own").to_pylist()])
         choice = mixed(nodes + np.uint64(1))
         rows = np.arange(len(nodes))
         first = (choice & np.uint64(0xFFFF)) % more
         twice = np.flatnonzero((choice >> np.uint64(16)) % np.uint64(2) == 0)
         step = (choice[twice] >> np.uint64(24)) % np.uint64(OWN - 2) + np.uint64(1)
         second = (first[twice] + step) % more
-        rows, place = np.concatenate([rows, twice]), np.concatenate([first, second])
-        place = nodes[rows] % np.uint64(TREES) * np.uint64(OWN) + np.uint64(1) + place
-        children = _child(nodes[rows], place, tokens[rows, place.astype(np.int64)])
-        yield _repeated(batch, rows, children)
-
-
-def _repeated(batch: pa.RecordBatch, rows: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
-    columns = [batch.column(i).take(pa.array(rows)) for i in range(_AT)]
-    return pa.RecordBatch.from_arrays([*columns, pa.array(nodes.astype(np.int64))], ["id", "n", *_SKETCH, "node"])
+        rows, place = np.concatenate([rows, twice]), np.concatenate([first, second]) + np.uint64(1)
+        tokens = own[rows, place.astype(np.int64)]
+        children = _child(nodes[rows], nodes[rows] % np.uint64(TREES) * np.uint64(OWN) + place, tokens)
+        kept = batch.select([c for c in batch.schema.names if c != "node"]).take(pa.array(rows))
+        yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(children.astype(np.int64))], [*kept.schema.names, "node"])
 
 
-#: Where rows that branch have their tokens; the node follows.
-_AT = 2 + len(_SKETCH)
-_ROW = f"id bigint, n bigint, {_SKETCH_TYPES}, node bigint"
+#: What a row keeps of a document.
+_DOC = ["id", "n", *_SKETCH]
+_ROW = f"id bigint, n bigint, {_SKETCH_TYPES}, own binary, node bigint"
 
 
 def _alike(a: str, b: str, percent: int) -> Column:
@@ -167,22 +170,17 @@ def _with_components(rows: DataFrame, groups: DataFrame | None) -> DataFrame:
 
 
 def _sized(rows: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Rows of nodes that are compared now, and of those that are too large for it, with the node's ``pivots``.
+    """Rows of nodes that are compared now, and of those that are too large for it.
 
     Nodes whose members are all in one component are done.
     """
     rows = scratch.written(rows, "nodes")
-    member = ["id", "n", *_SKETCH, "component"]
-    orders = [F.col("id"), *(F.xxhash64(F.lit(k), "id") for k in range(1, PIVOTS))]
-    pivots = [F.min(F.struct(o.alias("o"), *member)) for o in orders]
     sizes = rows.groupBy("node").agg(
-        F.count(F.lit(1)).alias("size"),
-        (F.min("component") < F.max("component")).alias("apart"),
-        F.array_distinct(F.array(*[F.struct(*[p[c].alias(c) for c in member]) for p in pivots])).alias("pivots"),
+        F.count(F.lit(1)).alias("size"), (F.min("component") < F.max("component")).alias("apart")
     )
     sizes = scratch.written(sizes.where("apart").drop("apart"), "sizes")
-    small = rows.join(sizes.where(F.col("size") <= NODE_ROWS).select("node"), "node")
-    large = rows.join(sizes.where(F.col("size") > NODE_ROWS).select("node", "pivots"), "node")
+    small = rows.drop("own").join(sizes.where(F.col("size") <= NODE_ROWS).select("node"), "node")
+    large = rows.join(sizes.where(F.col("size") > NODE_ROWS).select("node"), "node")
     return scratch.written(small, "small-nodes"), scratch.written(large, "large-nodes")
 
 
@@ -195,9 +193,13 @@ def _within(small: DataFrame, percent: int) -> DataFrame:
 
 
 def _with_pivots(large: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of each member of a large node and the node's pivots."""
-    member = F.struct("id", "n", *_SKETCH, "component").alias("a")
-    pairs = large.select(member, F.explode("pivots").alias("b"))
+    """Candidate pairs of each member of a large node and ``PIVOTS`` of them, the same ones in different nodes where possible."""
+    member = [*_DOC, "component"]
+    orders = [F.col("id"), *(F.xxhash64(F.lit(k), "id") for k in range(1, PIVOTS))]
+    firsts = [F.min(F.struct(o.alias("o"), *member)).alias(f"p{k}") for k, o in enumerate(orders)]
+    pivots = [F.struct(*[F.col(f"p{k}.{c}").alias(c) for c in member]) for k in range(PIVOTS)]
+    pivots = large.groupBy("node").agg(*firsts).select("node", F.explode(F.array_distinct(F.array(*pivots))).alias("b"))
+    pairs = large.select("node", F.struct(*member).alias("a")).join(pivots, "node")
     return pairs.where((F.col("a.component") != F.col("b.component")) & _alike("a", "b", percent)).select(*_pairs("a", "b"))
 
 
@@ -313,19 +315,21 @@ def _grow(own: DataFrame, search: _Search, scratch: Scratch) -> None:
     found: list[DataFrame] = []
     rows = own.mapInArrow(lambda b: _roots(b, 0, WAVE), _ROW)
     for level in range(1 + DEPTH + FURTHER):
-        small, large = _sized(_with_components(rows, search.groups), scratch)
-        found.append(scratch.written(_within(small, search.percent).union(_with_pivots(large, search.percent)), "pairs"))
         if level < 2:
-            search.compare(found)
-            found = []
-        many = None
-        if not large.isEmpty():
-            few, many = _apart(large.drop("pivots", "component"), search.groups, level == DEPTH + FURTHER, scratch)
+            rows = _with_components(rows, search.groups)
+        small, large = _sized(rows, scratch)
+        found.append(scratch.written(_within(small, search.percent).union(_with_pivots(large, search.percent)), "pairs"))
+        many = None if large.isEmpty() else large
+        if level and many is not None:  # at the first roots all are apart, since nothing is linked yet
+            few, many = _apart(large, level == DEPTH + FURTHER, scratch)
             found.append(scratch.written(_between(few, search.percent), "pairs"))
-            many = None if many is None or many.isEmpty() else _next(many, own)
+            many = None if many is None or many.isEmpty() else many
+        many = None if many is None else _next(many)
         if level == 0:
+            search.compare(found)
+            found = []
             others = own.mapInArrow(lambda b: _roots(b, WAVE, TREES), _ROW)
-            rows = others if many is None else others.union(many)
+            rows = others if many is None else others.union(many.drop("component").select(others.columns))
         elif many is None:
             break
         else:
@@ -334,33 +338,36 @@ def _grow(own: DataFrame, search: _Search, scratch: Scratch) -> None:
         search.compare(found)
 
 
-def _next(large: DataFrame, own: DataFrame) -> DataFrame:
-    rows = large.select("id", "node").join(own, "id").select("id", "n", *_SKETCH, "tokens", "node")
-    return rows.mapInArrow(_branches, _ROW)
+def _next(large: DataFrame) -> DataFrame:
+    names = [f for f in large.schema.fields if f.name != "node"]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in names)
+    return large.select(*[f.name for f in names], "node").mapInArrow(_branches, f"{schema}, node bigint")
 
 
-def _apart(large: DataFrame, groups: DataFrame | None, last: bool, scratch: Scratch) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of nodes with few members outside their largest component (``main``), and of those with many.
-
-    Nodes that are linked up are done.
-    """
-    rows = scratch.written(_with_components(large, groups), "regrouped")
-    parts = rows.groupBy("node", "component").agg(F.count(F.lit(1)).alias("members"))
+def _apart(large: DataFrame, last: bool, scratch: Scratch) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of nodes with few members outside their largest component (``main``), and of those with many."""
+    parts = large.groupBy("node", "component").agg(F.count(F.lit(1)).alias("members"))
     sizes = parts.groupBy("node").agg(
         F.max(F.struct("members", "component")).alias("most"), F.sum("members").alias("all")
     )
     sizes = sizes.select("node", F.col("most.component").alias("main"), (F.col("all") - F.col("most.members")).alias("outside"))
-    rows = scratch.written(rows.join(sizes.where("outside > 0"), "node"), "parts")
+    rows = scratch.written(large.join(sizes, "node"), "parts")
     if last:
         return rows, None
-    return rows.where(F.col("outside") <= NODE_ROWS), rows.where(F.col("outside") > NODE_ROWS)
+    return rows.where(F.col("outside") <= NODE_ROWS), rows.where(F.col("outside") > NODE_ROWS).drop("main", "outside")
 
 
 def _between(rows: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs across the parts of a node: each member outside the main part with all others."""
+    """Candidate pairs across the parts of a node: each member outside the main part with all others.
+
+    A pair that meets in several nodes, one per tree as a rule, is taken in the first of them only.
+    """
+    nodes = rows.groupBy("id").agg(F.collect_set("node").alias("nodes"))
+    rows = rows.drop("own").join(nodes, "id")
     a, b = rows.where("component <> main").alias("a"), rows.alias("b")
     apart = (F.col("a.node") == F.col("b.node")) & (F.col("a.component") != F.col("b.component"))
-    return a.join(b, apart & _alike("a", "b", percent)).select(*_pairs("a", "b"))
+    once = F.col("a.node") == F.array_min(F.array_intersect(F.col("a.nodes"), F.col("b.nodes")))
+    return a.join(b, apart & _alike("a", "b", percent) & once).select(*_pairs("a", "b"))
 
 
 def one_per_group(docs: DataFrame, **options) -> DataFrame:
