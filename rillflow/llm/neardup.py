@@ -41,8 +41,8 @@ OWN = 8
 TOKENS = TREES * OWN
 #: Levels that large nodes with many unlinked members go down further before all of these are compared.
 FURTHER = 4
-#: 2-bit tokens that may differ: at similarity 0.8, 19.2 of 128 do, with a deviation of 4.0; more than 44 with a chance of 1.4e-8.
-MISMATCHES = 44
+#: 2-bit tokens that may differ: at similarity 0.8, 19.2 of 128 do, with a deviation of 4.0; more than 40 with a chance of 1e-6.
+MISMATCHES = 40
 _SKETCH = [f"s{k + 1}" for k in range(TOKENS // 32)]
 
 _SKETCH_TYPES = ", ".join(f"{s} bigint" for s in _SKETCH)
@@ -319,15 +319,19 @@ def _grow(own: DataFrame, search: _Search, scratch: Scratch) -> None:
             rows = _with_components(rows, search.groups)
         small, large = _sized(rows, scratch)
         found.append(scratch.written(_within(small, search.percent).union(_with_pivots(large, search.percent)), "pairs"))
+        if level < 2:  # the roots of the first trees, then those of the others: linked up before any node is judged
+            search.compare(found)
+            found = []
+            large = _with_components(large.drop("component"), search.groups)
         many = None if large.isEmpty() else large
-        if level and many is not None:  # at the first roots all are apart, since nothing is linked yet
+        if many is not None:
             few, many = _apart(large, level == DEPTH + FURTHER, scratch)
-            found.append(scratch.written(_between(few, search.percent), "pairs"))
-            many = None if many is None or many.isEmpty() else many
-        many = None if many is None else _next(many)
+            if level < 2:
+                many = few.union(many)
+            else:
+                found.append(scratch.written(_between(few, search.percent), "pairs"))
+            many = None if many is None or many.isEmpty() else _next(many.drop("main", "outside"))
         if level == 0:
-            search.compare(found)
-            found = []
             others = own.mapInArrow(lambda b: _roots(b, WAVE, TREES), _ROW)
             rows = others if many is None else others.union(many.drop("component").select(others.columns))
         elif many is None:
@@ -351,10 +355,10 @@ def _apart(large: DataFrame, last: bool, scratch: Scratch) -> tuple[DataFrame, D
         F.max(F.struct("members", "component")).alias("most"), F.sum("members").alias("all")
     )
     sizes = sizes.select("node", F.col("most.component").alias("main"), (F.col("all") - F.col("most.members")).alias("outside"))
-    rows = scratch.written(large.join(sizes, "node"), "parts")
+    rows = scratch.written(large.join(sizes.where("outside > 0"), "node"), "parts")
     if last:
         return rows, None
-    return rows.where(F.col("outside") <= NODE_ROWS), rows.where(F.col("outside") > NODE_ROWS).drop("main", "outside")
+    return rows.where(F.col("outside") <= NODE_ROWS), rows.where(F.col("outside") > NODE_ROWS)
 
 
 def _between(rows: DataFrame, percent: int) -> DataFrame:
