@@ -315,6 +315,19 @@ ORACLES.update(
             FROM ({_ORDER_LOG}) WHERE paid - created > 30
             UNION ALL SELECT order_id, 'create_missing', NULL, paid
             FROM ({_ORDER_LOG}) WHERE created - paid > 30""",
+        "stream_top_items": ORACLES["hot_items"],
+        "stream_closed_windows": f"""
+            SELECT event_type, date_trunc('day', ts) AS window_start,
+                   date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, count(*) AS cnt,
+                   CAST(sum({_CENTS}) AS BIGINT) AS cents, max({_CENTS}) AS most
+            FROM events GROUP BY ALL""",
+        "stream_uv_sliding": ORACLES["uv_sliding"],
+        "stream_order_pairs": ORACLES["order_outcome"],
+        "stream_dropped_rows": """
+            SELECT count(*) FILTER (ts > middle) AS rows_kept,
+                   count(*) FILTER (ts <= middle)::BIGINT AS rows_dropped,
+                   date_trunc('millisecond', max(ts)) AS watermark
+            FROM events, (SELECT min(ts) + (max(ts) - min(ts)) / 2 AS middle FROM events)""",
         "stream_late_windows": """
             SELECT event_type, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
                    count(*) AS cnt FROM events GROUP BY ALL""",

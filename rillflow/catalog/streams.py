@@ -18,6 +18,7 @@ from rillflow.catalog.queries import Query
 from rillflow.functions.text import tokens
 from rillflow.operators.checkpoints import run_folder
 from rillflow.operators.transforms import side_output
+from rillflow.operators.windows import distinct_estimate
 from rillflow.sinks import KeyedUpsert, fan_out
 from rillflow.sinks.writers import Writer
 from rillflow.streaming.stateful import keep_max, keep_sum
@@ -325,3 +326,88 @@ def stream_first_timer(spark, folder):
     rows = tb.events(spark, folder).select("ts", "user_id")
     out = _read(spark, _feed(_shuffled_steps(rows, 86_400), build))
     return _zoneless(out, "fires_at")
+
+
+@query
+def stream_top_items(spark, folder):
+    """The ranking as a stream, which a folder sink writes like any other."""
+
+    def build(rows):
+        timed = st.with_event_time(rows, "ts")
+        counts = st.sliding(timed, "ts", "1 hour", "5 minutes", ["user_id"])
+        return st.top_items(counts, 3, "cnt", ["user_id"])
+
+    rows = tb.events(spark, folder).where(F.col("event_type") == "view")
+    out = _read(spark, _feed(_timed_steps(rows.select("ts", "user_id")), build))
+    return _zoneless(out, "window_end").select("window_end", "rk", "user_id", "cnt")
+
+
+@query
+def stream_closed_windows(spark, folder):
+    """All windows of a stream that ended: those written, and those still open in its state. No marker row is fed."""
+    sums = {"cnt": ("count", None), "cents": ("sum", "cents"), "most": ("max", "cents")}
+
+    def build(rows):
+        timed = st.with_event_time(rows, "ts", "10 minutes")
+        return st.tumbling(timed, "ts", "1 day", ["event_type"], sums)
+
+    rows = tb.events(spark, folder).select("ts", "event_type", tb.cents())
+    out = _feed(_halves(rows, "ts"), build)
+    left = st.open_windows(spark, f"{out.removesuffix('/out')}/progress", ["event_type"], sums)
+    written = _read(spark, out)
+    return _zoneless(written.unionByName(left), "window_start", "window_end")
+
+
+@query
+def stream_uv_sliding(spark, folder):
+    """Visitors of each sliding hour of a stream, from sketches."""
+
+    def build(rows):
+        timed = st.with_event_time(rows, "ts")
+        return st.sliding(timed, "ts", "1 hour", "5 minutes", (), {"uv": distinct_estimate("user_id")})
+
+    views = tb.events(spark, folder).where(F.col("event_type") == "view")
+    out = _read(spark, _feed(_timed_steps(views.select("ts", "user_id")), build))
+    return _zoneless(out, "window_start", "window_end")
+
+
+@query
+def stream_order_pairs(spark, folder):
+    """Creates and pays as two streams, joined within a time bound."""
+    log = tb.order_log(spark, folder).withColumn("ts", F.timestamp_seconds(F.col("event_time") * 86_400))
+    log = log.select("order_id", "event_type", "ts")
+    sides = [_timed_steps(log.where(F.col("event_type") == kind).drop("event_type")) for kind in ("create", "pay")]
+    path = run_folder(spark, "stream")
+    for steps in zip(*sides):
+        streams = []
+        for k, step in enumerate(steps):
+            step.write.mode("append").parquet(f"{path}/in{k}")
+            streams.append(spark.readStream.schema(step.schema).parquet(f"{path}/in{k}"))
+        joined = st.order_pairs(*streams, "order_id", "ts", "30 days", "3650 days")
+        st.drain(joined.writeStream.foreachBatch(st.folder_sink(f"{path}/out")), f"{path}/progress")
+    day = 86_400
+    # The marker rows have no key.
+    return _read(spark, f"{path}/out").where("order_id is not null").select(
+        "order_id",
+        "outcome",
+        F.floor(F.unix_seconds("created") / day).alias("created"),
+        F.floor(F.unix_seconds("paid") / day).alias("paid"),
+    )
+
+
+@query
+def stream_dropped_rows(spark, folder):
+    """How many rows a stream drops when the later half of the events comes first, and what the watermark is then."""
+    rows = tb.events(spark, folder).select("ts", "event_id")
+    path = run_folder(spark, "stream")
+    found = None
+    for step in reversed(_halves(rows, "ts")):
+        step.write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema(step.schema).parquet(f"{path}/in")
+        stream = st.distinct_rows(stream, "ts", ["event_id"])
+        query = st.drain(stream.writeStream.foreachBatch(st.folder_sink(f"{path}/out")), f"{path}/progress")
+        report = st.progress_table(spark, query)
+        found = report if found is None else found.union(report)
+    kept = _read(spark, f"{path}/out").agg(F.count(F.lit(1)).alias("rows_kept"))
+    dropped = found.agg(F.sum("rows_dropped").alias("rows_dropped"), F.max("watermark").alias("watermark"))
+    return _zoneless(kept.join(dropped, F.lit(True)), "watermark")

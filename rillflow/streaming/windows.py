@@ -109,6 +109,11 @@ def late_updates(
     return tumbling(timed, ts, size, keys, aggregates)
 
 
+def distinct_rows(stream: DataFrame, ts: str, keys: Sequence[str], delay: str = "0 seconds") -> DataFrame:
+    """Each (``keys``, ``ts``) once; rows at or behind the watermark are dropped and counted."""
+    return with_event_time(stream, ts, delay).dropDuplicates([*keys, ts])
+
+
 def running_totals(
     stream: DataFrame, keys: Sequence[str], aggregates: Aggregates = COUNT
 ) -> DataFrame:
