@@ -43,17 +43,22 @@ TOKENS = TREES * OWN
 FURTHER = 4
 #: 2-bit tokens that may differ: at similarity 0.8, 19.2 of 128 do, with a deviation of 4.0; more than 40 with a chance of 1e-6.
 MISMATCHES = 40
+#: A finer sketch, of so many tokens, for members of large nodes: 153.6 of 1024 differ at similarity 0.8, with a deviation of 11.4;
+#: more than 213 with a chance of 2e-7. At similarity 0.7, 230.4 differ.
+FINE, FINE_MISMATCHES = 1_024, 213
+_FINE = [f"f{k + 1}" for k in range(FINE // 32)]
 _SKETCH = [f"s{k + 1}" for k in range(TOKENS // 32)]
 
 _SKETCH_TYPES = ", ".join(f"{s} bigint" for s in _SKETCH)
-_SEEDS = mixed(np.arange(1, TOKENS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_SEEDS = mixed(np.arange(1, TOKENS + FINE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def minwise(hashes: np.ndarray) -> np.ndarray:
-    """``TOKENS`` minwise tokens of 32 bits of a set of 64-bit hashes."""
-    best = np.full(TOKENS, np.iinfo(np.uint64).max, np.uint64)
+def minwise(hashes: np.ndarray, begin: int = 0, end: int = TOKENS) -> np.ndarray:
+    """Minwise tokens of 32 bits of a set of 64-bit hashes, those from ``begin`` to before ``end``."""
+    seeds = _SEEDS[begin:end]
+    best = np.full(len(seeds), np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(hashes), 4_096):
-        x = hashes[at : at + 4_096, None] ^ _SEEDS[None, :]
+        x = hashes[at : at + 4_096, None] ^ seeds[None, :]
         x *= np.uint64(0xBF58476D1CE4E5B9)
         x ^= x >> np.uint64(32)
         x *= np.uint64(0x94D049BB133111EB)
@@ -144,15 +149,20 @@ _DOC = ["id", "n", *_SKETCH]
 _ROW = f"id bigint, n bigint, {_SKETCH_TYPES}, own binary, node bigint"
 
 
-def _alike(a: str, b: str, percent: int) -> Column:
-    """Whether two sketches and set sizes allow the similarity."""
+def _differ(a: str, b: str, sketch: list[str]) -> Column:
+    """How many 2-bit tokens of two sketches differ."""
     differ = F.lit(0)
-    for s in _SKETCH:
+    for s in sketch:
         x = F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))
         either = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555))
         differ = differ + F.bit_count(either)
+    return differ
+
+
+def _alike(a: str, b: str, percent: int) -> Column:
+    """Whether two sketches and set sizes allow the similarity."""
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    return (differ <= MISMATCHES) & (100 * F.least(n, m) >= percent * F.greatest(n, m))
+    return (_differ(a, b, _SKETCH) <= MISMATCHES) & (100 * F.least(n, m) >= percent * F.greatest(n, m))
 
 
 def _pairs(a: str, b: str) -> list[Column]:
@@ -329,7 +339,7 @@ def _grow(own: DataFrame, search: _Search, scratch: Scratch) -> None:
             if level < 2:
                 many = few.union(many)
             else:
-                found.append(scratch.written(_between(few, search.percent), "pairs"))
+                found.append(scratch.written(_between(few, search, scratch), "pairs"))
             many = None if many is None or many.isEmpty() else _next(many.drop("main", "outside"))
         if level == 0:
             others = own.mapInArrow(lambda b: _roots(b, WAVE, TREES), _ROW)
@@ -361,17 +371,38 @@ def _apart(large: DataFrame, last: bool, scratch: Scratch) -> tuple[DataFrame, D
     return rows.where(F.col("outside") <= NODE_ROWS), rows.where(F.col("outside") > NODE_ROWS)
 
 
-def _between(rows: DataFrame, percent: int) -> DataFrame:
+def _fine_sketches(docs: DataFrame, size: int) -> DataFrame:
+    """(``id``, ``f1``, ...) of (``id``, ``text``)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            parts = []
+            for text in batch.column(1).to_pylist():
+                own = shingle_set(text, size)
+                steps = range(TOKENS, TOKENS + FINE, 128)
+                parts.append([s for k in steps for s in _sketch(minwise(own, k, k + 128))])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *[pa.array(c, pa.int64()) for c in zip(*parts)]], ["id", *_FINE]
+            )
+
+    return docs.select("id", "text").mapInArrow(run, "id bigint, " + ", ".join(f"{f} bigint" for f in _FINE))
+
+
+def _between(rows: DataFrame, search: _Search, scratch: Scratch) -> DataFrame:
     """Candidate pairs across the parts of a node: each member outside the main part with all others.
 
-    A pair that meets in several nodes, one per tree as a rule, is taken in the first of them only.
+    A pair that meets in several nodes, one per tree as a rule, is taken in the first of them only. These are many pairs
+    that are nearly similar, so they must pass the finer sketch as well.
     """
-    nodes = rows.groupBy("id").agg(F.collect_set("node").alias("nodes"))
-    rows = rows.drop("own").join(nodes, "id")
+    nodes = scratch.written(rows.groupBy("id").agg(F.collect_set("node").alias("nodes")), "places")
+    fine = _fine_sketches(search.docs.join(nodes.select("id"), "id", "left_semi"), search.size)
+    nodes = nodes.join(scratch.written(fine, "fine"), "id")
+    rows = scratch.written(rows.drop("own").join(nodes, "id"), "members")
     a, b = rows.where("component <> main").alias("a"), rows.alias("b")
     apart = (F.col("a.node") == F.col("b.node")) & (F.col("a.component") != F.col("b.component"))
     once = F.col("a.node") == F.array_min(F.array_intersect(F.col("a.nodes"), F.col("b.nodes")))
-    return a.join(b, apart & _alike("a", "b", percent) & once).select(*_pairs("a", "b"))
+    near = _alike("a", "b", search.percent) & (_differ("a", "b", _FINE) <= FINE_MISMATCHES)
+    return a.join(b, apart & near & once).select(*_pairs("a", "b"))
 
 
 def one_per_group(docs: DataFrame, **options) -> DataFrame:
