@@ -188,10 +188,9 @@ def _sized(rows: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     sizes = rows.groupBy("node").agg(
         F.count(F.lit(1)).alias("size"), (F.min("component") < F.max("component")).alias("apart")
     )
-    sizes = scratch.written(sizes.where("apart").drop("apart"), "sizes")
-    small = rows.drop("own").join(sizes.where(F.col("size") <= NODE_ROWS).select("node"), "node")
-    large = rows.join(sizes.where(F.col("size") > NODE_ROWS).select("node"), "node")
-    return scratch.written(small, "small-nodes"), scratch.written(large, "large-nodes")
+    # The same kind of join at every size: neither side is bounded.
+    rows = scratch.written(rows.join(sizes.where("apart").drop("apart").hint("merge"), "node"), "sized")
+    return rows.where(F.col("size") <= NODE_ROWS).drop("own", "size"), rows.where(F.col("size") > NODE_ROWS).drop("size")
 
 
 def _within(small: DataFrame, percent: int) -> DataFrame:
@@ -336,7 +335,7 @@ def _grow(own: DataFrame, search: _Search, scratch: Scratch) -> None:
         many = None if large.isEmpty() else large
         if many is not None:
             few, many = _apart(large, level == DEPTH + FURTHER, scratch)
-            if level < 2:
+            if level == 0:
                 many = few.union(many)
             else:
                 found.append(scratch.written(_between(few, search, scratch), "pairs"))
