@@ -87,7 +87,8 @@ def learn_profiles(docs: DataFrame, text_column: str = "text", lang_column: str
     sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
     share = F.least(F.lit(1.0), LEARN_DOCS / F.col("docs"))
     place = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    drawn = labelled.join(sizes, "lang").where(place < share).select("lang", "text")
+    # A row per language, as many as there are profiles in the driver; no text moves for it.
+    drawn = labelled.join(F.broadcast(sizes), "lang").where(place < share).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):

@@ -130,7 +130,7 @@ def filter_urls(
     share = min(1.0, LEARN_URLS / max(total, 1))
     drawn = F.pmod(F.xxhash64("url"), F.lit(1 << 30)) < int(share * (1 << 30))
     train = stored(labelled.where(drawn).select("label", "host_suffix", "file_suffix", *FEATURES[:-2]))
-    rate = train.agg(F.avg("label")).first()[0]
+    rate = labelled.agg(F.avg("label")).first()[0]
 
     out = [F.col("id").alias(id_column), "host", "path", "rule"]
     if rate is None or rate in (0.0, 1.0):
@@ -142,7 +142,8 @@ def filter_urls(
             df = df.join(stored_rates[suffix], suffix, "left")
         return df.fillna(rate, [f"{s}_rate" for s in stored_rates])
 
-    stored_rates = {s: stored(_rates(train, s, rate)) for s in ("host_suffix", "file_suffix")}
+    # Counted over all labelled URLs; only the trees learn from a sample.
+    stored_rates = {s: stored(_rates(labelled, s, rate)) for s in ("host_suffix", "file_suffix")}
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
     trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, labelCol="label", featuresCol="features")
     model = trees.fit(assembler.transform(with_rates(train)).select("label", "features"))
