@@ -12,7 +12,8 @@ compared. A node that stays large is a group of documents that
 keep agreeing. Its members are compared with ``PIVOTS`` of them first. Where at most ``NODE_ROWS`` members are then outside the
 node's largest component, these are compared with all others of the node, in a join that Spark splits; where more are apart, the
 node branches on. Candidates pass a 2-bit sketch of the tokens and the size bound before their texts are fetched, and every
-link is confirmed on the full sets. Documents with equal sets are one class throughout and are never expanded into pairs.
+link is confirmed on the full sets. Documents with equal sets are one class throughout and are never expanded into pairs. Joins of which neither side is
+bounded are merge joins at every size, so that small inputs show what large ones cost.
 
 Nulls and odd rows: a null, empty or blank text has an empty set and links with nothing; a text of fewer words than a shingle
 is one shingle; rows that share an id are compared one by one and are in one group; a row without an id is returned with
@@ -175,7 +176,7 @@ def _pairs(a: str, b: str) -> list[Column]:
 def _with_components(rows: DataFrame, groups: DataFrame | None) -> DataFrame:
     if groups is None:
         return rows.withColumn("component", F.col("id"))
-    rows = rows.join(groups, "id", "left")
+    rows = rows.join(groups.hint("merge"), "id", "left")
     return rows.withColumn("component", F.coalesce("component", "id"))
 
 
@@ -215,7 +216,7 @@ def _with_pivots(large: DataFrame, percent: int) -> DataFrame:
 def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int, scratch: Scratch) -> DataFrame:
     """The pairs (``u``, ``v``, ...) whose full shingle sets are similar. ``docs``: (``id``, ``text``) of class members."""
     ids = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()
-    texts = scratch.written(docs.join(ids, "id", "left_semi"), "candidate-texts")
+    texts = scratch.written(docs.join(ids.hint("merge"), "id", "left_semi"), "candidate-texts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, np.ndarray] = {}  # the last document on each side
@@ -230,8 +231,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int, scratc
                 keep.append(100 * both >= percent * (len(known[u]) + len(known[v]) - both))
             yield batch.filter(pa.array(keep, pa.bool_())).select(["u", "v", "cu", "cv"])
 
-    rows = pairs.join(texts.select(F.col("id").alias("u"), F.col("text").alias("one")), "u")
-    rows = rows.join(texts.select(F.col("id").alias("v"), F.col("text").alias("two")), "v")
+    rows = pairs.join(texts.select(F.col("id").alias("u"), F.col("text").alias("one")).hint("merge"), "u")
+    rows = rows.join(texts.select(F.col("id").alias("v"), F.col("text").alias("two")).hint("merge"), "v")
     rows = rows.select("u", "v", "cu", "cv", "one", "two")
     return rows.mapInArrow(run, "u bigint, v bigint, cu bigint, cv bigint")
 
@@ -295,7 +296,7 @@ def _grouped(docs: DataFrame, size: int, percent: int, id_column: str, text_colu
     classes = marked.where("n > 0 and id is not null").groupBy("print").agg(F.min("id").alias("rep"))
     classes = stored(classes)
     # One row per class, also where an id occurs in several rows.
-    own = marked.join(classes.select(F.col("rep").alias("id"), "print"), ["id", "print"])
+    own = marked.join(classes.select(F.col("rep").alias("id"), "print").hint("merge"), ["id", "print"])
     own = own.dropDuplicates(["id", "print"]).select("id", "n", *_SKETCH, "tokens")
     own = scratch.written(own, "classes")
     texts = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
@@ -305,9 +306,9 @@ def _grouped(docs: DataFrame, size: int, percent: int, id_column: str, text_colu
     search.contract(reps.select(F.explode("reps").alias("u"), F.array_min("reps").alias("v")))
     _grow(own, search, scratch)
 
-    members = marked.join(classes, "print", "left")
+    members = marked.join(classes.hint("merge"), "print", "left")
     if search.groups is not None:
-        members = members.join(search.groups.withColumnRenamed("id", "rep"), "rep", "left")
+        members = members.join(search.groups.withColumnRenamed("id", "rep").hint("merge"), "rep", "left")
     else:
         members = members.withColumn("component", F.col("rep"))
     component = F.when(F.col("n") > 0, F.coalesce("component", "rep")).otherwise(F.col("id"))
@@ -364,7 +365,7 @@ def _apart(large: DataFrame, last: bool, scratch: Scratch) -> tuple[DataFrame, D
         F.max(F.struct("members", "component")).alias("most"), F.sum("members").alias("all")
     )
     sizes = sizes.select("node", F.col("most.component").alias("main"), (F.col("all") - F.col("most.members")).alias("outside"))
-    rows = scratch.written(large.join(sizes.where("outside > 0"), "node"), "parts")
+    rows = scratch.written(large.join(sizes.where("outside > 0").hint("merge"), "node"), "parts")
     if last:
         return rows, None
     return rows.where(F.col("outside") <= NODE_ROWS), rows.where(F.col("outside") > NODE_ROWS)
@@ -394,7 +395,7 @@ def _between(rows: DataFrame, search: _Search, scratch: Scratch) -> DataFrame:
     that are nearly similar, so they must pass the finer sketch as well.
     """
     nodes = scratch.written(rows.groupBy("id").agg(F.collect_set("node").alias("nodes")), "places")
-    fine = _fine_sketches(search.docs.join(nodes.select("id"), "id", "left_semi"), search.size)
+    fine = _fine_sketches(search.docs.join(nodes.select("id").hint("merge"), "id", "left_semi"), search.size)
     nodes = nodes.join(scratch.written(fine, "fine"), "id")
     rows = scratch.written(rows.drop("own").join(nodes, "id"), "members")
     a, b = rows.where("component <> main").alias("a"), rows.alias("b")
@@ -411,7 +412,7 @@ def one_per_group(docs: DataFrame, **options) -> DataFrame:
     """
     found = near_duplicates(docs, **options)
     others = found.where("not kept and doc_id is not null").select("doc_id").distinct()
-    out = docs.join(written(others, "others"), "doc_id", "left_anti").select(*docs.columns)
+    out = docs.join(written(others, "others").hint("merge"), "doc_id", "left_anti").select(*docs.columns)
     repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     repeated = stored(repeated.select("doc_id"))
     if repeated.isEmpty():
