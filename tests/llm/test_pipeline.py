@@ -87,6 +87,6 @@ def test_every_operator_and_the_pipeline_are_registered():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(names)
     assert set(entry.oracle_sql()) <= set(names)
