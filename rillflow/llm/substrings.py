@@ -8,7 +8,8 @@ A run is a stretch of neighbouring windows of one anchor occurrence.
    on the group without moving texts again. Each group sends its anchors once each, with the number of its documents that
    have them; anchors of one document only go no further.
 2. Each group sends the runs of the other anchors, one per different run, to the anchor's bucket; all but the first document
-   of equal runs in a group are settled there. Anchors of more than ``HOT_DOCS`` documents send single windows, keyed by
+   of equal runs in a group are settled there, byte by byte. Runs of one anchor overlap those of the next, so what is sent to a
+   bucket is compressed. Anchors of more than ``HOT_DOCS`` documents send single windows, keyed by
    their bytes, so that nothing that many documents hold meets in one task more than once per group.
 3. A bucket settles equal runs by the smallest document, then sorts the suffixes that start at the windows of the remaining
    runs: a mergesort whose comparisons find the common extension by binary search over polynomial prefix hashes. Neighbours
@@ -27,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -171,6 +173,23 @@ def _by(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(keys[rows[0]]), rows
 
 
+def _same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the stretches of ``size`` bytes, eight at least, at ``a`` and at ``b`` are equal: compared eight bytes at a time."""
+    same = np.ones(len(a), bool)
+    if not len(a):
+        return same
+    eight = _eights(data)
+    for at in range(0, len(a), 1 << 16):
+        some = slice(at, at + (1 << 16))
+        steps = (size[some] + 7) // 8
+        first = np.cumsum(steps) - steps
+        place = 8 * (np.arange(int(steps.sum())) - np.repeat(first, steps))
+        place = np.minimum(place, np.repeat(size[some] - 8, steps))
+        equal = eight[np.repeat(a[some], steps) + place] == eight[np.repeat(b[some], steps) + place]
+        same[some] = np.logical_and.reduceat(equal, first)
+    return same
+
+
 def _binary(values: list) -> pa.Array:
     return pa.array([v.tobytes() for v in values], pa.binary())
 
@@ -237,6 +256,22 @@ def _shared_anchors(table: pa.Table, hot_docs: int) -> pa.Table:
 _ITEM = np.dtype([("key", "<u8"), ("mark", "<u8"), ("doc", "<i8"), ("row", "<u4"), ("at", "<u4"), ("n", "u1"), ("off", "u1")])
 
 
+def _packed_items(items: np.ndarray, texts: list[bytes]) -> tuple[bytes, bytes]:
+    """Items field by field and their bytes, each compressed."""
+    squeeze = zstandard.ZstdCompressor(level=3).compress
+    return squeeze(b"".join(items[f].tobytes() for f in _ITEM.names)), squeeze(b"".join(texts))
+
+
+def _unpacked_items(packed: bytes) -> np.ndarray:
+    data = zstandard.ZstdDecompressor().decompress(packed) if packed else b""
+    items = np.zeros(len(data) // _ITEM.itemsize, _ITEM)
+    at = 0
+    for f in _ITEM.names:
+        items[f] = np.frombuffer(data, _ITEM[f], len(items), at)
+        at += items[f].nbytes
+    return items
+
+
 def _spans(rows: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Intervals of rows, with those that touch joined."""
     order = np.lexsort((begin, rows))
@@ -308,16 +343,22 @@ def _runs_of_group(buckets: int, targets: int):
             start = np.concatenate([t[1] for t in texts])
             stop = np.concatenate([t[2] for t in texts])
             order = np.lexsort((item["doc"], item["off"], item["n"], item["mark"], item["key"]))
-            least, _ = _least_doc(item[order], ("key", "mark", "n", "off"))
-            later = item["doc"][order] > least
+            least, one = _least_doc(item[order], ("key", "mark", "n", "off"))
+            later = np.flatnonzero(item["doc"][order] > least)
+            # Equal hashes only propose: a run is settled when its bytes are those of the first document's run.
+            base = np.cumsum([0, *(len(t[0]) for t in texts)])[piece]
+            size = (stop - start)[order[later]]
+            a, b = ((base + start)[order[x]] for x in (later, one[later]))
+            later = later[_same_bytes(np.concatenate([t[0] for t in texts]), a, b, size)]
             done = order[later]
             settled.append((item["row"][done], item["at"][done], item["at"][done].astype(np.int64) + stop[done] - start[done]))
-            rest = np.sort(order[~later])
+            rest = np.sort(np.delete(order, later))
             target = (mixed(item["key"][rest]) % np.uint64(targets)).astype(np.int64)
             for t, rows in _by(target):
                 own = rest[rows]
-                blob = b"".join(texts[p][0][b:e].tobytes() for p, b, e in zip(piece[own], start[own], stop[own]))
-                out.append({"bucket": t, "g": group, "items": item[own].tobytes(), "bytes": blob, "spans": b""})
+                sent = [texts[p][0][b:e].tobytes() for p, b, e in zip(piece[own], start[own], stop[own])]
+                packed, sent = _packed_items(item[own], sent)
+                out.append({"bucket": t, "g": group, "items": packed, "bytes": sent, "spans": b""})
             # Past the buckets, in a row of the group's own.
             out.append(_interval_row(group, *[np.concatenate(x) for x in zip(*settled)], bucket=targets + group))
         return pa.Table.from_pylist(out, _run_schema())
@@ -435,10 +476,11 @@ def _settle(table: pa.Table) -> pa.Table:
     if not any(table.column("items").to_pylist()):
         return table.select(["g", "spans"])
     groups = np.array(table.column("g").to_pylist(), np.int64)
-    lists = [np.frombuffer(x, _ITEM) for x in table.column("items").to_pylist()]
+    lists = [_unpacked_items(x) for x in table.column("items").to_pylist()]
     item = np.concatenate(lists)
     group = np.repeat(groups, [len(x) for x in lists])
-    data = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8)
+    open_ = zstandard.ZstdDecompressor().decompress
+    data = np.frombuffer(b"".join(open_(x) if x else b"" for x in table.column("bytes").to_pylist()), np.uint8)
     size = item["n"].astype(np.int64) - 1 + LENGTH
     start = np.cumsum(size) - size
     order = np.lexsort((item["doc"], item["off"], item["n"], item["mark"], item["key"]))
@@ -446,9 +488,7 @@ def _settle(table: pa.Table) -> pa.Table:
 
     least, at = _least_doc(item, ("key", "mark", "n", "off"))
     later = np.flatnonzero(item["doc"] > least)
-    one = at[later]
-    equal = np.array([(data[a : a + n] == data[b : b + n]).all() for a, b, n in zip(start[later], start[one], size[later])], bool)
-    later = later[equal] if len(later) else later
+    later = later[_same_bytes(data, start[later], start[at[later]], size[later])]
     covered = [(group[later], item["row"][later], item["at"][later], size[later])]
 
     # Runs that are no such copies, of keys that several documents and different runs have.
@@ -463,10 +503,8 @@ def _settle(table: pa.Table) -> pa.Table:
     step = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
     window = start[which] + step
     if len(which):
-        # Only windows with equal keys, anchor places and first and last bytes can be equal.
-        eight = _eights(data)
+        # Only windows with equal anchors at equal places can be equal; the sort tells which are.
         code = mixed(item["key"][which] + (item["off"][which].astype(np.int64) - step).astype(np.uint64))
-        code = mixed(code ^ eight[window]) + mixed(eight[window + LENGTH - 8])
         _, of = np.unique(code, return_inverse=True)
         low = np.full(of.max() + 1, np.iinfo(np.int64).max)
         high = np.full(of.max() + 1, np.iinfo(np.int64).min)
