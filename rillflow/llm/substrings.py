@@ -22,6 +22,7 @@ id do not cover each other; documents shorter than the window keep all bytes; an
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -53,7 +54,7 @@ class Prefix:
     def __init__(self, data: np.ndarray, which: int = 0):
         self.p = np.uint64(_PRIMES[which])
         up = _powers(_BASES[which], len(data) + 1, _PRIMES[which])
-        self.down = _powers(pow(_BASES[which], -1, _PRIMES[which]), len(data) + 1, _PRIMES[which])
+        self.down = _powers(pow(_BASES[which], -1, _PRIMES[which]), len(data) + 1, _PRIMES[which])[: len(data) + 1]
         self.sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=self.sums[1:])
 
@@ -63,6 +64,16 @@ class Prefix:
 
 
 def _powers(base: int, size: int, prime: int) -> np.ndarray:
+    """At least ``size`` powers; those for a piece are kept."""
+    return _piece_powers(base, prime) if size <= 2 * PIECE else _all_powers(base, size, prime)
+
+
+@functools.cache
+def _piece_powers(base: int, prime: int) -> np.ndarray:
+    return _all_powers(base, 2 * PIECE, prime)
+
+
+def _all_powers(base: int, size: int, prime: int) -> np.ndarray:
     out = np.ones(size, np.uint64)
     done = 1
     while done < size:
@@ -398,22 +409,32 @@ class Suffixes:
 
     def __init__(self, data: np.ndarray):
         self.data, self.hash = data, Prefix(data)
+        self.head = _eights(data).byteswap()
 
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The length of the common extension of suffixes at ``a`` and ``b``, by binary search."""
-        low, high = np.zeros(len(a), np.int64), np.full(len(a), LENGTH, np.int64)
+        out = np.full(len(a), LENGTH, np.int64)
+        differ = np.flatnonzero(self.hash(a, a + LENGTH) != self.hash(b, b + LENGTH))
+        a, b = a[differ], b[differ]
+        low, high = np.zeros(len(a), np.int64), np.full(len(a), LENGTH - 1, np.int64)
         while (low < high).any():
             mid = (low + high + 1) // 2
             same = self.hash(a, a + mid) == self.hash(b, b + mid)
             low, high = np.where(same, mid, low), np.where(same, high, mid - 1)
-        return low
+        out[differ] = low
+        return out
 
     def before(self, a: np.ndarray, b: np.ndarray, equal: np.ndarray) -> np.ndarray:
         """Whether the suffix at ``a`` is less than that at ``b``, or equal where ``equal`` allows it."""
+        # Suffixes whose first eight bytes differ need no search.
+        x, y = self.head[a], self.head[b]
+        out = x < y
+        tied = np.flatnonzero(x == y)
+        a, b = a[tied], b[tied]
         length = self.common(a, b)
-        whole = length == LENGTH
         step = np.minimum(length, LENGTH - 1)
-        return np.where(whole, equal, self.data[a + step] < self.data[b + step])
+        out[tied] = np.where(length == LENGTH, equal[tied], self.data[a + step] < self.data[b + step])
+        return out
 
     def sort(self, at: np.ndarray, group: np.ndarray) -> np.ndarray:
         """An order of suffixes by group and, within a group, by bytes: a stable mergesort of all groups at once.
