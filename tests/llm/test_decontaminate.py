@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import collections
+import pickle
 import random
 
 import numpy as np
@@ -79,8 +80,37 @@ def test_same_as_all_windows(documents, items_table):
 def test_slices_of_items_give_the_same(documents, items_table, monkeypatch):
     docs, items = tables(2)
     whole = sorted(map(str, dc.judge(documents(docs), items_table(items)).collect()))
-    monkeypatch.setattr(dc, "SLICE_BYTES", 500)
+    found = sorted(map(str, dc.find_items(documents(docs), items_table(items)).collect()))
+    clean = sorted(map(str, dc.decontaminate(documents(docs), items_table(items)).collect()))
+    monkeypatch.setattr(dc, "SLICE_BYTES", 1_500)
     assert sorted(map(str, dc.judge(documents(docs), items_table(items)).collect())) == whole
+    assert sorted(map(str, dc.find_items(documents(docs), items_table(items)).collect())) == found
+    assert sorted(map(str, dc.decontaminate(documents(docs), items_table(items)).collect())) == clean
+
+
+def test_repeated_rows_stay_apart_at_any_slice_size(documents, items_table):
+    text = "some text of seven words is here"
+    docs = [(1, text), (1, text), (1, "some other text without it"), (None, text), (None, text), (2, None)]
+    items = items_table([(7, text), (8, "nothing of the kind anywhere at all"), (None, text)])
+    for size in (1 << 20, 40):
+        rows = dc.judge(documents(docs), items, slice_bytes=size).collect()
+        assert sorted((str(r.doc_id), r.n_items, str(r.best_item)) for r in rows) == [
+            ("1", 0, "None"), ("1", 2, "7"), ("1", 2, "7"), ("2", 0, "None"), ("None", 2, "7"), ("None", 2, "7"),
+        ]
+        clean = dc.decontaminate(documents(docs), items, slice_bytes=size).collect()
+        assert sorted(str(r.doc_id) for r in clean) == ["1", "2"]
+
+
+def test_lists_of_an_index_grow_with_the_items_only():
+    rng = np.random.default_rng(4)
+    prints = rng.integers(0, 2**63, 20_000, dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, 20_000, dtype=np.uint64)
+    index = dc._Index(prints)
+    assert len(pickle.dumps(index)) < 100 * len(prints)
+    probes = prints[:50] ^ np.uint64(0b1011)
+    window, item = index.near(probes)
+    assert set(range(50)) <= set(item[window == item].tolist())
+    # Of unrelated pairs, one in seven shares a list and one in a thousand is within the radius.
+    assert len(window) < 0.002 * len(probes) * len(prints)
 
 
 def test_index_finds_every_fingerprint_within_the_radius():
