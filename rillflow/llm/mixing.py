@@ -93,7 +93,8 @@ def mix(
             F.col(source_column).cast("string").alias("source"),
             _key(source_column).alias("key"),
             word_count(text_column).alias("size"),
-            F.coalesce(order, F.lit("")).alias("place"),
+            # A third of all rows may have no id: these are placed by their text.
+            F.coalesce(order, F.md5(F.concat(F.lit(f"{seed}:"), F.xxhash64(text_column).cast("string")))).alias("place"),
             *keep,
         ),
         "mix-sizes",
@@ -141,18 +142,27 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     rows like any other. It returns the columns of ``docs``, with ``n_chars`` counted anew.
     """
     columns = docs.columns
-    docs = written(docs.withColumn("_row", F.monotonically_increasing_id()), "mix-documents")
-    taken = mix(docs, keep=("_row",), **options).select("_row", F.col("size").alias("_size"), F.col("taken").alias("_taken"))
-    rest = F.col("_taken") % F.greatest("_size", F.lit(1))
-    times = (F.col("_taken") / F.greatest("_size", F.lit(1))).cast("bigint")
+    row, size, taken_, cut_ = (_unused(name, columns) for name in ("_row", "_size", "_taken", "_cut"))
+    docs = written(docs.withColumn(row, F.monotonically_increasing_id()), "mix-documents")
+    taken = mix(docs, keep=(row,), **options).select(row, F.col("size").alias(size), F.col("taken").alias(taken_))
+    rest = F.col(taken_) % F.greatest(size, F.lit(1))
+    times = (F.col(taken_) / F.greatest(size, F.lit(1))).cast("bigint")
     rows = F.concat(
         F.array_repeat(F.lit(0).cast("bigint"), times.cast("int")),
         F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<bigint>")),
     )
     token = F.lit(r"[\x20\x09-\x0D]*" + WORD)
-    cut = F.array_join(F.slice(F.regexp_extract_all("text", token, F.lit(0)), 1, F.col("_cut").cast("int")), "")
-    text = F.when(F.col("_cut") > 0, cut).otherwise(F.col("text"))
-    out = docs.join(taken.where("_taken > 0"), "_row").withColumn("_cut", F.explode(rows)).withColumn("text", text)
+    cut = F.array_join(F.slice(F.regexp_extract_all("text", token, F.lit(0)), 1, F.col(cut_).cast("int")), "")
+    text = F.when(F.col(cut_) > 0, cut).otherwise(F.col("text"))
+    out = docs.join(taken.where(F.col(taken_) > 0), row).withColumn(cut_, F.explode(rows)).withColumn("text", text)
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*columns)
+
+
+def _unused(name: str, columns: list[str]) -> str:
+    """``name``, with underscores before it until no column is called so, in any case."""
+    known = {c.lower() for c in columns}
+    while name in known:
+        name = f"_{name}"
+    return name

@@ -110,3 +110,20 @@ def test_mixed_documents_with_repeated_and_missing_ids(documents):
     sizes = {s: sum(len(r[1].split()) for r in rows if r[3] == s) for s in held}
     want = repeated_shares(sizes, {"a": 5, "b": 2}, 1.5, 2.0)
     assert held == {s: round(t) for s, t in want.items()} and sum(held.values()) == taken
+
+
+def test_columns_named_like_helpers_keep_their_values(spark):
+    rows = [(k, f"word{k} two", "a", 100 + k, -k, "x") for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, _row bigint, _SIZE bigint, _cut string")
+    out = mixing.mixed_documents(docs, weights=[1], share=1.0).collect()
+    assert sorted(tuple(r) for r in out) == sorted(rows)
+
+
+def test_rows_without_an_id_are_spread_over_slices(spark):
+    rows = [(None, f"text number {k}", "a") for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    out = mixing.mix(docs, weights=[1], share=0.5).collect()
+    assert sum(r.taken for r in out) == 600
+    assert max(r.taken for r in out) == 3
+    again = mixing.mix(docs.repartition(7), weights=[1], share=0.5).collect()
+    assert sorted(map(str, out)) == sorted(map(str, again))
