@@ -10,8 +10,10 @@ The first ``WAVE`` trees are compared at their roots before the others grow. Wha
 document carries its component, nodes whose members are all in one are left out, and only pairs across components are
 compared. A node that stays large is a group of documents that
 keep agreeing. Its members are compared with ``PIVOTS`` of them first. Where at most ``NODE_ROWS`` members are then outside the
-node's largest component, these are compared with all others of the node, in a join that Spark splits; where more are apart, the
-node branches on. Candidates pass a 2-bit sketch of the tokens and the size bound before their texts are fetched, and every
+node's largest component, these are compared with all others of the node, in a join that Spark splits; so are up to ``OUTSIDE``
+where the largest component is at least half of the node, as branching on would take it along for nothing. Where more are apart,
+the node branches on. Candidates pass a 2-bit sketch of the tokens and the size bound before their texts are fetched, those
+across the parts of a node also a bound on the symmetric difference by parities of hashed shingles, and every
 link is confirmed on the full sets. Documents with equal sets are one class throughout and are never expanded into pairs. Joins of which neither side is
 bounded are merge joins at every size, so that small inputs show what large ones cost.
 
@@ -40,26 +42,28 @@ WAVE, PIVOTS = 4, 3
 #: Tokens of each tree, the first for its root, and of all trees.
 OWN = 8
 TOKENS = TREES * OWN
+#: Members outside a component of at least half of a node that are compared with all others of the node.
+OUTSIDE = 1_024
 #: Levels that large nodes with many unlinked members go down further before all of these are compared.
 FURTHER = 4
 #: 2-bit tokens that may differ: at similarity 0.8, 19.2 of 128 do, with a deviation of 4.0; more than 40 with a chance of 1e-6.
 MISMATCHES = 40
-#: A finer sketch, of so many tokens, for members of large nodes: 153.6 of 1024 differ at similarity 0.8, with a deviation of 11.4;
-#: more than 213 with a chance of 2e-7. At similarity 0.7, 230.4 differ.
-FINE, FINE_MISMATCHES = 1_024, 213
-_FINE = [f"f{k + 1}" for k in range(FINE // 32)]
+#: Bits of a bitmap of a set: the parity of how many shingles fall on each. Two bitmaps differ in at most as many bits as there are
+#: shingles in one set only. So many may at most differ in ``DEVIATIONS`` standard deviations more bits than the mean.
+BITS, DEVIATIONS = 1_024, 5.5
+_BITMAP = [f"f{k + 1}" for k in range(BITS // 64)]
 _SKETCH = [f"s{k + 1}" for k in range(TOKENS // 32)]
 
 _SKETCH_TYPES = ", ".join(f"{s} bigint" for s in _SKETCH)
-_SEEDS = mixed(np.arange(1, TOKENS + FINE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_BITMAP_TYPES = ", ".join(f"{f} bigint" for f in _BITMAP)
+_SEEDS = mixed(np.arange(1, TOKENS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def minwise(hashes: np.ndarray, begin: int = 0, end: int = TOKENS) -> np.ndarray:
-    """Minwise tokens of 32 bits of a set of 64-bit hashes, those from ``begin`` to before ``end``."""
-    seeds = _SEEDS[begin:end]
-    best = np.full(len(seeds), np.iinfo(np.uint64).max, np.uint64)
+def minwise(hashes: np.ndarray) -> np.ndarray:
+    """Minwise tokens of 32 bits of a set of 64-bit hashes."""
+    best = np.full(TOKENS, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(hashes), 4_096):
-        x = hashes[at : at + 4_096, None] ^ seeds[None, :]
+        x = hashes[at : at + 4_096, None] ^ _SEEDS[None, :]
         x *= np.uint64(0xBF58476D1CE4E5B9)
         x ^= x >> np.uint64(32)
         x *= np.uint64(0x94D049BB133111EB)
@@ -74,8 +78,14 @@ def _sketch(tokens: np.ndarray) -> list[int]:
     return (bits.reshape(-1, 32) << place).sum(1, dtype=np.uint64).astype(np.int64).tolist()
 
 
+def _bitmap(hashes: np.ndarray) -> list[int]:
+    """For each of ``BITS`` places, whether an odd number of hashes falls on it, as signed 64-bit numbers."""
+    odd = np.bincount((hashes % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").tolist()
+
+
 def signatures(docs: DataFrame, size: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(``id``, ``n``, ``print``, ``s1`` to ``s4``, ``tokens``): set size, set fingerprint, sketch and tokens."""
+    """(``id``, ``n``, ``print``, ``s1`` to ``s4``, ``f1`` to ``f16``, ``tokens``): set size, set fingerprint, sketch, bitmap, tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -84,7 +94,7 @@ def signatures(docs: DataFrame, size: int, id_column: str = "doc_id", text_colum
                 own = shingle_set(text, size)
                 tokens = minwise(own)
                 mark = xxhash.xxh3_128_digest(own.tobytes())
-                rows.append((len(own), mark, *_sketch(tokens), tokens.tobytes()))
+                rows.append((len(own), mark, *_sketch(tokens), *_bitmap(own), tokens.tobytes()))
             n, marks, *sketch, tokens = zip(*rows)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -94,11 +104,11 @@ def signatures(docs: DataFrame, size: int, id_column: str = "doc_id", text_colum
                     *[pa.array(s, pa.int64()) for s in sketch],
                     pa.array(tokens, pa.binary()),
                 ],
-                ["id", "n", "print", *_SKETCH, "tokens"],
+                ["id", "n", "print", *_SKETCH, *_BITMAP, "tokens"],
             )
 
     texts = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
-    return texts.mapInArrow(run, f"id bigint, n bigint, print binary, {_SKETCH_TYPES}, tokens binary")
+    return texts.mapInArrow(run, f"id bigint, n bigint, print binary, {_SKETCH_TYPES}, {_BITMAP_TYPES}, tokens binary")
 
 
 def _child(nodes: np.ndarray, place: np.ndarray, tokens: np.ndarray) -> np.ndarray:
@@ -150,10 +160,10 @@ _DOC = ["id", "n", *_SKETCH]
 _ROW = f"id bigint, n bigint, {_SKETCH_TYPES}, own binary, node bigint"
 
 
-def _differ(a: str, b: str, sketch: list[str]) -> Column:
+def _differ(a: str, b: str) -> Column:
     """How many 2-bit tokens of two sketches differ."""
     differ = F.lit(0)
-    for s in sketch:
+    for s in _SKETCH:
         x = F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))
         either = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555))
         differ = differ + F.bit_count(either)
@@ -163,7 +173,21 @@ def _differ(a: str, b: str, sketch: list[str]) -> Column:
 def _alike(a: str, b: str, percent: int) -> Column:
     """Whether two sketches and set sizes allow the similarity."""
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    return (_differ(a, b, _SKETCH) <= MISMATCHES) & (100 * F.least(n, m) >= percent * F.greatest(n, m))
+    return (_differ(a, b) <= MISMATCHES) & (100 * F.least(n, m) >= percent * F.greatest(n, m))
+
+
+def _close(a: str, b: str, percent: int) -> Column:
+    """Whether two bitmaps allow the similarity, which leaves at most ``most`` shingles in one set only.
+
+    That many, thrown on ``BITS`` places, leave a binomial-like number of odd ones, of the mean and variance below.
+    """
+    differ = F.lit(0)
+    for f in _BITMAP:
+        differ = differ + F.bit_count(F.col(f"{a}.{f}").bitwiseXOR(F.col(f"{b}.{f}")))
+    most = F.floor((F.col(f"{a}.n") + F.col(f"{b}.n")) * (100 - percent) / (100 + percent))
+    even = F.exp(-2.0 * most / BITS)
+    variance = BITS / 4 * (1 - even * even) - most * even * even
+    return differ <= F.least(most, BITS / 2 * (1 - even) + DEVIATIONS * F.sqrt(F.greatest(variance, F.lit(0.0))))
 
 
 def _pairs(a: str, b: str) -> list[Column]:
@@ -297,7 +321,7 @@ def _grouped(docs: DataFrame, size: int, percent: int, id_column: str, text_colu
     classes = stored(classes)
     # One row per class, also where an id occurs in several rows.
     own = marked.join(classes.select(F.col("rep").alias("id"), "print").hint("merge"), ["id", "print"])
-    own = own.dropDuplicates(["id", "print"]).select("id", "n", *_SKETCH, "tokens")
+    own = own.dropDuplicates(["id", "print"]).select("id", "n", *_SKETCH, *_BITMAP, "tokens")
     own = scratch.written(own, "classes")
     texts = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
     search = _Search(texts.where("text is not null"), size, percent, scratch)
@@ -339,7 +363,7 @@ def _grow(own: DataFrame, search: _Search, scratch: Scratch) -> None:
             if level == 0:
                 many = few.union(many)
             else:
-                found.append(scratch.written(_between(few, search, scratch), "pairs"))
+                found.append(scratch.written(_between(few, own, search.percent, scratch), "pairs"))
             many = None if many is None or many.isEmpty() else _next(many.drop("main", "outside"))
         if level == 0:
             others = own.mapInArrow(lambda b: _roots(b, WAVE, TREES), _ROW)
@@ -359,50 +383,38 @@ def _next(large: DataFrame) -> DataFrame:
 
 
 def _apart(large: DataFrame, last: bool, scratch: Scratch) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of nodes with few members outside their largest component (``main``), and of those with many."""
+    """Rows of nodes with few members outside their largest component (``main``), and of those with many.
+
+    Up to ``OUTSIDE`` are few where the largest component is half of the node or more.
+    """
     parts = large.groupBy("node", "component").agg(F.count(F.lit(1)).alias("members"))
     sizes = parts.groupBy("node").agg(
         F.max(F.struct("members", "component")).alias("most"), F.sum("members").alias("all")
     )
-    sizes = sizes.select("node", F.col("most.component").alias("main"), (F.col("all") - F.col("most.members")).alias("outside"))
+    outside = F.col("all") - F.col("most.members")
+    few = (outside <= NODE_ROWS) | (outside <= OUTSIDE) & (2 * outside <= F.col("all"))
+    sizes = sizes.select("node", F.col("most.component").alias("main"), outside.alias("outside"), few.alias("few"))
     rows = scratch.written(large.join(sizes.where("outside > 0").hint("merge"), "node"), "parts")
     if last:
-        return rows, None
-    return rows.where(F.col("outside") <= NODE_ROWS), rows.where(F.col("outside") > NODE_ROWS)
-
-
-def _fine_sketches(docs: DataFrame, size: int) -> DataFrame:
-    """(``id``, ``f1``, ...) of (``id``, ``text``)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            parts = []
-            for text in batch.column(1).to_pylist():
-                own = shingle_set(text, size)
-                steps = range(TOKENS, TOKENS + FINE, 128)
-                parts.append([s for k in steps for s in _sketch(minwise(own, k, k + 128))])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(c, pa.int64()) for c in zip(*parts)]], ["id", *_FINE]
-            )
-
-    return docs.select("id", "text").mapInArrow(run, "id bigint, " + ", ".join(f"{f} bigint" for f in _FINE))
+        return rows.drop("few"), None
+    return rows.where("few").drop("few"), rows.where("not few").drop("few")
 
 
-def _between(rows: DataFrame, search: _Search, scratch: Scratch) -> DataFrame:
-    """Candidate pairs across the parts of a node: each member outside the main part with all others.
+def _between(rows: DataFrame, own: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Candidate pairs across the parts of a node: each member with all those outside the main part, which Spark buffers.
 
     A pair that meets in several nodes, one per tree as a rule, is taken in the first of them only. These are many pairs
-    that are nearly similar, so they must pass the finer sketch as well.
+    that are nearly similar, so they must pass the bitmap as well.
     """
-    nodes = scratch.written(rows.groupBy("id").agg(F.collect_set("node").alias("nodes")), "places")
-    fine = _fine_sketches(search.docs.join(nodes.select("id"), "id", "left_semi"), search.size)
-    nodes = nodes.join(scratch.written(fine, "fine"), "id")
-    rows = scratch.written(rows.drop("own").join(nodes, "id"), "members")
-    a, b = rows.where("component <> main").alias("a"), rows.alias("b")
+    nodes = rows.groupBy("id").agg(F.collect_set("node").alias("nodes"))
+    marks = scratch.written(nodes.join(own.select("id", *_BITMAP).hint("merge"), "id"), "places")
+    rows = scratch.written(rows.drop("own", "outside").join(marks.hint("merge"), "id"), "members")
+    a, b = rows.alias("a"), rows.where("component <> main").alias("b")
     apart = (F.col("a.node") == F.col("b.node")) & (F.col("a.component") != F.col("b.component"))
+    half = (F.col("a.component") == F.col("a.main")) | (F.col("a.id") < F.col("b.id"))
     once = F.col("a.node") == F.array_min(F.array_intersect(F.col("a.nodes"), F.col("b.nodes")))
-    near = _alike("a", "b", search.percent) & (_differ("a", "b", _FINE) <= FINE_MISMATCHES)
-    return a.join(b, apart & near & once).select(*_pairs("a", "b"))
+    near = _alike("a", "b", percent) & _close("a", "b", percent)
+    return a.join(b, apart & half & near & once).select(*_pairs("a", "b"))
 
 
 def one_per_group(docs: DataFrame, **options) -> DataFrame:

@@ -6,9 +6,11 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from rillflow.llm import neardup
 from rillflow.llm.neardup import near_duplicates, one_per_group
+from rillflow.operators.checkpoints import Scratch
 from tests.llm.conftest import words
 
 
@@ -169,3 +171,31 @@ def test_one_row_of_a_repeated_id_stays(documents):
         [(1, text), (3, other), (5, "a b"), (None, text), (None, text)], key=str
     )
     assert kept.where("doc_id = 4").count() == 1
+
+
+def test_bitmaps_differ_in_no_more_than_the_sets(spark):
+    """Pairs at the least similarity pass the bitmaps, pairs at 0.6 do not."""
+    rng, rows = np.random.default_rng(5), []
+    for k in range(400):
+        n, similar = int(rng.choice([9, 90, 900])), k % 2 == 0
+        apart = n // 9 if similar else n // 4  # on either side: similarity 0.8 and 0.6
+        one, two, both = np.split(rng.integers(0, 2**64, n + apart, dtype=np.uint64), [apart, 2 * apart])
+        a, b = (neardup._bitmap(np.concatenate([both, x])) for x in (one, two))
+        assert sum(((x ^ y) % 2**64).bit_count() for x, y in zip(a, b)) <= 2 * apart
+        rows.append((n, similar, *a, *b))
+    names = [f"{s}_{f}" for s in "ab" for f in neardup._BITMAP]
+    table = spark.createDataFrame(rows, ["size", "similar", *names])
+    sides = [F.struct(F.col("size").alias("n"), *[F.col(f"{s}_{f}").alias(f) for f in neardup._BITMAP]).alias(s) for s in "ab"]
+    passed = table.select("size", "similar", *sides).withColumn("close", neardup._close("a", "b", 80))
+    assert passed.where("similar and not close").count() == 0
+    assert passed.where("size >= 90 and not similar and close").count() == 0
+
+
+def test_crowd_around_one_component_is_compared_at_once(spark):
+    """Branching on would take the large component along; nodes without one branch on."""
+    rows = [(1, k, 0 if k < 100 else k) for k in range(160)] + [(2, k, k) for k in range(160)]
+    large = spark.createDataFrame(rows, "node bigint, id bigint, component bigint")
+    with Scratch(spark) as scratch:
+        few, many = neardup._apart(large, False, scratch)
+        assert [r.node for r in few.select("node").distinct().collect()] == [1] and few.count() == 160
+        assert [r.node for r in many.select("node").distinct().collect()] == [2] and many.count() == 160
