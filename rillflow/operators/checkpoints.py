@@ -37,7 +37,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.paths = spark, []
+        self.spark, self.paths, self.last = spark, [], {}
 
     def __enter__(self) -> Scratch:
         return self
@@ -56,6 +56,14 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def renewed(self, df: DataFrame, purpose: str) -> DataFrame:
+        """``df`` written like ``written`` does; what this wrote for the purpose before, which only ``df`` may still need, is deleted."""
+        old, self.last[purpose] = self.last.get(purpose), len(self.paths)
+        out = self.written(df, purpose)
+        if old is not None:
+            delete_folder(self.spark, self.paths[old])
+        return out
+
 
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever file system it is, if it is there."""

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import collections
+import os
 import random
 
 import numpy as np
@@ -8,6 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from rillflow.llm import components as comp
 from rillflow.llm import neardup
 from rillflow.llm.neardup import near_duplicates, one_per_group
 from rillflow.operators.checkpoints import Scratch
@@ -199,3 +201,55 @@ def test_crowd_around_one_component_is_compared_at_once(spark):
         few, many = neardup._apart(large, False, scratch)
         assert [r.node for r in few.select("node").distinct().collect()] == [1] and few.count() == 160
         assert [r.node for r in many.select("node").distinct().collect()] == [2] and many.count() == 160
+
+
+@pytest.mark.parametrize("few", [0, comp.FEW_LINKS])
+def test_components_in_rounds_and_in_one_task(spark, monkeypatch, few):
+    rng = random.Random(few)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(140)] + [(k, k + 1) for k in range(400, 460)] + [(7, 7)]
+    least = {k: k for pair in links for k in pair}
+    for _ in least:
+        for u, v in links:
+            least[u] = least[v] = min(least[u], least[v])
+    monkeypatch.setattr(comp, "FEW_LINKS", few)
+    found = comp.components(spark.createDataFrame(links, "u bigint, v bigint"))
+    ends = {k for u, v in links if u != v for k in (u, v)}
+    assert {tuple(r) for r in found.collect()} == {(k, least[k]) for k in ends}
+    assert comp.components(spark.createDataFrame([(7, 7)], "u bigint, v bigint")).count() == 0
+
+
+def test_few_links_take_no_rounds(spark):
+    """A chain takes several rounds of joins, each of them some jobs of as many tasks as there are shuffle partitions."""
+    context = spark.sparkContext
+    context.setJobGroup("few links", "")
+    try:
+        found = comp.components(spark.createDataFrame([(k, k + 1) for k in range(100)], "u bigint, v bigint"))
+        assert {r.component for r in found.collect()} == {0}
+        assert len(context.statusTracker().getJobIdsForGroup("few links")) <= 8
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_scratch_of_a_level_goes_with_it(documents, monkeypatch):
+    """At each write, the folders of one level at most are there; before, those of all levels stayed up to the end."""
+    most, real = collections.Counter(), Scratch.written
+    held = []
+
+    def spy(self, df, purpose):
+        out = real(self, df, purpose)
+        held.append((purpose, self.paths[-1]))
+        there = collections.Counter(p for p, path in held if os.path.isdir(path.removeprefix("file:")))
+        for p, n in there.items():
+            most[p] = max(most[p], n)
+        return out
+
+    monkeypatch.setattr(Scratch, "written", spy)
+    monkeypatch.setattr(neardup, "FURTHER", 0)
+    rng = random.Random(4)
+    template = words(rng, 180)
+    rows = [(k, " ".join(template + words(rng, 30, 10**6))) for k in range(60)]
+    assert rows_of(near_duplicates(documents(rows), size=2)) == brute(rows, 2)
+    assert sum(p == "nodes" for p, _ in held) > 2
+    assert most["nodes"] == most["members"] == most["candidate-texts"] == 1
+    assert max(most["sized"], most["parts"], most["groups"]) <= 2
+    assert not any(os.path.isdir(path.removeprefix("file:")) for _, path in held)
