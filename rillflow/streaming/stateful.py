@@ -9,14 +9,24 @@ many there are at once.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from rillflow.functions.time import duration_us
+from rillflow.streaming.buckets import (
+    Plain,
+    bucket,
+    event_micros,
+    packed,
+    run_buckets,
+    unpacked,
+)
 from rillflow.streaming.run import use_rocksdb
 from rillflow.streaming.windows import with_event_time
 
@@ -78,7 +88,41 @@ class _Processor(StatefulProcessor):
         pass
 
 
-class _InOrder(_Processor):
+class _Alarmed(_Processor):
+    """Has one timer at most. ``set_up`` names further state."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.alarm = handle.getValueState("alarm", "ms bigint")
+        self.set_up(handle)
+
+    def set_up(self, handle: StatefulProcessorHandle) -> None:
+        raise NotImplementedError
+
+    def _call_at(self, due_us: int | None) -> None:
+        due = None if due_us is None else _timer_ms(due_us)
+        before = self.alarm.get()[0] if self.alarm.exists() else None
+        if due == before:
+            return
+        if before is not None:
+            self.handle.deleteTimer(before)
+            self.alarm.clear()
+        if due is not None:
+            self.handle.registerTimer(due)
+            self.alarm.update((due,))
+
+    def _call_by(self, due_us: int) -> None:
+        """Call not later than ``due_us``."""
+        if not self.alarm.exists() or _timer_ms(due_us) < self.alarm.get()[0]:
+            self._call_at(due_us)
+
+    def _spent(self, expiredTimerInfo) -> None:
+        """The timer that calls is not set any more."""
+        if self.alarm.exists() and self.alarm.get()[0] <= expiredTimerInfo.getExpiryTimeInMs():
+            self.alarm.clear()
+
+
+class _InOrder(_Alarmed):
     """Takes the rows of a key in event order, whatever order they arrive in.
 
     Rows wait in state until no earlier one can come. Subclasses name the columns
@@ -91,15 +135,10 @@ class _InOrder(_Processor):
     types: Sequence[T.DataType] = ()
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
         fields = [T.StructField("_us", T.LongType())]
         fields += [T.StructField(c, t) for c, t in zip(self.columns, self.types)]
         self.waiting = handle.getListState("waiting", T.StructType(fields))
-        self.alarm = handle.getValueState("alarm", "ms bigint")
-        self.set_up(handle)
-
-    def set_up(self, handle: StatefulProcessorHandle) -> None:
-        raise NotImplementedError
+        super().init(handle)
 
     def take(self, key, at: int, *values) -> Iterator[Row]:
         raise NotImplementedError
@@ -107,29 +146,14 @@ class _InOrder(_Processor):
     def settle(self, key, until: int) -> tuple[list[Row], int | None]:
         raise NotImplementedError
 
-    def _call_at(self, due_us: int | None) -> None:
-        due = None if due_us is None else _timer_ms(due_us)
-        before = self.alarm.get()[0] if self.alarm.exists() else None
-        if due == before:
-            return
-        if before is not None:
-            self.handle.deleteTimer(before)
-            self.alarm.clear()
-        if due is not None:
-            self.handle.registerTimer(due)
-            self.alarm.update((due,))
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         new = [(r["_us"], *[r[c] for c in self.columns]) for r in rows]
         self.waiting.appendList(new)
-        first = min(r[0] for r in new)
-        if not self.alarm.exists() or _timer_ms(first) < self.alarm.get()[0]:
-            self._call_at(first)
+        self._call_by(min(r[0] for r in new))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.alarm.exists() and self.alarm.get()[0] <= expiredTimerInfo.getExpiryTimeInMs():
-            self.alarm.clear()  # this timer is spent
+        self._spent(expiredTimerInfo)
         until = timerValues.getCurrentWatermarkInMs() * 1000
         rows = sorted(self.waiting.get(), key=lambda r: r[0]) if self.waiting.exists() else []
         ready = [r for r in rows if r[0] <= until]
@@ -320,40 +344,55 @@ def first_timer(
     return out.select(*keys, _instant("_us").alias("fires_at"))
 
 
-class _LateWindows(_Processor):
-    def __init__(self, keys, size_us, lateness_us):
-        self.keys, self.size_us, self.lateness_us = keys, size_us, lateness_us
+class _LateWindows(_Alarmed):
+    """Counts of the windows of a bucket, and which of them have fired."""
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.counts = handle.getMapState("counts", "end_us bigint", "n bigint")
+    def __init__(self, plain, keys, lateness_us):
+        self.plain, self.keys, self.lateness_us = plain, keys, lateness_us
 
-    def _row(self, key, end, n) -> Row:
-        return Row(*self.keys, "_end", "cnt")(*key, end, n)
+    def set_up(self, handle: StatefulProcessorHandle) -> None:
+        self.windows = handle.getValueState("windows", "data binary")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        now_us = timerValues.getCurrentWatermarkInMs() * 1000 + self.lateness_us
-        for row in _by(rows, ["_us"]):
-            end = row["_us"] - row["_us"] % self.size_us + self.size_us
-            known = self.counts.containsKey((end,))
-            n = self.counts.getValue((end,))[0] + 1 if known else 1
-            self.counts.updateValue((end,), (n,))
-            if not known:
-                self.handle.registerTimer(_timer_ms(end - self.lateness_us))
-                self.handle.registerTimer(_timer_ms(end))
-            if end <= now_us:
-                yield self._row(key, end, n)
+    def _held(self) -> dict:
+        return unpacked(self.windows.get()) if self.windows.exists() else {}
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        at = expiredTimerInfo.getExpiryTimeInMs()
-        closed = []
-        for (end,), (n,) in self.counts.iterator():
-            if at == _timer_ms(end - self.lateness_us):
-                yield self._row(key, end, n)
-            elif at == _timer_ms(end):
-                closed.append(end)
-        for end in closed:
-            self.counts.removeKey((end,))
+    def _frame(self, found: list[tuple]) -> pd.DataFrame:
+        rows = [(*key, end, n) for key, end, n in found]
+        return pd.DataFrame(rows, columns=[*self.plain.names, "end", "cnt"])
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        now_us = timerValues.getCurrentWatermarkInMs() * 1000 + self.lateness_us
+        windows = self._held()
+        for frame in rows:
+            new = Counter(zip(self.plain.keys(frame, self.keys), frame["end"].tolist()))
+            late = []
+            for (k, end), n in new.items():
+                before, fired = windows.get((k, end), (0, False))
+                windows[k, end] = (before + n, fired)
+                if end <= now_us:
+                    late += [(k, end, before + i) for i in range(1, n + 1)]
+            if late:
+                yield self._frame(late)
+        self.windows.update(packed(windows))
+        self._call_at(self._next(windows))
+
+    def _next(self, windows: dict) -> int | None:
+        return min((end if fired else end - self.lateness_us for (_, end), (_, fired) in windows.items()), default=None)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self._spent(expiredTimerInfo)
+        until = timerValues.getCurrentWatermarkInMs() * 1000
+        windows = self._held()
+        ended = [w for w, (_, fired) in windows.items() if not fired and w[1] - self.lateness_us <= until]
+        if ended:
+            yield self._frame([(k, end, windows[k, end][0]) for k, end in ended])
+        windows.update({w: (windows[w][0], True) for w in ended})
+        windows = {w: n for w, n in windows.items() if w[1] > until}
+        if windows:
+            self.windows.update(packed(windows))
+        else:
+            self.windows.clear()
+        self._call_at(self._next(windows))
 
 
 def late_windows(
@@ -372,15 +411,15 @@ def late_windows(
     """
     lateness_us = duration_us(lateness)
     total = duration_us(delay) + lateness_us
-    timed = _timed(stream, ts, f"{total} microseconds")
-    types = {f.name: f.dataType for f in timed.schema.fields}
-    schema = T.StructType(
-        [T.StructField(k, types[k]) for k in keys]
-        + [T.StructField("_end", T.LongType()), T.StructField("cnt", T.LongType())]
-    )
-    processor = _LateWindows(list(keys), duration_us(size), lateness_us)
-    out = _run(timed, keys, processor, schema, "EventTime")
-    return out.select(*keys, _instant("_end").alias("window_end"), "cnt")
+    timed = with_event_time(stream, ts, f"{total} microseconds")
+    plain = Plain([timed.schema[k] for k in keys])
+    size_us = duration_us(size)
+    us = event_micros(ts)
+    end = us - F.pmod(us, F.lit(size_us)) + size_us
+    rows = timed.select(bucket(plain.fields, end), *plain.columns(), end.alias("end"), F.col(ts).alias("at"))
+    schema = [*plain.schema(), T.StructField("end", T.LongType()), T.StructField("cnt", T.LongType())]
+    out = run_buckets(rows, _LateWindows(plain, list(keys), lateness_us), schema)
+    return out.select(*plain.restored().values(), _instant("end").alias("window_end"), "cnt")
 
 
 # --- detection ------------------------------------------------------------------------
