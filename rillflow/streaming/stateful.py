@@ -31,6 +31,8 @@ from rillflow.streaming.run import use_rocksdb
 from rillflow.streaming.windows import with_event_time
 
 DAY_US = 86_400_000_000
+#: So many rows of a bucket are looked through at a time.
+_MANY_ROWS = 100_000
 
 
 def _timer_ms(micros: int) -> int:
@@ -425,39 +427,68 @@ def late_windows(
 # --- detection ------------------------------------------------------------------------
 
 
-class _DailyLimit(_Processor):
-    def __init__(self, names, order_by, limit):
-        self.names, self.order_by, self.limit = names, order_by, limit
+class _DailyLimit(_Alarmed):
+    """Counts of the keys of a bucket by day."""
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.days = handle.getMapState("days", "day bigint", "n bigint")
+    def __init__(self, plain, keys, order_by, limit):
+        self.plain, self.keys, self.order_by, self.limit = plain, keys, order_by, limit
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        seen: dict[int, int] = {}
-        for row in _by(rows, self.order_by):
-            day = row["_us"] // DAY_US
-            if day not in seen:
-                known = self.days.containsKey((day,))
-                seen[day] = self.days.getValue((day,))[0] if known else 0
-                if not known:
-                    self.handle.registerTimer((day + 1) * DAY_US // 1000)
-            if seen[day] > self.limit:
+    def set_up(self, handle: StatefulProcessorHandle) -> None:
+        self.days = handle.getValueState("days", "data binary")
+
+    def _cut(self, frames: list[pd.DataFrame]) -> pd.DataFrame:
+        """The rows in order, without those that come after ``limit + 1`` others of their key and day."""
+        rows = pd.concat(frames, ignore_index=True) if len(frames) > 1 else frames[0]
+        rows = rows.sort_values(self.order_by, kind="stable", ignore_index=True)
+        if len(rows) <= _MANY_ROWS:
+            return rows
+        by = pd.Series(zip(self.plain.keys(rows, self.keys), rows["us"] // DAY_US))
+        return rows[by.groupby(by).cumcount() <= self.limit]
+
+    def _rows(self, frames: Iterator[pd.DataFrame]) -> pd.DataFrame:
+        held, n, most = [], 0, _MANY_ROWS
+        for frame in frames:
+            held.append(frame)
+            n += len(frame)
+            if n > most:
+                held = [self._cut(held)]
+                n = len(held[0])
+                most = max(_MANY_ROWS, 2 * n)
+        return self._cut(held)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        rows = self._rows(rows)
+        days = unpacked(self.days.get()) if self.days.exists() else {}
+        places, clicks = [], []
+        at = (rows["us"] // DAY_US).tolist()
+        for place, (k, day) in enumerate(zip(self.plain.keys(rows, self.keys), at)):
+            seen = days.setdefault(day, {})
+            n = seen.get(k, 0)
+            if n > self.limit:
                 continue
-            seen[day] += 1
-            passed = seen[day] <= self.limit
-            yield Row(*self.names, "tag", "clicks")(
-                *[row[c] for c in self.names],
-                "main" if passed else "alert",
-                min(seen[day], self.limit),
-            )
-        for day, n in seen.items():
-            self.days.updateValue((day,), (n,))
+            seen[k] = n + 1
+            places.append(place)
+            clicks.append(n + 1)
+        self.days.update(packed(days))
+        self._call_by((min(days) + 1) * DAY_US)
+        out = rows[[*self.plain.names, "us"]].iloc[places].reset_index(drop=True)
+        out["at"] = out.pop("us").astype("datetime64[us]").dt.tz_localize("UTC")
+        clicks = pd.Series(clicks, dtype="int64")
+        out["tag"] = (clicks <= self.limit).map({True: "main", False: "alert"}).astype(object)
+        out["clicks"] = clicks.clip(upper=self.limit)
+        for k in range(0, len(out), _MANY_ROWS):
+            yield out[k : k + _MANY_ROWS]
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        over = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        for day in [d for (d,) in self.days.keys() if (d + 1) * DAY_US <= over]:
-            self.days.removeKey((day,))
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self._spent(expiredTimerInfo)
+        over = timerValues.getCurrentWatermarkInMs() * 1000
+        days = unpacked(self.days.get()) if self.days.exists() else {}
+        days = {day: seen for day, seen in days.items() if (day + 1) * DAY_US > over}
+        if days:
+            self.days.update(packed(days))
+            self._call_at((min(days) + 1) * DAY_US)
+        else:
+            self.days.clear()
         return iter([])
 
 
@@ -474,16 +505,24 @@ def daily_limit(
     A day's counter is dropped once the watermark is past the day. Windows can
     follow on the same event time.
     """
-    timed = _timed(stream, ts, delay)
-    names = stream.columns
-    schema = _schema(
-        timed,
+    timed = with_event_time(stream, ts, delay)
+    plain = Plain([f for f in timed.schema.fields if f.name != ts or ts in keys])
+    places = ["us" if c == ts else plain.name(c) for c in order_by]
+    rows = timed.select(
+        bucket([timed.schema[k] for k in keys]),
+        *plain.columns(),
+        event_micros(ts).alias("us"),
+        F.col(ts).alias("at"),
+    )
+    schema = [
+        *plain.schema(),
+        T.StructField("at", T.TimestampType()),
         T.StructField("tag", T.StringType()),
         T.StructField("clicks", T.LongType()),
-        without=["_us"],
-    )
-    processor = _DailyLimit(names, list(order_by), limit)
-    return _run(timed, keys, processor, schema, "EventTime", ts)
+    ]
+    out = run_buckets(rows, _DailyLimit(plain, list(keys), places, limit), schema, "at")
+    columns = {**plain.restored(), ts: F.col("at").alias(ts)}
+    return out.select(*[columns[c] for c in stream.columns], "tag", "clicks")
 
 
 class _RepeatedFailures(_InOrder):

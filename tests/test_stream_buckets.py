@@ -1,12 +1,12 @@
 """Streaming operators that hold the state of many keys together."""
 
 from collections import Counter
+from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from rillflow import streaming as st
-from rillflow.streaming import buckets
+from rillflow.streaming import buckets, stateful
 from tests.test_stream_ends import feed  # noqa: F401
 
 KEYS = [None, 2**53, 2**53 + 1, *range(37)]
@@ -39,3 +39,36 @@ def test_late_windows_of_many_keys(spark, feed):  # noqa: F811
     fired = Counter((k, x, 10, 2) for k, x in both)
     again = [(10, 3), (10, 4), (20, 1), (20, 1)]  # a window that begins late fires by its row and by its timer
     assert seen(out.collect()) == fired + Counter((k, x, *w) for k, x in both[:6] for w in again)
+
+
+def test_daily_limit_of_many_keys(spark, feed, monkeypatch):  # noqa: F811
+    """More rows than are looked through at a time; nulls, large numbers and what is not a number stay as they are."""
+    monkeypatch.setattr(stateful, "_MANY_ROWS", 50)
+
+    def build(rows):
+        return st.daily_limit(rows, ["k", "x"], "ts", ["n"], 3)
+
+    schema = "k bigint, x string, n bigint, v double, i int, d decimal(30,2), a array<int>, s int"
+    values = [None, float("nan"), 1.5]
+    day = 86_400
+
+    def row(k, x, n, s):
+        return (k, x, 2**60 + n, values[n % 3], None if n % 2 else n, None if n % 4 else Decimal(f"{n}.00"), [n, None], s)
+
+    both = [(k, x) for k in KEYS for x in (None, "a")]
+    # The order within a batch goes by n, not by place or time.
+    first = [row(*key, n, day * (1 + d) + 50 - n) for d in range(2) for n in (9, 2, 7, 3) for key in both[:-2]]
+    first += [row(*both[-1], n, day * 2 + n % day) for n in range(400)]
+    later = [row(*key, 20 + n, day * 2 + 40_000 + n) for n in range(2) for key in [both[0], both[-2]]]
+    out, _, checkpoint = feed(schema, [first, later], build)
+    assert 0 < held(spark, checkpoint, "days") <= 4
+    want, seen = [], Counter()
+    for step in (first, later):
+        for r in sorted(step, key=lambda r: r[2]):
+            place = r[0], r[1], r[-1] // day
+            seen[place] += 1
+            if seen[place] <= 4:
+                want.append((*r, "main" if seen[place] <= 3 else "alert", min(seen[place], 3)))
+    assert out.schema["ts"].dataType.simpleString() == "timestamp" and out.schema["i"].dataType.simpleString() == "int"
+    found = [(*[r[c] for c in "kxnvidas"], r.tag, r.clicks) for r in out.collect()]
+    assert Counter(map(str, found)) == Counter(map(str, want))
