@@ -9,6 +9,7 @@ many there are at once.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 
@@ -570,57 +571,88 @@ def repeated_failures(
     )
 
 
-class _Orders(_InOrder):
-    columns, types = ["_create"], [T.BooleanType()]
+class _Orders(_Alarmed):
+    """The rows of the orders of a bucket that wait for the watermark, and the last one of each order that waits for its partner."""
 
-    def __init__(self, order, limit_us, keep_us):
-        self.order, self.limit_us, self.keep_us = order, limit_us, keep_us
+    def __init__(self, plain, order, limit_us, keep_us):
+        self.plain, self.order, self.limit_us, self.keep_us = plain, order, limit_us, keep_us
 
     def set_up(self, handle: StatefulProcessorHandle) -> None:
-        self.pending = handle.getValueState(
-            "pending", "is_create boolean, t bigint, reported boolean"
-        )
+        self.waiting = handle.getListState("waiting", "data binary")
+        self.pending = handle.getValueState("pending", "data binary")
 
-    def _row(self, key, outcome, created, paid) -> Row:
-        return Row(self.order, "outcome", "_created", "_paid")(
-            key[0], outcome, created, paid
-        )
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        first = None
+        for frame in rows:
+            us = frame["us"].tolist()
+            keys = self.plain.keys(frame, [self.order])
+            self.waiting.appendValue(packed((us, frame["creates"].tolist(), keys)))
+            first = min(us) if first is None else min(first, *us)
+        self._call_by(first)
+        return iter([])
 
-    def _alone(self, key, is_create, at) -> Row:
+    def _alone(self, key, is_create, at) -> tuple:
         if is_create:
-            return self._row(key, "pay_missing", at, None)
-        return self._row(key, "create_missing", None, at)
+            return (*key, "pay_missing", at, None)
+        return (*key, "create_missing", None, at)
 
-    def settle(self, key, until) -> tuple[list[Row], int | None]:
-        """Reports what waits for more than the limit, drops what waits for longer."""
-        if not self.pending.exists():
-            return [], None
-        is_create, at, reported = self.pending.get()
-        out, over = [], at + self.limit_us + 1
+    def _settle(self, pending: dict, found: list[tuple], key, until: int) -> int | None:
+        """Reports what waits for more than the limit, drops what waits for longer; gives when it wants to be called again."""
+        is_create, at, reported = pending[key]
+        over = at + self.limit_us + 1
         if not reported:
             if until < over:
-                return [], over
-            out.append(self._alone(key, is_create, at))
-            self.pending.update((is_create, at, True))
+                return over
+            found.append(self._alone(key, is_create, at))
+            pending[key] = (is_create, at, True)
         over += self.keep_us
         if until < over:
-            return out, over
-        self.pending.clear()
-        return out, None
-
-    def take(self, key, at, is_create) -> Iterator[Row]:
-        yield from self.settle(key, at)[0]
-        if self.pending.exists():
-            waiting, since, reported = self.pending.get()
-            self.pending.clear()
+            return over
+        del pending[key]
+        return None
+
+    def _take(self, pending: dict, found: list[tuple], key, at: int, is_create: bool) -> None:
+        if key in pending:
+            self._settle(pending, found, key, at)
+        if key in pending:
+            waiting, since, reported = pending.pop(key)
             if waiting != is_create:
                 created, paid = (at, since) if is_create else (since, at)
                 late = paid - created > self.limit_us
-                yield self._row(key, "paid_late" if late else "paid", created, paid)
+                found.append((*key, "paid_late" if late else "paid", created, paid))
                 return
             if not reported:
-                yield self._alone(key, waiting, since)
-        self.pending.update((is_create, at, False))
+                found.append(self._alone(key, waiting, since))
+        pending[key] = (is_create, at, False)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self._spent(expiredTimerInfo)
+        until = timerValues.getCurrentWatermarkInMs() * 1000
+        pending = unpacked(self.pending.get()) if self.pending.exists() else {}
+        held = self.waiting.get() if self.waiting.exists() else []
+        rows = sorted((row for part in held for row in zip(*unpacked(part))), key=lambda r: r[0])
+        ready = bisect_right(rows, until, key=lambda r: r[0])
+        found: list[tuple] = []
+        for at, is_create, k in rows[:ready]:
+            self._take(pending, found, k, at, is_create)
+        calls = [self._settle(pending, found, k, until) for k in list(pending)]
+        later = rows[ready:]
+        if ready and later:
+            self.waiting.put([packed(tuple(zip(*later)))])
+        elif ready:
+            self.waiting.clear()
+        if pending:
+            self.pending.update(packed(pending))
+        else:
+            self.pending.clear()
+        calls = [due for due in calls if due is not None] + [row[0] for row in later[:1]]
+        self._call_at(min(calls, default=None))
+        for k in range(0, len(found), _MANY_ROWS):
+            yield self._frame(found[k : k + _MANY_ROWS])
+
+    def _frame(self, found: list[tuple]) -> pd.DataFrame:
+        out = pd.DataFrame(found, columns=[*self.plain.names, "outcome", "created", "paid"], dtype=object)
+        return out.astype({"created": "Int64", "paid": "Int64"})
 
 
 def order_outcomes(
@@ -638,24 +670,27 @@ def order_outcomes(
     row. The row is kept for ``keep`` more, so a partner that comes by then still
     gives ``paid`` or ``paid_late``; the batch form gives only that second row.
     """
-    create = F.col(event_type).eqNullSafe("create")
-    timed = _timed(stream, ts, delay).withColumn("_create", create)
-    kind = next(f.dataType for f in timed.schema.fields if f.name == order)
-    schema = T.StructType(
-        [
-            T.StructField(order, kind),
-            T.StructField("outcome", T.StringType()),
-            T.StructField("_created", T.LongType()),
-            T.StructField("_paid", T.LongType()),
-        ]
+    timed = with_event_time(stream, ts, delay)
+    plain = Plain([timed.schema[order]])
+    rows = timed.select(
+        bucket(plain.fields),
+        *plain.columns(),
+        event_micros(ts).alias("us"),
+        F.col(event_type).eqNullSafe("create").alias("creates"),
+        F.col(ts).alias("at"),
     )
-    processor = _Orders(order, duration_us(limit), duration_us(keep))
-    out = _run(timed, [order], processor, schema, "EventTime")
+    schema = [
+        *plain.schema(),
+        T.StructField("outcome", T.StringType()),
+        T.StructField("created", T.LongType()),
+        T.StructField("paid", T.LongType()),
+    ]
+    out = run_buckets(rows, _Orders(plain, order, duration_us(limit), duration_us(keep)), schema)
     return out.select(
-        order,
+        plain.restored()[order],
         "outcome",
-        _instant("_created").alias("created"),
-        _instant("_paid").alias("paid"),
+        _instant("created").alias("created"),
+        _instant("paid").alias("paid"),
     )
 
 

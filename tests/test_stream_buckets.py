@@ -7,7 +7,7 @@ import pytest
 
 from rillflow import streaming as st
 from rillflow.streaming import buckets, stateful
-from tests.test_stream_ends import feed  # noqa: F401
+from tests.test_stream_ends import T0, feed  # noqa: F401
 
 KEYS = [None, 2**53, 2**53 + 1, *range(37)]
 
@@ -72,3 +72,39 @@ def test_daily_limit_of_many_keys(spark, feed, monkeypatch):  # noqa: F811
     assert out.schema["ts"].dataType.simpleString() == "timestamp" and out.schema["i"].dataType.simpleString() == "int"
     found = [(*[r[c] for c in "kxnvidas"], r.tag, r.clicks) for r in out.collect()]
     assert Counter(map(str, found)) == Counter(map(str, want))
+
+
+def test_orders_of_many_keys(spark, feed):  # noqa: F811
+    def build(rows):
+        return st.order_outcomes(rows, "ts", "10 seconds", "20 seconds", delay="5 seconds")
+
+    schema = "order_id bigint, event_type string, s int"
+    ids = [2**53, 2**53 + 1, *range(37)]
+    first = [(k, "create", 1 + (k or 0) % 3) for k in [None, *ids]] + [(ids[5], "pay", 1), (ids[5], None, 9)]
+    steps = [
+        first + [(k, "pay", 8) for k in [None, *ids[::2]]],
+        [(-1, "create", 20)],  # the watermark is at 15: what was created before 5 and not paid is missing
+        [(ids[1], "pay", 17), (-2, "create", 30)],
+        [(-3, "create", 36)],  # at 31: what is reported is still kept
+    ]
+    out, _, checkpoint = feed(schema, steps, build)
+    assert 0 < held(spark, checkpoint, "pending") <= 4
+    want = Counter([(None, "paid", 1, 8)])
+    for k in ids:
+        at = 1 + k % 3
+        if k == ids[5]:
+            continue
+        if k in ids[::2]:
+            want[k, "paid", at, 8] += 1
+        else:
+            want[k, "pay_missing", at, None] += 1
+    want[ids[1], "paid_late", 1 + ids[1] % 3, 17] += 1
+    want[-1, "pay_missing", 20, None] += 1
+
+    def second(t):
+        return None if t is None else int((t - T0).total_seconds())
+
+    found = [(r.order_id, r.outcome, second(r.created), second(r.paid)) for r in out.collect()]
+    own = [f for f in found if f[0] == ids[5]]
+    assert Counter(f for f in found if f[0] != ids[5]) == want
+    assert Counter(own) == Counter([(ids[5], "paid", 1, 1), (ids[5], "create_missing", None, 9)])
