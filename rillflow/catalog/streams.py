@@ -180,7 +180,7 @@ def stream_blacklist_hot_ads(spark, folder):
     def build(rows):
         tagged = st.daily_limit(rows, keys, "ts", ["event_id"], 2)
         passed = tagged.where(F.col("tag") == "main")
-        return st.sliding(passed, "ts", "1 hour", "5 minutes", keys)
+        return st.sliding(passed, "ts", "1 hour", "5 minutes", keys, last=True)
 
     rows = tb.events(spark, folder).select("event_id", "ts", *keys)
     out = _read(spark, _feed(_timed_steps(rows), build, writer=_ranked(keys)))

@@ -12,13 +12,13 @@ event time crosses as it is as well, since late rows are dropped by it: it must
 from __future__ import annotations
 
 import pickle
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from rillflow.streaming.run import use_rocksdb
 
@@ -134,3 +134,50 @@ def packed(state: object) -> tuple[bytes]:
 
 def unpacked(row: tuple) -> object:
     return pickle.loads(row[0])
+
+
+def timer_ms(micros: int) -> int:
+    """The first whole millisecond that is not before a time."""
+    return -(-micros // 1000)
+
+
+class Processor(StatefulProcessor):
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+class Alarmed(Processor):
+    """Has one timer at most. ``set_up`` names further state."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.alarm = handle.getValueState("alarm", "ms bigint")
+        self.set_up(handle)
+
+    def set_up(self, handle: StatefulProcessorHandle) -> None:
+        raise NotImplementedError
+
+    def _call_at(self, due_us: int | None) -> None:
+        due = None if due_us is None else timer_ms(due_us)
+        before = self.alarm.get()[0] if self.alarm.exists() else None
+        if due == before:
+            return
+        if before is not None:
+            self.handle.deleteTimer(before)
+            self.alarm.clear()
+        if due is not None:
+            self.handle.registerTimer(due)
+            self.alarm.update((due,))
+
+    def _call_by(self, due_us: int) -> None:
+        """Call not later than ``due_us``."""
+        if not self.alarm.exists() or timer_ms(due_us) < self.alarm.get()[0]:
+            self._call_at(due_us)
+
+    def _spent(self, expiredTimerInfo) -> None:
+        """The timer that calls is not set any more."""
+        if self.alarm.exists() and self.alarm.get()[0] <= expiredTimerInfo.getExpiryTimeInMs():
+            self.alarm.clear()

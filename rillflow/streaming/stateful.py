@@ -21,11 +21,14 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from rillflow.functions.time import duration_us
 from rillflow.streaming.buckets import (
+    Alarmed,
     Plain,
+    Processor,
     bucket,
     event_micros,
     packed,
     run_buckets,
+    timer_ms,
     unpacked,
 )
 from rillflow.streaming.run import use_rocksdb
@@ -36,11 +39,6 @@ DAY_US = 86_400_000_000
 _MANY_ROWS = 100_000
 
 
-def _timer_ms(micros: int) -> int:
-    """The first whole millisecond that is not before a time."""
-    return -(-micros // 1000)
-
-
 def _by(rows: Iterator[Row], columns: Sequence[str]) -> list[Row]:
     return sorted(rows, key=lambda r: tuple(r[c] for c in columns))
 
@@ -83,49 +81,7 @@ def keyed_process(
     return _run(timed, keys, processor, schema, "None" if ts is None else "EventTime")
 
 
-class _Processor(StatefulProcessor):
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        return iter([])
-
-    def close(self) -> None:
-        pass
-
-
-class _Alarmed(_Processor):
-    """Has one timer at most. ``set_up`` names further state."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.alarm = handle.getValueState("alarm", "ms bigint")
-        self.set_up(handle)
-
-    def set_up(self, handle: StatefulProcessorHandle) -> None:
-        raise NotImplementedError
-
-    def _call_at(self, due_us: int | None) -> None:
-        due = None if due_us is None else _timer_ms(due_us)
-        before = self.alarm.get()[0] if self.alarm.exists() else None
-        if due == before:
-            return
-        if before is not None:
-            self.handle.deleteTimer(before)
-            self.alarm.clear()
-        if due is not None:
-            self.handle.registerTimer(due)
-            self.alarm.update((due,))
-
-    def _call_by(self, due_us: int) -> None:
-        """Call not later than ``due_us``."""
-        if not self.alarm.exists() or _timer_ms(due_us) < self.alarm.get()[0]:
-            self._call_at(due_us)
-
-    def _spent(self, expiredTimerInfo) -> None:
-        """The timer that calls is not set any more."""
-        if self.alarm.exists() and self.alarm.get()[0] <= expiredTimerInfo.getExpiryTimeInMs():
-            self.alarm.clear()
-
-
-class _InOrder(_Alarmed):
+class _InOrder(Alarmed):
     """Takes the rows of a key in event order, whatever order they arrive in.
 
     Rows wait in state until no earlier one can come. Subclasses name the columns
@@ -178,7 +134,7 @@ class _InOrder(_Alarmed):
 # --- one output row per input row -------------------------------------------------
 
 
-class _Reduce(_Processor):
+class _Reduce(Processor):
     def __init__(self, schema, order_by, reduce):
         self.schema, self.order_by, self.reduce = schema, order_by, reduce
 
@@ -228,7 +184,7 @@ def keep_max(column: str) -> Callable[[Row, Row], Row]:
     return reduce
 
 
-class _Watermark(_Processor):
+class _Watermark(Processor):
     def __init__(self, names, order_by):
         self.names, self.order_by = names, order_by
 
@@ -254,7 +210,7 @@ def with_watermark_time(
 # --- count windows ------------------------------------------------------------------
 
 
-class _CountWindow(_Processor):
+class _CountWindow(Processor):
     def __init__(self, keys, order_by, value, value_type, size, slide):
         self.keys, self.order_by, self.value = keys, order_by, value
         self.value_type, self.size, self.slide = value_type, size, slide
@@ -300,7 +256,7 @@ def count_window(
 # --- timers -------------------------------------------------------------------------
 
 
-class _FirstTimer(_Processor):
+class _FirstTimer(Processor):
     def __init__(self, keys, hold_us):
         self.keys, self.hold_us = keys, hold_us
 
@@ -314,9 +270,9 @@ class _FirstTimer(_Processor):
             before, fired = self.due.get()
             if fired or before <= due:
                 return iter([])
-            self.handle.deleteTimer(_timer_ms(before))
+            self.handle.deleteTimer(timer_ms(before))
         self.due.update((due, False))
-        self.handle.registerTimer(_timer_ms(due))
+        self.handle.registerTimer(timer_ms(due))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
@@ -347,7 +303,7 @@ def first_timer(
     return out.select(*keys, _instant("_us").alias("fires_at"))
 
 
-class _LateWindows(_Alarmed):
+class _LateWindows(Alarmed):
     """Counts of the windows of a bucket, and which of them have fired."""
 
     def __init__(self, plain, keys, lateness_us):
@@ -428,11 +384,12 @@ def late_windows(
 # --- detection ------------------------------------------------------------------------
 
 
-class _DailyLimit(_Alarmed):
+class _DailyLimit(Alarmed):
     """Counts of the keys of a bucket by day."""
 
     def __init__(self, plain, keys, order_by, limit):
         self.plain, self.keys, self.order_by, self.limit = plain, keys, order_by, limit
+        self.many = _MANY_ROWS
 
     def set_up(self, handle: StatefulProcessorHandle) -> None:
         self.days = handle.getValueState("days", "data binary")
@@ -441,20 +398,20 @@ class _DailyLimit(_Alarmed):
         """The rows in order, without those that come after ``limit + 1`` others of their key and day."""
         rows = pd.concat(frames, ignore_index=True) if len(frames) > 1 else frames[0]
         rows = rows.sort_values(self.order_by, kind="stable", ignore_index=True)
-        if len(rows) <= _MANY_ROWS:
+        if len(rows) <= self.many:
             return rows
         by = pd.Series(zip(self.plain.keys(rows, self.keys), rows["us"] // DAY_US))
         return rows[by.groupby(by).cumcount() <= self.limit]
 
     def _rows(self, frames: Iterator[pd.DataFrame]) -> pd.DataFrame:
-        held, n, most = [], 0, _MANY_ROWS
+        held, n, most = [], 0, self.many
         for frame in frames:
             held.append(frame)
             n += len(frame)
             if n > most:
                 held = [self._cut(held)]
                 n = len(held[0])
-                most = max(_MANY_ROWS, 2 * n)
+                most = max(self.many, 2 * n)
         return self._cut(held)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -477,8 +434,8 @@ class _DailyLimit(_Alarmed):
         clicks = pd.Series(clicks, dtype="int64")
         out["tag"] = (clicks <= self.limit).map({True: "main", False: "alert"}).astype(object)
         out["clicks"] = clicks.clip(upper=self.limit)
-        for k in range(0, len(out), _MANY_ROWS):
-            yield out[k : k + _MANY_ROWS]
+        for k in range(0, len(out), self.many):
+            yield out[k : k + self.many]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self._spent(expiredTimerInfo)
@@ -571,7 +528,7 @@ def repeated_failures(
     )
 
 
-class _Orders(_Alarmed):
+class _Orders(Alarmed):
     """The rows of the orders of a bucket that wait for the watermark, and the last one of each order that waits for its partner."""
 
     def __init__(self, plain, order, limit_us, keep_us):

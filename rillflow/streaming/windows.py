@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from rillflow.functions.time import duration_us
 from rillflow.operators.windows import COUNT, Aggregates, finished, merge, partial
+from rillflow.streaming.panes import windows_of_panes
 
 
 def with_event_time(stream: DataFrame, ts: str, delay: str = "0 seconds") -> DataFrame:
@@ -61,18 +62,22 @@ def sliding(
     keys: Sequence[str] = (),
     aggregates: Aggregates = COUNT,
     panes: bool = True,
+    last: bool = False,
 ) -> DataFrame:
     """Sliding windows.
 
     In append mode, state holds one row per pane and window instead of updating
     every window for every row. Pass ``panes=False`` for update mode, which
-    cannot chain two aggregations.
+    cannot chain two aggregations. With ``last=True`` counts are held by pane only
+    and a window's rows are made when it is final; no stateful operator can follow.
     """
     if not panes or duration_us(size) % duration_us(slide):
         window = F.window(ts, size, slide).alias("_w")
         grouped = stream.groupBy(window, *keys).agg(*partial(aggregates))
         return _bounded(grouped, keys, finished(aggregates))
     pane = stream.groupBy(F.window(ts, slide).alias("_p"), *keys).agg(*partial(aggregates))
+    if last and all(isinstance(a, tuple) and a[0] == "count" for a in aggregates.values()):
+        return windows_of_panes(pane, "_p", keys, list(aggregates), duration_us(size), duration_us(slide))
     window = F.window("_p", size, slide).alias("_w")
     grouped = pane.groupBy(window, *keys).agg(*merge(aggregates))
     return _bounded(grouped, keys, finished(aggregates))

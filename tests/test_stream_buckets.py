@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 
 from rillflow import streaming as st
-from rillflow.streaming import buckets, stateful
+from rillflow.streaming import buckets, panes, stateful
 from tests.test_stream_ends import T0, feed  # noqa: F401
 
 KEYS = [None, 2**53, 2**53 + 1, *range(37)]
@@ -108,3 +108,26 @@ def test_orders_of_many_keys(spark, feed):  # noqa: F811
     own = [f for f in found if f[0] == ids[5]]
     assert Counter(f for f in found if f[0] != ids[5]) == want
     assert Counter(own) == Counter([(ids[5], "paid", 1, 1), (ids[5], "create_missing", None, 9)])
+
+
+def test_sliding_windows_from_held_panes(spark, feed, monkeypatch):  # noqa: F811
+    """The rows that two aggregations give, at the same time, with nothing but panes in the state."""
+    monkeypatch.setattr(panes, "_MANY_PANES", 7)
+
+    def build(last):
+        def run(rows):
+            timed = st.with_event_time(rows, "ts", "10 seconds")
+            counts = {"n": ("count", None), "again": ("count", "s")}
+            return st.sliding(timed, "ts", "1 minute", "20 seconds", ["k", "x"], counts, last=last)
+
+        return run
+
+    def step(low, high):
+        return [(k, x, s) for k in KEYS[:9] for x in (None, "a") for s in range(low + (k or 0) % 5, high, 7)]
+
+    steps = [step(0, 50), step(45, 130), [(1, "a", 131), (None, "b", 300)], [(4, None, 291), (5, "z", 420)]]
+    schema = "k bigint, x string, s int"
+    out, _, _ = feed(schema, steps, build(True), "held")
+    chained, _, _ = feed(schema, steps, build(False), "chained")
+    assert out.columns == chained.columns and [f.dataType for f in out.schema] == [f.dataType for f in chained.schema]
+    assert out.count() > 100 and Counter(out.collect()) == Counter(chained.collect())
