@@ -136,7 +136,7 @@ def stream_hot_by_user(spark, folder):
 
     def build(rows):
         timed = st.with_event_time(rows, "ts")
-        return st.sliding(timed, "ts", "1 hour", "5 minutes", keys)
+        return st.sliding(timed, "ts", "1 hour", "5 minutes", keys, last=True)
 
     def ranked(path):
         return st.top_n_sink(st.folder_sink(path), 3, "cnt", keys)

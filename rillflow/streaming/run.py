@@ -12,11 +12,20 @@ from rillflow.sinks import KeyedUpsert
 from rillflow.sinks.writers import Writer
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_BOUNDED = "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage"
+_MEMORY = "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB"
+_MEMORY_MB = "256"
 
 
 def use_rocksdb(spark: SparkSession) -> None:
-    """Keep stream state in RocksDB, which the custom processors need."""
+    """Keep stream state in RocksDB, which the custom processors need.
+
+    Its stores on an executor share a bounded memory, where the session says nothing else.
+    """
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
+    if spark.conf.get(_BOUNDED, None) is None:
+        spark.conf.set(_BOUNDED, "true")
+        spark.conf.set(_MEMORY, _MEMORY_MB)
 
 
 def drain(writer: DataStreamWriter, checkpoint: str) -> StreamingQuery:
