@@ -461,11 +461,11 @@ def daily_limit(
     """Pass the first ``limit`` rows of a key and UTC day, alert once, drop the rest.
 
     A day's counter is dropped once the watermark is past the day. Windows can
-    follow on the same event time.
+    follow on the same event time. ``order_by`` may name ``_us`` for the event time.
     """
     timed = with_event_time(stream, ts, delay)
     plain = Plain([f for f in timed.schema.fields if f.name != ts or ts in keys])
-    places = ["us" if c == ts else plain.name(c) for c in order_by]
+    places = ["us" if c in (ts, "_us") else plain.name(c) for c in order_by]
     rows = timed.select(
         bucket([timed.schema[k] for k in keys]),
         *plain.columns(),
