@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from rillflow.functions.time import duration_us
 from rillflow.operators.windows import COUNT, Aggregates, finished, merge, partial
-from rillflow.streaming.panes import windows_of_panes
+from rillflow.streaming.panes import sliding_counts
 
 
 def with_event_time(stream: DataFrame, ts: str, delay: str = "0 seconds") -> DataFrame:
@@ -75,9 +75,9 @@ def sliding(
         window = F.window(ts, size, slide).alias("_w")
         grouped = stream.groupBy(window, *keys).agg(*partial(aggregates))
         return _bounded(grouped, keys, finished(aggregates))
-    pane = stream.groupBy(F.window(ts, slide).alias("_p"), *keys).agg(*partial(aggregates))
     if last and all(isinstance(a, tuple) and a[0] == "count" for a in aggregates.values()):
-        return windows_of_panes(pane, "_p", keys, list(aggregates), duration_us(size), duration_us(slide))
+        return sliding_counts(stream, ts, keys, list(aggregates), size, slide)
+    pane = stream.groupBy(F.window(ts, slide).alias("_p"), *keys).agg(*partial(aggregates))
     window = F.window("_p", size, slide).alias("_w")
     grouped = pane.groupBy(window, *keys).agg(*merge(aggregates))
     return _bounded(grouped, keys, finished(aggregates))
